@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -18,18 +18,34 @@ def json_payload(*columns: str) -> Column:
     return F.to_json(row, {"ignoreNullFields": "false", **_JSON_TIME}).cast("binary")
 
 
-def from_json_payload(value: Column | str, schema: StructType) -> Column:
-    """The payload as a struct of ``schema`` plus a ``_corrupt`` text field.
+def from_json_payload(
+    value: Column | str, schema: StructType, mode: str = "PERMISSIVE"
+) -> Column:
+    """The payload as a struct of ``schema``; a NULL payload gives a NULL struct.
 
-    A message that does not parse has its text in ``_corrupt``; a message whose fields
-    are all null has NULL there, and a NULL payload gives a NULL struct.
+    In FAILFAST mode a message that does not parse is an error. In PERMISSIVE mode the
+    struct has one more field, ``_corrupt``, with the text of such a message; for a
+    message whose fields are merely all null it is NULL.
     """
     text = (F.col(value) if isinstance(value, str) else value).cast("string")
+    if mode == "FAILFAST":
+        return F.from_json(text, schema, {"mode": mode, **_JSON_TIME})
+    if mode != "PERMISSIVE":
+        raise ValueError(f"unknown mode {mode}")
     with_corrupt = StructType([*schema.fields, StructField(CORRUPT, StringType())])
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT, **_JSON_TIME}
     return F.from_json(text, with_corrupt, options)
 
 
+def parse_json_payloads(messages: DataFrame, schema: StructType) -> DataFrame:
+    """The fields of each message's ``value``, with ``_corrupt`` to tell good from bad.
+
+    Unlike a struct column, the output of a generator is not computed over again below
+    a filter on it, so each message is parsed once however the result is split.
+    """
+    return messages.select(F.inline(F.array(from_json_payload("value", schema))))
+
+
 def framed(payload: Column, schema_id: int) -> Column:
     """Put the five header bytes before a payload: a zero byte and the id, big-endian."""
     return F.concat(F.unhex(F.lit(f"00{schema_id:08X}")), payload)

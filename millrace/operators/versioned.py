@@ -239,7 +239,7 @@ class VersionedTable:
     def _live_entries(self, lineage: list[Row]) -> DataFrame:
         listed = [row for row in lineage if _has_entries(row)]
         if not listed:
-            return self.spark.createDataFrame([], _FILES).select(*_ENTRY)
+            return _no_rows(self.spark, _FILES).select(*_ENTRY)
         entries = self._entries([row.commit_dir for row in listed])
         live = entries.where(F.col("status").isin("added", "carried")).select(*_ENTRY)
         if any(row.extends_parent and _count(row, "removed-files") for row in listed):
@@ -276,8 +276,11 @@ class VersionedTable:
             left_out = gone.select("data_commit", "uri").collect()
         return _by_spec(self.root, specs, whole + few_gone, picked, left_out)
 
-    def _scan(self, file_sets: list[_FileSet]) -> DataFrame:
-        """All columns ever, under their physical names, with commit and file of each row."""
+    def _scan(self, file_sets: list[_FileSet], with_file: bool = False) -> DataFrame:
+        """All columns ever, under their physical names, and on demand each row's file.
+
+        Row by row the file name costs something, even if it is projected away later.
+        """
         fields = [
             StructField(f.metadata["physical"], f.dataType, True) for f in self._all_fields()
         ]
@@ -287,11 +290,13 @@ class VersionedTable:
             scan = reader.option("basePath", f"{self.root}/data").parquet(*files.paths)
             if files.left_out:  # decided per file when the scan is planned
                 scan = scan.where(~F.col("_metadata.file_path").isin(files.left_out))
-            names = [_quoted(f.name) for f in fields]
-            scans.append(scan.select(*names, F.col("_metadata.file_path").alias(_URI)))
+            columns = [_quoted(f.name) for f in fields]
+            if with_file:
+                columns.append(F.col("_metadata.file_path").alias(_URI))
+            scans.append(scan.select(*columns))
         if not scans:
             empty = [*fields, StructField(_URI, StringType())]
-            return self.spark.createDataFrame([], StructType(empty))
+            return _no_rows(self.spark, StructType(empty if with_file else fields))
         out = scans[0]
         for scan in scans[1:]:
             out = out.unionByName(scan)
@@ -417,7 +422,7 @@ class VersionedTable:
     def _record_touched(self, commit: str, condition: Column) -> _Touched:
         """List the files with rows that meet the condition as removed by ``commit``."""
         lineage = self._lineage(self.current_snapshot_id)
-        scan = self._scan(self._file_sets(self.current_snapshot_id))
+        scan = self._scan(self._file_sets(self.current_snapshot_id), with_file=True)
         logical = scan.select(*_to_logical(self._schema()), F.col(_URI))
         hits = logical.where(condition).groupBy(F.col(_URI).alias("uri"))
         hits = hits.agg(F.count("*").alias("hits"))
@@ -707,6 +712,11 @@ def _by_spec(
     return list(sets.values())
 
 
+def _no_rows(spark: SparkSession, schema: StructType) -> DataFrame:
+    nulls = [F.lit(None).cast(field.dataType).alias(field.name) for field in schema.fields]
+    return spark.range(0).select(*nulls)
+
+
 def _observed(counts: Observation, *names: str) -> dict[str, int]:
     """Totals a write job counted on its way; a job without rows may report none."""
     found = counts.get

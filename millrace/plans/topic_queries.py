@@ -13,6 +13,7 @@ from millrace.functions.messages import (
     framed,
     from_json_payload,
     json_payload,
+    parse_json_payloads,
     unframed,
 )
 from millrace.operators.versioned import VersionedTable
@@ -60,7 +61,7 @@ def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _texts(rows: DataFrame) -> DataFrame:
     """Events with the time as text, as messages carry it."""
-    return rows.withColumn("ts", F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS"))
+    return rows.withColumn("ts", F.col("ts").cast("string"))
 
 
 def _typed(rows: DataFrame) -> DataFrame:
@@ -78,8 +79,8 @@ def _json_topic(spark: SparkSession, sf_dir: str) -> str:
 
 
 def _parsed(messages: DataFrame) -> DataFrame:
-    data = from_json_payload("value", _SCHEMA).alias("data")
-    return messages.select(data).select("data.*").drop(CORRUPT)
+    data = from_json_payload("value", _SCHEMA, mode="FAILFAST").alias("data")
+    return messages.select(data).select("data.*")
 
 
 def _run(spark: SparkSession, rows: DataFrame, target: str) -> DataFrame:
@@ -149,17 +150,15 @@ def _faulty_topic(spark: SparkSession, sf_dir: str) -> str:
 @query("SELECT '{\"event_id\":' || event_id AS raw FROM events WHERE event_type = 'error'")
 def topic_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     messages = drop_tombstones(read_topic(spark, _faulty_topic(spark, sf_dir)))
-    data = messages.select(from_json_payload("value", _SCHEMA).alias("data"))
-    return data.where(F.col(f"data.{CORRUPT}").isNotNull()).select(
-        F.col(f"data.{CORRUPT}").alias("raw")
-    )
+    rows = parse_json_payloads(messages, _SCHEMA)
+    return rows.where(F.col(CORRUPT).isNotNull()).select(F.col(CORRUPT).alias("raw"))
 
 
 @query("SELECT * FROM events WHERE event_type NOT IN ('error', 'signup')")
 def topic_accepted(spark: SparkSession, sf_dir: str) -> DataFrame:
     messages = drop_tombstones(stream_topic(spark, _faulty_topic(spark, sf_dir)))
-    data = messages.select(from_json_payload("value", _SCHEMA).alias("data")).select("data.*")
-    return _run(spark, data.where(F.col(CORRUPT).isNull()).drop(CORRUPT), fresh_dir(spark, "good"))
+    rows = parse_json_payloads(messages, _SCHEMA)
+    return _run(spark, rows.where(F.col(CORRUPT).isNull()).drop(CORRUPT), fresh_dir(spark, "good"))
 
 
 @query(
@@ -186,8 +185,7 @@ def topic_json_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     topic_to_json_files(
         messages, target, f"{target}-checkpoint", trigger=AVAILABLE_NOW
     ).awaitTermination()
-    lines = spark.read.text(target).select(from_json_payload("value", _SCHEMA).alias("data"))
-    return lines.select("data.*").drop(CORRUPT)
+    return _parsed(spark.read.text(target))
 
 
 @query("SELECT * FROM events")
@@ -195,7 +193,7 @@ def topic_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     warehouse = fresh_dir(spark, "warehouse")
     root = topic_table_path(warehouse, "kafka", "dbz.", "events")
     messages = stream_topic(spark, _json_topic(spark, sf_dir), files_per_batch=1)
-    decode = from_json_payload("value", _SCHEMA).dropFields(CORRUPT)
+    decode = from_json_payload("value", _SCHEMA, mode="FAILFAST")
     topic_to_table(
         messages, decode, root, f"{warehouse}/checkpoint", AVAILABLE_NOW
     ).awaitTermination()

@@ -10,7 +10,10 @@ _TIME_FORMAT = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType, **options: str) -> DataFrame:
-    """Scan CSV with a header line under a fixed schema; a cell that does not parse is NULL."""
+    """Scan CSV with a header line under a fixed schema; a cell that does not parse is NULL.
+
+    So is an empty string, unless both sides set another ``nullValue``.
+    """
     return spark.read.options(header="true", **_TIME_FORMAT, **options).schema(schema).csv(path)
 
 

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import logging
+from itertools import accumulate
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
@@ -33,8 +35,14 @@ class RowCountLogger(StreamingQueryListener):
 
 def recent_batches(spark: SparkSession, query: StreamingQuery) -> DataFrame:
     """Rows per batch and running total, for the batches Spark still keeps progress of."""
-    rows, total = [], 0
-    for progress in query.recentProgress:
-        total += progress["numInputRows"]
-        rows.append((progress["batchId"], progress["numInputRows"], total))
-    return spark.createDataFrame(rows, "batch BIGINT, rows BIGINT, total_rows BIGINT")
+    batches = [(p["batchId"], p["numInputRows"]) for p in query.recentProgress]
+    rows = [n for _, n in batches]
+    return spark.createDataFrame(
+        pa.table(
+            {
+                "batch": pa.array([batch for batch, _ in batches], pa.int64()),
+                "rows": pa.array(rows, pa.int64()),
+                "total_rows": pa.array(accumulate(rows), pa.int64()),
+            }
+        )
+    )

@@ -1,0 +1,169 @@
+from __future__ import annotations
+
+import struct
+
+import pyarrow as pa
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.errors import PythonException
+from pyspark.sql import functions as F
+
+from conftest import rows
+from millrace.functions import avro_batch
+from millrace.functions.avro import (
+    from_avro,
+    from_framed_avro,
+    parse_record,
+    spark_schema,
+    to_avro,
+)
+from millrace.functions.messages import frame_schema_id, framed, unframed
+from millrace.schemas import TAXI, TAXI_RECORD, avro_record
+
+RECORD = avro_record(
+    "r",
+    [("a", "long"), ("b", "double"), ("c", "string"), ("d", "long"), ("e", "string"), ("f", "double")],
+    nullable=("d", "e", "f"),
+)
+FIELDS = parse_record(RECORD)
+ARROW = pa.struct([(f.name, avro_batch.ARROW_TYPES[f.kind]) for f in FIELDS])
+AB = avro_record("ab", [("a", "long"), ("b", "string")])
+
+
+def _varint(n: int) -> bytes:
+    n = ((n << 1) ^ (n >> 63)) & (2**64 - 1)
+    out = b""
+    while n > 0x7F:
+        out, n = out + bytes([n & 0x7F | 0x80]), n >> 7
+    return out + bytes([n])
+
+
+def _expected(row: dict) -> bytes:
+    out = b""
+    for field in FIELDS:
+        value = row[field.name]
+        if field.null_branch is not None:
+            out += _varint(0 if value is None else 1)
+            if value is None:
+                continue
+        if field.kind == "long":
+            out += _varint(value)
+        elif field.kind == "double":
+            out += struct.pack("<d", value)
+        else:
+            out += _varint(len(value.encode())) + value.encode()
+    return out
+
+
+LONGS = st.integers(-(2**63), 2**63 - 1)
+DOUBLES = st.floats(allow_nan=False)
+TEXTS = st.text(st.characters(exclude_categories=["Cs"]), max_size=90)
+RECORDS = st.fixed_dictionaries(
+    {
+        "a": LONGS,
+        "b": DOUBLES,
+        "c": TEXTS,
+        "d": st.none() | LONGS,
+        "e": st.none() | TEXTS,
+        "f": st.none() | DOUBLES,
+    }
+)
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.none() | RECORDS, max_size=20), st.integers(0, 5))
+def test_bytes_are_avro_and_read_back(records, skip):
+    coded = avro_batch.encode(pa.array(records, ARROW), FIELDS)
+    assert coded.to_pylist() == [None if r is None else _expected(r) for r in records]
+    assert avro_batch.decode(coded, FIELDS, FIELDS, True).to_pylist() == records
+    part = coded.slice(skip)
+    assert avro_batch.decode(part, FIELDS, FIELDS, True).to_pylist() == records[skip:]
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(RECORDS, min_size=1, max_size=8), st.data())
+def test_cut_payloads_are_null_and_others_whole(records, data):
+    coded = [_expected(record) for record in records]
+    cut = data.draw(st.integers(0, len(coded) - 1))
+    coded[cut] = coded[cut][: data.draw(st.integers(0, len(coded[cut]) - 1))]
+    decoded = avro_batch.decode(pa.array(coded, pa.binary()), FIELDS, FIELDS, False).to_pylist()
+    assert decoded[cut] is None
+    assert decoded[:cut] + decoded[cut + 1 :] == records[:cut] + records[cut + 1 :]
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.binary(max_size=40), max_size=10))
+def test_arbitrary_bytes_never_break_a_tolerant_read(payloads):
+    decoded = avro_batch.decode(pa.array(payloads, pa.binary()), FIELDS, FIELDS, False)
+    assert len(decoded) == len(payloads)
+    decoded.validate(full=True)
+
+
+def test_text_that_is_not_utf8(spark):
+    payloads = pa.array([_varint(1) + b"\xff", _varint(1) + b"x"], pa.binary())
+    fields = parse_record(avro_record("t", [("c", "string")]))
+    decoded = avro_batch.decode(payloads, fields, fields, False)
+    assert decoded.to_pylist() == [None, {"c": "x"}]
+
+
+def test_taxi_record_matches_table():
+    assert spark_schema(TAXI_RECORD) == TAXI
+
+
+def test_null_in_required_field_is_an_error(spark):
+    df = spark.sql("SELECT CAST(NULL AS BIGINT) AS a, 'x' AS b")
+    with pytest.raises(PythonException, match="NULL in required Avro field a"):
+        df.select(to_avro(F.struct("*"), AB)).collect()
+
+
+def test_header_is_five_bytes(spark):
+    df = spark.sql("SELECT X'0A0B' AS v")
+    out = df.select(framed(F.col("v"), 258).alias("m")).select(
+        "m", unframed("m").alias("v"), frame_schema_id("m").alias("id")
+    ).first()
+    assert (bytes(out.m), bytes(out.v), out.id) == (b"\0\0\0\1\2\x0a\x0b", b"\x0a\x0b", 258)
+
+
+def _two_ids(spark):
+    one = spark.createDataFrame([(1, "x")], "a BIGINT, b STRING")
+    two = spark.createDataFrame([(2, "y", 2.5)], "a BIGINT, b STRING, c DOUBLE")
+    newer = avro_record("ab", [("a", "long"), ("b", "string"), ("c", "double")], nullable=("c",))
+    messages = one.select(framed(to_avro(F.struct("*"), AB), 1).alias("value")).union(
+        two.select(framed(to_avro(F.struct("*"), newer), 2).alias("value"))
+    )
+    return messages, {1: AB, 2: newer}
+
+
+def test_each_message_under_its_own_schema(spark):
+    messages, schemas = _two_ids(spark)
+    new = messages.select(from_framed_avro("value", schemas, schemas[2]).alias("d")).select("d.*")
+    assert rows(new) == [(1, "x", None), (2, "y", 2.5)]
+    old = messages.select(from_framed_avro("value", schemas, AB).alias("d")).select("d.*")
+    assert rows(old) == [(1, "x"), (2, "y")]
+
+
+def test_unknown_schema_id(spark):
+    messages, schemas = _two_ids(spark)
+    known = {1: AB}
+    with pytest.raises(PythonException, match="known schema id"):
+        messages.select(from_framed_avro("value", known, AB)).collect()
+    out = messages.select(from_framed_avro("value", known, AB, mode="PERMISSIVE").alias("d"))
+    assert sorted((row.d is None for row in out.collect())) == [False, True]
+
+
+def test_reader_must_be_fillable():
+    longer = avro_record("ab", [("a", "long"), ("b", "string"), ("z", "long")])
+    with pytest.raises(ValueError, match="z: not written"):
+        from_avro("value", AB, reader=longer)
+    with pytest.raises(ValueError, match="b: written as string, read as long"):
+        from_avro("value", AB, reader=avro_record("ab", [("b", "long")]))
+
+
+def test_null_value_is_null_in_both_modes(spark):
+    df = spark.sql("SELECT CAST(NULL AS BINARY) AS value")
+    for mode in ("FAILFAST", "PERMISSIVE"):
+        assert df.select(from_avro("value", AB, mode=mode).alias("d")).first().d is None
+    broken = spark.sql("SELECT X'02' AS value")
+    with pytest.raises(PythonException, match="malformed Avro payload"):
+        broken.select(from_avro("value", AB)).collect()
