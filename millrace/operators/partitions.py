@@ -53,7 +53,9 @@ def existing_partitions(spark: SparkSession, path: str, by: list[str]) -> DataFr
     listed = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path)
     if not set(by) <= set(listed.columns):  # the folder exists but holds no partition yet
         return None
-    return listed.select(*by).distinct()
+    # files are planned by their size, as if they would be read: few tasks are enough
+    few = listed.select(*by).coalesce(spark.sparkContext.defaultParallelism)
+    return few.distinct()
 
 
 def conflicting_partitions(df: DataFrame, path: str, by: list[str]) -> DataFrame:

@@ -70,6 +70,8 @@ _ENTRY = [name for name in _FILES.names if name != _COMMIT]
 # After so many commits in a row the next one lists all live files, which bounds the
 # number of file lists a reader has to put together.
 _COMMITS_PER_LISTING = 50
+# Files to leave out of a folder go into the query plan as literals, so only a few may.
+_MAX_LEFT_OUT = 1000
 
 
 class VersionedTable:
@@ -251,30 +253,40 @@ class VersionedTable:
     def _file_sets(self, snapshot_id: int | None) -> list[_FileSet]:
         """Where a snapshot's live files are, as few and as short paths as possible.
 
-        A commit's folder is named as a whole while all its files are live. Else the
-        shorter list goes along: the live files, or the removed ones to leave out.
+        A commit's folder is named as a whole while all its files are live. Else a list
+        goes along: of a few removed files to leave out, or of the live ones.
         """
         lineage = self._lineage(snapshot_id)
-        specs = {row.commit_dir: tuple(row.partition_by) for row in self._log if row.commit_dir}
-        added = {row.commit_dir: _count(row, "added-files") for row in self._log if row.commit_dir}
         partial = any(row.extends_parent and _count(row, "removed-files") for row in lineage)
         if not partial and not any(row.has_carried for row in lineage):
-            whole = [row.commit_dir for row in lineage if added[row.commit_dir]]
+            specs = {row.commit_dir: tuple(row.partition_by) for row in lineage}
+            whole = [row.commit_dir for row in lineage if _count(row, "added-files")]
             return _by_spec(self.root, specs, whole, [], [])
-        live = self._live_entries(lineage)
-        counts = dict(live.groupBy("data_commit").count().collect())
-        whole = [c for c, n in counts.items() if n == added[c]]
-        few_live = [c for c, n in counts.items() if n < added[c] and n <= added[c] - n]
-        few_gone = [c for c, n in counts.items() if n < added[c] and n > added[c] - n]
+        return self._cover(self._live_entries(lineage))
+
+    def _cover(self, wanted: DataFrame) -> list[_FileSet]:
+        """Paths for the files in ``wanted`` (entries), folders as a whole where possible."""
+        specs = {row.commit_dir: tuple(row.partition_by) for row in self._log if row.commit_dir}
+        added = {row.commit_dir: _count(row, "added-files") for row in self._log if row.commit_dir}
+        counts = dict(wanted.groupBy("data_commit").count().collect())
+        whole, but_few, some = [], [], []
+        for commit, n in counts.items():
+            others = added[commit] - n
+            if others == 0:
+                whole.append(commit)
+            elif others < n and others <= _MAX_LEFT_OUT:
+                but_few.append(commit)
+            else:
+                some.append(commit)
         picked, left_out = [], []
-        if few_live:
-            rows = live.where(F.col("data_commit").isin(few_live))
+        if some:
+            rows = wanted.where(F.col("data_commit").isin(some))
             picked = rows.select("data_commit", "path").collect()
-        if few_gone:
-            gone = self._entries(few_gone).where(F.col("status") == "added")
-            gone = gone.join(live.select("uri"), "uri", "left_anti")
-            left_out = gone.select("data_commit", "uri").collect()
-        return _by_spec(self.root, specs, whole + few_gone, picked, left_out)
+        if but_few:
+            others = self._entries(but_few).where(F.col("status") == "added")
+            others = others.join(wanted.select("uri"), "uri", "left_anti")
+            left_out = others.select("data_commit", "uri").collect()
+        return _by_spec(self.root, specs, whole + but_few, picked, left_out)
 
     def _scan(self, file_sets: list[_FileSet], with_file: bool = False) -> DataFrame:
         """All columns ever, under their physical names, and on demand each row's file.
@@ -307,6 +319,7 @@ class VersionedTable:
     def rename_column(self, old: str, new: str) -> None:
         schema = self._schema()
         field = _field(schema, old)
+        _check_name(new)
         if new.lower() in {f.name.lower() for f in schema.fields if f is not field}:
             raise ValueError(f"column exists: {new}")
         renamed = StructField(new, field.dataType, True, field.metadata)
@@ -331,6 +344,7 @@ class VersionedTable:
     ) -> None:
         """Add a column behind ``after``, or last; existing rows have NULL in it."""
         schema = self._schema()
+        _check_name(name)
         if name.lower() in {f.name.lower() for f in schema.fields}:
             raise ValueError(f"column exists: {name}")
         if isinstance(kind, str):
@@ -392,7 +406,7 @@ class VersionedTable:
             rows = self.read().withColumns(changed)
             self._write_snapshot("update", "overwrite", rows, keep_parent=False)
             return
-        condition = is_true(_expression(where))
+        condition = _expression(where)
         commit = _new_commit()
         touched = self._record_touched(commit, condition)
         rows = None
@@ -409,12 +423,13 @@ class VersionedTable:
 
         Files that lose all their rows are dropped unread, files that lose none stay.
         """
-        condition = is_true(_expression(where))
+        condition = _expression(where)
         commit = _new_commit()
         touched = self._record_touched(commit, condition)
         rows = None
         if touched.hits < touched.records:
-            rows = self._read_touched(commit, touched, skip_emptied=True).where(~condition)
+            rows = self._read_touched(commit, touched, skip_emptied=True)
+            rows = rows.where(~is_true(condition))
             if touched.hits * 2 > touched.records and not self._log[-1].partition_by:
                 rows = rows.hint("rebalance")  # few rows stay: merge the small rests
         self._write_snapshot("delete", "delete", rows, commit=commit, touched=touched)
@@ -449,9 +464,7 @@ class VersionedTable:
             entries = self._entries([commit]).where(F.col("status") == "removed")
             if skip_emptied:
                 entries = entries.where(F.col("hits") < F.col("record_count"))
-            specs = {r.commit_dir: tuple(r.partition_by) for r in self._log if r.commit_dir}
-            picked = entries.select("data_commit", "path").collect()
-            file_sets = _by_spec(self.root, specs, [], picked, [])
+            file_sets = self._cover(entries)
         return self._scan(file_sets).select(*_to_logical(self._schema()))
 
     # ------------------------------------------------------------ commit
@@ -744,6 +757,11 @@ def _expression(value: Column | str) -> Column:
     return F.expr(value) if isinstance(value, str) else value
 
 
+def _check_name(name: str) -> None:
+    if name.lower() in (_COMMIT, _URI):
+        raise ValueError(f"reserved column name: {name}")
+
+
 def _field(schema: StructType, name: str) -> StructField:
     for field in schema.fields:
         if field.name.lower() == name.lower():
@@ -775,6 +793,7 @@ def _with_physical_names(wanted: StructType, known: list[StructField]) -> Struct
     taken = {f.metadata["physical"].lower() for f in known}
     out = StructType()
     for field in wanted.fields:
+        _check_name(field.name)
         same = by_name.get((field.name.lower(), field.dataType.json()))
         physical = same.metadata["physical"] if same else _free_name(field.name, taken)
         taken.add(physical.lower())

@@ -80,6 +80,16 @@ def keep_trip_table(
     return TableCounts(created, after_deletes, table.row_count())
 
 
+def avro_messages(
+    rows: DataFrame, record: dict = TAXI_RECORD, schema_id: int | None = None
+) -> DataFrame:
+    """Each row as one Avro ``value``, with a schema-id header if an id is given."""
+    payload = to_avro(F.struct("*"), record)
+    if schema_id is not None:
+        payload = framed(payload, schema_id)
+    return rows.select(payload.alias("value"))
+
+
 def fill_topic(
     rows: DataFrame,
     path: str,
@@ -87,11 +97,8 @@ def fill_topic(
     record: dict = TAXI_RECORD,
     schema_id: int | None = None,
 ) -> None:
-    """Send each row as one Avro message, with a schema-id header if an id is given."""
-    payload = to_avro(F.struct("*"), record)
-    if schema_id is not None:
-        payload = framed(payload, schema_id)
-    write_topic(rows.select(payload.alias("value")), path, topic)
+    """Send each row as one Avro message to a topic folder."""
+    write_topic(avro_messages(rows, record, schema_id), path, topic)
 
 
 def follow_topic(

@@ -26,19 +26,15 @@ def _flags(spark: SparkSession, sf_dir: str, *flags: str) -> DataFrame:
 def partition_write(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = fresh_dir(spark, "by-supplier")
     write_partitioned(table(spark, sf_dir, "lineitem"), path, ["l_suppkey"])
-    return _typed(read_partitioned(spark, path))
+    # partition values come back from directory names as int
+    return read_partitioned(spark, path).withColumn("l_suppkey", F.col("l_suppkey").cast("long"))
 
 
-@query("SELECT * FROM lineitem WHERE l_suppkey = 7")
+@query("SELECT * FROM lineitem WHERE l_linenumber = 7")
 def partition_prune(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = fresh_dir(spark, "by-supplier")
-    write_partitioned(table(spark, sf_dir, "lineitem"), path, ["l_suppkey"])
-    return _typed(read_partitioned(spark, path).where(F.col("l_suppkey") == 7))
-
-
-def _typed(rows: DataFrame) -> DataFrame:
-    # partition values read back from directory names as int
-    return rows.withColumn("l_suppkey", F.col("l_suppkey").cast("long"))
+    path = fresh_dir(spark, "by-line")
+    write_partitioned(table(spark, sf_dir, "lineitem"), path, ["l_linenumber"])
+    return read_partitioned(spark, path).where(F.col("l_linenumber") == 7)
 
 
 @query("SELECT * FROM lineitem")

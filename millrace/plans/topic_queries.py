@@ -271,7 +271,7 @@ def avro_schema_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     "ELSE props END AS props) FROM events"
 )
 def topic_avro_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
-    target = fresh_dir(spark, "nyc-taxis-avro")
+    target = fresh_dir(spark, "avro-files")
     messages = stream_topic(spark, _two_schema_topic(spark, sf_dir))
     decode = from_framed_avro("value", {1: _RECORD_1, 2: _RECORD_2}, _RECORD_2)
     topic_to_parquet_files(

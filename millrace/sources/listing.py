@@ -10,7 +10,8 @@ def list_objects(spark: SparkSession, path: str, pattern: str = "*") -> DataFram
     """One row per data object below ``path``: path, length and modification time.
 
     The listing is a file scan whose ``content`` column is never selected, so no
-    object is opened.
+    object is opened. Objects are planned by their size, as if they would be read, so
+    their many tasks are put together to a few.
     """
     return (
         spark.read.format("binaryFile")
@@ -18,6 +19,7 @@ def list_objects(spark: SparkSession, path: str, pattern: str = "*") -> DataFram
         .option("pathGlobFilter", pattern)
         .load(path)
         .select("path", "length", "modificationTime")
+        .coalesce(spark.sparkContext.defaultParallelism)
     )
 
 

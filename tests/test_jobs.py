@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import logging
+
 import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
+from millrace import run
 from millrace.operators.versioned import VersionedTable
 from millrace.plans.jobs import (
     fill_topic,
@@ -74,6 +77,23 @@ def test_fill_and_follow_topic(spark, tmp_path, trips, schema_id):
     assert stored.exceptAll(trips).count() == trips.exceptAll(stored).count() == 0
 
 
+def test_submitted_jobs(spark, tmp_path, trips, monkeypatch, caplog):
+    caplog.set_level(logging.INFO, logger="millrace")
+    source = str(tmp_path / "in")
+    write_csv(trips, source)
+    monkeypatch.setenv("INPUT_PATH", source)
+    for job in ("filter-csv", "trip-table", "fill-topic", "rewrite-partitions"):
+        run.run(spark, run.parse([job, "--output", str(tmp_path / job)]))
+    assert "rows read: 200, rows kept: 60" in caplog.text
+    assert "after rollback: 200" in caplog.text
+    follow = ["follow-topic", "--input", str(tmp_path / "fill-topic"), "--trigger", "available-now"]
+    paths = ["--output", str(tmp_path / "followed"), "--checkpoint", str(tmp_path / "ck")]
+    run.run(spark, run.parse(follow + paths))
+    assert spark.read.parquet(str(tmp_path / "followed")).count() == 200
+    with pytest.raises(SystemExit):
+        run.parse(["follow-topic", "--output", "/x"])
+
+
 def test_rewrite_partitions(spark, tmp_path, trips):
     path = str(tmp_path / "t")
     rewrite_partitions(trips, path)
