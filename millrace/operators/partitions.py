@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from millrace.workspace import path_exists
 
@@ -38,35 +39,39 @@ def write_partitioned(
     writer.parquet(path)
 
 
-def read_partitioned(spark: SparkSession, path: str) -> DataFrame:
-    """Scan a partitioned table; a filter on a partition column skips whole directories."""
-    return spark.read.parquet(path)
+def read_partitioned(
+    spark: SparkSession, path: str, schema: StructType | None = None
+) -> DataFrame:
+    """Scan a partitioned table; a filter on a partition column skips whole directories.
+
+    Without a schema Spark guesses partition types from directory names: a string
+    column whose values look like numbers comes back as numbers.
+    """
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    return reader.parquet(path)
 
 
-def existing_partitions(spark: SparkSession, path: str, by: list[str]) -> DataFrame | None:
+def existing_partitions(
+    spark: SparkSession, path: str, partition_schema: StructType
+) -> DataFrame | None:
     """The partition values that have data under ``path``, None where nothing was written.
 
-    Values come from directory names; no file is opened.
+    Values come from directory names. Of the files only the footers are read, for
+    whether they have rows, and each task puts out its distinct values only.
     """
     if not path_exists(spark, path):
         return None
-    listed = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path)
-    if not set(by) <= set(listed.columns):  # the folder exists but holds no partition yet
-        return None
-    # files are planned by their size, as if they would be read: few tasks are enough
-    few = listed.select(*by).coalesce(spark.sparkContext.defaultParallelism)
-    return few.distinct()
+    return read_partitioned(spark, path, partition_schema).distinct()
 
 
 def conflicting_partitions(df: DataFrame, path: str, by: list[str]) -> DataFrame:
     """Partition values of ``df`` that already have data under ``path``."""
     new = df.select(*by).distinct()
-    present = existing_partitions(df.sparkSession, path, by)
+    present = existing_partitions(df.sparkSession, path, new.schema)
     if present is None:
         return new.where(F.lit(False))
-    typed = present.select(*[F.col(name).cast(df.schema[name].dataType) for name in by])
-    same = [new[name].eqNullSafe(typed[name]) for name in by]
-    return new.join(typed, on=same, how="left_semi")
+    same = [new[name].eqNullSafe(present[name]) for name in by]
+    return new.join(present, on=same, how="left_semi")
 
 
 def append_new_partitions(df: DataFrame, path: str, by: list[str]) -> None:

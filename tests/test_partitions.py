@@ -53,6 +53,25 @@ def test_conflict_of_null_and_number_partitions(spark, tmp_path):
     assert rows(conflicting_partitions(new, path, ["zone"])) == [(None,)]
 
 
+def test_partition_values_that_look_like_numbers(spark, tmp_path):
+    path = str(tmp_path / "t")
+    df = _rows(spark, (1, "01"), (2, "1"), (3, "2024-01-01"))
+    append_new_partitions(df, path, ["city"])
+    with pytest.raises(PartitionConflict, match="'01'"):
+        append_new_partitions(_rows(spark, (4, "01")), path, ["city"])
+    append_new_partitions(_rows(spark, (4, "001")), path, ["city"])
+    stored = read_partitioned(spark, path, df.schema)
+    assert rows(stored) == [(1, "01"), (2, "1"), (3, "2024-01-01"), (4, "001")]
+
+
+def test_append_to_a_folder_without_partitions(spark, tmp_path):
+    path = str(tmp_path / "t")
+    none = _rows(spark, (1, "A")).where("false")
+    append_new_partitions(none, path, ["city"])
+    append_new_partitions(_rows(spark, (1, "A")), path, ["city"])
+    assert rows(read_partitioned(spark, path)) == [(1, "A")]
+
+
 def test_filter_on_partition_column_prunes(spark, tmp_path):
     path = str(tmp_path / "t")
     write_partitioned(_rows(spark, (1, "A"), (2, "B")), path, ["city"])
