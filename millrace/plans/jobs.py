@@ -10,7 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from millrace.functions.avro import from_avro, to_avro
-from millrace.functions.messages import framed, unframed
+from millrace.functions.messages import framed, json_payload, unframed
 from millrace.functions.scalar import float_ratio
 from millrace.operators.partitions import write_partitioned
 from millrace.operators.versioned import VersionedTable
@@ -90,6 +90,11 @@ def avro_messages(
     return rows.select(payload.alias("value"))
 
 
+def json_messages(rows: DataFrame) -> DataFrame:
+    """Each row as one JSON ``value``, NULL fields as null."""
+    return rows.select(json_payload().alias("value"))
+
+
 def fill_topic(
     rows: DataFrame,
     path: str,

@@ -12,97 +12,118 @@ import logging
 import sys
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql.streaming import StreamingQuery
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
+from millrace.functions.avro import from_avro, from_framed_avro  # noqa: E402
+from millrace.functions.messages import from_json_payload  # noqa: E402
 from millrace.plans import jobs  # noqa: E402
-from millrace.schemas import TAXI  # noqa: E402
+from millrace.schemas import TAXI, TAXI_RECORD  # noqa: E402
 from millrace.sources.csv_files import read_csv  # noqa: E402
-from millrace.sources.topic import kafka_stream, stream_topic, write_kafka  # noqa: E402
+from millrace.sources.topic import (  # noqa: E402
+    kafka_stream,
+    stream_topic,
+    write_kafka,
+    write_topic,
+)
+from millrace.streaming import sinks  # noqa: E402
 from millrace.streaming.progress import RowCountLogger  # noqa: E402
 from millrace.workspace import path_from_env  # noqa: E402
 
 logger = logging.getLogger("millrace")
 
-JOBS = ("filter-csv", "trip-table", "fill-topic", "follow-topic", "rewrite-partitions")
+TABLE_JOBS = ("filter-csv", "trip-table", "rewrite-partitions")
+STREAM_JOBS = ("follow-topic", "topic-to-json-files", "topic-to-parquet-files", "topic-to-table")
 
 
 def parse(arguments: list[str] | None = None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="millrace", description=__doc__)
-    parser.add_argument("job", choices=JOBS)
-    parser.add_argument("--input", default=path_from_env("INPUT_PATH", ""))
-    parser.add_argument("--output", default=path_from_env("OUTPUT_PATH", ""))
-    parser.add_argument("--checkpoint", default=path_from_env("CHECKPOINT_PATH", ""))
-    parser.add_argument("--servers", help="brokers; without them topics are folders")
-    parser.add_argument("--topic", default="nyc-avro-topic")
-    parser.add_argument("--schema-id", type=int, help="put a header with this id before messages")
-    parser.add_argument("--headers", action="store_true", help="messages have a schema-id header")
-    parser.add_argument("--min-partitions", type=int, help="least parallelism of a broker source")
-    parser.add_argument("--trigger", default="1 minute", help="interval, or 'available-now'")
+    add = parser.add_argument
+    add("job", choices=(*TABLE_JOBS, "fill-topic", *STREAM_JOBS))
+    add("--input", default=path_from_env("INPUT_PATH", ""))
+    add("--output", default=path_from_env("OUTPUT_PATH", ""))
+    add("--checkpoint", default=path_from_env("CHECKPOINT_PATH", ""))
+    add("--servers", help="brokers; without them topics are folders")
+    add("--topic", default="nyc-avro-topic")
+    add("--format", choices=("avro", "json"), default="avro", help="of the messages")
+    add("--schema-id", type=int, help="id in the header of Avro messages; none without")
+    add("--min-partitions", type=int, help="least parallelism of a broker source")
+    add("--max-offsets", type=int, help="most messages a batch takes from a broker")
+    add("--trigger", default="1 minute", help="interval, 'available-now' or 'none'")
     options = parser.parse_args(arguments)
-    for name in ("input", "output", "checkpoint"):
-        needed = {
-            "input": not (options.job == "follow-topic" and options.servers),
-            "output": not (options.job == "fill-topic" and options.servers),
-            "checkpoint": options.job == "follow-topic",
-        }[name]
-        if needed and not getattr(options, name):
+    streams, brokers = options.job in STREAM_JOBS, bool(options.servers)
+    needed = {
+        "input": not (streams and brokers),
+        "output": not (options.job == "fill-topic" and brokers),
+        "checkpoint": streams,
+    }
+    for name, is_needed in needed.items():
+        if is_needed and not getattr(options, name):
             parser.error(f"{options.job} needs --{name}")
     return options
 
 
 def run(spark: SparkSession, options: argparse.Namespace) -> None:
-    if options.job == "filter-csv":
+    if options.job in STREAM_JOBS:
+        spark.streams.addListener(RowCountLogger())
+        start_stream(spark, options).awaitTermination()
+    elif options.job == "filter-csv":
         counts = jobs.filter_csv(spark, options.input, options.output)
-        logger.info("rows read: %d, rows kept: %d", counts.total, counts.kept)
+        logger.info("rows read: %d, rows kept: %d", *counts)
     elif options.job == "trip-table":
         counts = jobs.keep_trip_table(spark, _trips(spark, options), options.output)
-        logger.info(
-            "rows created: %d, after deletes: %d, after rollback: %d",
-            counts.created,
-            counts.after_deletes,
-            counts.after_rollback,
-        )
-    elif options.job == "fill-topic":
-        _fill(spark, options)
-    elif options.job == "follow-topic":
-        _follow(spark, options)
-    else:
+        logger.info("rows created: %d, after deletes: %d, after rollback: %d", *counts)
+    elif options.job == "rewrite-partitions":
         jobs.rewrite_partitions(_trips(spark, options), options.output)
+    else:
+        fill_topic(spark, options)
 
 
-def _trips(spark: SparkSession, options: argparse.Namespace) -> DataFrame:
-    return read_csv(spark, options.input, TAXI)
-
-
-def _fill(spark: SparkSession, options: argparse.Namespace) -> None:
+def fill_topic(spark: SparkSession, options: argparse.Namespace) -> None:
     rows = _trips(spark, options)
-    if not options.servers:
-        jobs.fill_topic(rows, options.output, options.topic, schema_id=options.schema_id)
-        return
-    messages = jobs.avro_messages(rows, schema_id=options.schema_id)
-    write_kafka(messages, options.servers, options.topic)
+    if options.format == "json":
+        messages = jobs.json_messages(rows)
+    else:
+        messages = jobs.avro_messages(rows, schema_id=options.schema_id)
+    if options.servers:
+        write_kafka(messages, options.servers, options.topic)
+    else:
+        write_topic(messages, options.output, options.topic)
 
 
-def _follow(spark: SparkSession, options: argparse.Namespace) -> None:
+def start_stream(spark: SparkSession, options: argparse.Namespace) -> StreamingQuery:
     if options.servers:
-        messages = kafka_stream(spark, options.servers, options.topic, options.min_partitions)
+        messages = kafka_stream(
+            spark, options.servers, options.topic, options.min_partitions, options.max_offsets
+        )
     else:
         messages = stream_topic(spark, options.input)
-    trigger = (
-        {"availableNow": True}
-        if options.trigger == "available-now"
-        else {"processingTime": options.trigger}
-    )
-    spark.streams.addListener(RowCountLogger())
-    jobs.follow_topic(
-        messages,
-        options.output,
-        options.checkpoint,
-        has_header=options.headers,
-        trigger=trigger,
-    ).awaitTermination()
+    ends = {"available-now": sinks.AVAILABLE_NOW, "none": None}
+    trigger = ends.get(options.trigger, {"processingTime": options.trigger})
+    output, checkpoint = options.output, options.checkpoint
+    if options.job == "topic-to-json-files":
+        return sinks.topic_to_json_files(messages, output, checkpoint, trigger=trigger)
+    decode = _decode(options)
+    if options.job == "topic-to-parquet-files":
+        return sinks.topic_to_parquet_files(messages, decode, output, checkpoint, trigger=trigger)
+    if options.job == "topic-to-table":
+        return sinks.topic_to_table(messages, decode, output, checkpoint, trigger)
+    rows = messages.select(decode.alias("data")).select("data.*")
+    return sinks.stream_to_parquet(rows, output, checkpoint, trigger)
+
+
+def _trips(spark: SparkSession, options: argparse.Namespace) -> DataFrame:
+    return read_csv(spark, options.input, TAXI)
+
+
+def _decode(options: argparse.Namespace) -> Column:
+    if options.format == "json":
+        return from_json_payload("value", TAXI, mode="FAILFAST")
+    if options.schema_id is None:
+        return from_avro("value", TAXI_RECORD)
+    return from_framed_avro("value", {options.schema_id: TAXI_RECORD}, TAXI_RECORD)
 
 
 if __name__ == "__main__":

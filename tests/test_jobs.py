@@ -82,14 +82,28 @@ def test_submitted_jobs(spark, tmp_path, trips, monkeypatch, caplog):
     source = str(tmp_path / "in")
     write_csv(trips, source)
     monkeypatch.setenv("INPUT_PATH", source)
-    for job in ("filter-csv", "trip-table", "fill-topic", "rewrite-partitions"):
+    for job in run.TABLE_JOBS:
         run.run(spark, run.parse([job, "--output", str(tmp_path / job)]))
     assert "rows read: 200, rows kept: 60" in caplog.text
     assert "after rollback: 200" in caplog.text
-    follow = ["follow-topic", "--input", str(tmp_path / "fill-topic"), "--trigger", "available-now"]
-    paths = ["--output", str(tmp_path / "followed"), "--checkpoint", str(tmp_path / "ck")]
-    run.run(spark, run.parse(follow + paths))
-    assert spark.read.parquet(str(tmp_path / "followed")).count() == 200
+    json_form, avro_form = ["--format", "json"], ["--schema-id", "3"]
+    for form, stream_jobs in (
+        (json_form, ["topic-to-json-files", "topic-to-table"]),
+        (avro_form, ["follow-topic", "topic-to-parquet-files", "topic-to-table"]),
+    ):
+        topic = str(tmp_path / f"topic{form[1]}")
+        run.run(spark, run.parse(["fill-topic", "--output", topic, *form]))
+        for job in stream_jobs:
+            out = str(tmp_path / f"{job}{form[1]}")
+            paths = ["--input", topic, "--output", out, "--checkpoint", f"{out}-ck"]
+            run.run(spark, run.parse([job, "--trigger", "available-now", *paths, *form]))
+            if job == "topic-to-table":
+                stored = VersionedTable(spark, out).read()
+            elif job == "topic-to-json-files":
+                stored = spark.read.schema(TAXI).json(out)
+            else:
+                stored = spark.read.parquet(out)
+            assert rows(stored.select(*TAXI.names)) == rows(trips), job
     with pytest.raises(SystemExit):
         run.parse(["follow-topic", "--output", "/x"])
 

@@ -349,3 +349,52 @@ def test_files_of_a_failed_commit_are_not_read(spark, trips):
     assert trips.read().count() == 5
     trips.append(trips.read())
     assert trips.read().count() == trips.row_count() == 10
+
+
+def test_changes_to_an_empty_table(spark, tmp_path):
+    table = VersionedTable.create(spark, str(tmp_path / "t"), spark.range(1).schema)
+    table.delete("id > 1")
+    table.update({"id": "id + 1"})
+    table.update({"id": "id + 1"}, where="id > 0")
+    assert (table.row_count(), table.read().count(), table.snapshots().count()) == (0, 0, 3)
+    assert table.files().count() == 0
+
+
+def test_append_of_no_rows(spark, tmp_path):
+    df = spark.createDataFrame([(1, "a")], "n BIGINT, flag STRING")
+    for name, by in (("flat", ()), ("parts", ("flag",))):
+        table = VersionedTable.create(spark, str(tmp_path / name), df, partition_by=by)
+        table.append(df.where("n > 5"))
+        assert (table.row_count(), table.snapshots().count()) == (1, 2)
+        assert rows(table.read()) == [(1, "a")]
+
+
+@pytest.mark.parametrize("scheme", ["", "file://"])
+def test_root_with_unusual_characters(spark, tmp_path, scheme):
+    root = f"{scheme}{tmp_path}/a b%20+c=d"
+    df = spark.range(0, 40, 1, 4).select("id", F.concat(F.lit("é %+{"), F.col("id") % 2).alias("p"))
+    table = VersionedTable.create(spark, root, df, partition_by=["p"])
+    flat = VersionedTable.create(spark, f"{root}-flat", df)
+    for made in (table, flat):
+        made.delete("id < 10")
+        made.update({"id": "-id"}, where="id = 11")
+        made.delete("id BETWEEN 20 AND 38")
+        assert rows(VersionedTable(spark, made.root).read().select("id")) == rows(
+            spark.sql("SELECT -11L UNION ALL SELECT id FROM range(10, 20) WHERE id <> 11 UNION ALL SELECT 39L")
+        )
+
+
+def test_nested_columns(spark, tmp_path):
+    df = spark.sql("SELECT id, array(id, 2L) AS list, struct(id AS a, 'x' AS b) AS s FROM range(4)")
+    table = VersionedTable.create(spark, str(tmp_path / "t"), df)
+    table.rename_column("s", "pair")
+    table.delete("pair.a = 1")
+    assert rows(table.read()) == rows(df.where("id <> 1"))
+    assert all("s" not in file.lower_bounds for file in table.files().collect())
+
+
+def test_reserved_column_names(spark, tmp_path, trips):
+    with pytest.raises(ValueError, match="reserved"):
+        VersionedTable.create(spark, str(tmp_path / "r"), spark.range(1).toDF("mr_file"))
+    with pytest.raises(ValueError, match="reserved"):
+        trips.add_column("mr_commit", "INT")
