@@ -67,8 +67,12 @@ def parse(arguments: list[str] | None = None) -> argparse.Namespace:
 
 def run(spark: SparkSession, options: argparse.Namespace) -> None:
     if options.job in STREAM_JOBS:
-        spark.streams.addListener(RowCountLogger())
-        start_stream(spark, options).awaitTermination()
+        counter = RowCountLogger()
+        spark.streams.addListener(counter)
+        try:
+            start_stream(spark, options).awaitTermination()
+        finally:
+            spark.streams.removeListener(counter)
     elif options.job == "filter-csv":
         counts = jobs.filter_csv(spark, options.input, options.output)
         logger.info("rows read: %d, rows kept: %d", *counts)
@@ -128,4 +132,9 @@ def _decode(options: argparse.Namespace) -> Column:
 
 if __name__ == "__main__":
     logging.basicConfig(level=logging.INFO, format="%(asctime)s %(name)s %(message)s")
-    run(SparkSession.builder.appName("millrace").getOrCreate(), parse())
+    options = parse()
+    session = SparkSession.builder.appName("millrace").getOrCreate()
+    try:
+        run(session, options)
+    finally:
+        session.stop()
