@@ -128,7 +128,6 @@ class VersionedTable:
         else:
             table._write_snapshot(
                 "create" if previous is None else "overwrite",
-                "append" if previous is None else "overwrite",
                 source,
                 schema=schema,
                 spec=spec,
@@ -244,7 +243,7 @@ class VersionedTable:
             return _no_rows(self.spark, _FILES).select(*_ENTRY)
         entries = self._entries([row.commit_dir for row in listed])
         live = entries.where(F.col("status").isin("added", "carried")).select(*_ENTRY)
-        if any(row.extends_parent and _count(row, "removed-files") for row in listed):
+        if any(row.extends_parent and _count(row, "deleted-data-files") for row in listed):
             # the last row in a lineage starts from nothing: its removals are history
             removed = entries.where((F.col("status") == "removed")).select("uri")
             live = live.join(removed, "uri", "left_anti")
@@ -257,17 +256,17 @@ class VersionedTable:
         goes along: of a few removed files to leave out, or of the live ones.
         """
         lineage = self._lineage(snapshot_id)
-        partial = any(row.extends_parent and _count(row, "removed-files") for row in lineage)
+        partial = any(row.extends_parent and _count(row, "deleted-data-files") for row in lineage)
         if not partial and not any(row.has_carried for row in lineage):
             specs = {row.commit_dir: tuple(row.partition_by) for row in lineage}
-            whole = [row.commit_dir for row in lineage if _count(row, "added-files")]
+            whole = [row.commit_dir for row in lineage if _count(row, "added-data-files")]
             return _by_spec(self.root, specs, whole, [], [])
         return self._cover(self._live_entries(lineage))
 
     def _cover(self, wanted: DataFrame) -> list[_FileSet]:
         """Paths for the files in ``wanted`` (entries), folders as a whole where possible."""
         specs = {row.commit_dir: tuple(row.partition_by) for row in self._log if row.commit_dir}
-        added = {row.commit_dir: _count(row, "added-files") for row in self._log if row.commit_dir}
+        added = {row.commit_dir: _count(row, "added-data-files") for row in self._log if row.commit_dir}
         counts = dict(wanted.groupBy("data_commit").count().collect())
         whole, but_few, some = [], [], []
         for commit, n in counts.items():
@@ -388,7 +387,7 @@ class VersionedTable:
             if done and max(done) >= number:
                 return False
             summary = {"stream": stream, "stream-batch": str(number)}
-        self._write_snapshot("append", "append", rows, summary=summary)
+        self._write_snapshot("append", rows, summary=summary)
         return True
 
     def update(self, assignments: dict[str, Column | str], where: Column | str | None = None) -> None:
@@ -404,7 +403,7 @@ class VersionedTable:
             changed[field.name] = _expression(value).cast(field.dataType)
         if where is None:
             rows = self.read().withColumns(changed)
-            self._write_snapshot("update", "overwrite", rows, keep_parent=False)
+            self._write_snapshot("update", rows, keep_parent=False)
             return
         condition = _expression(where)
         commit = _new_commit()
@@ -416,7 +415,7 @@ class VersionedTable:
                 for name, value in changed.items()
             }
             rows = self._read_touched(commit, touched).withColumns(values)
-        self._write_snapshot("update", "overwrite", rows, commit=commit, touched=touched)
+        self._write_snapshot("update", rows, commit=commit, touched=touched)
 
     def delete(self, where: Column | str) -> None:
         """Delete the rows for which the condition is true; NULL keeps the row.
@@ -432,7 +431,7 @@ class VersionedTable:
             rows = rows.where(~is_true(condition))
             if touched.hits * 2 > touched.records and not self._log[-1].partition_by:
                 rows = rows.hint("rebalance")  # few rows stay: merge the small rests
-        self._write_snapshot("delete", "delete", rows, commit=commit, touched=touched)
+        self._write_snapshot("delete", rows, commit=commit, touched=touched)
 
     def _record_touched(self, commit: str, condition: Column) -> _Touched:
         """List the files with rows that meet the condition as removed by ``commit``."""
@@ -457,7 +456,7 @@ class VersionedTable:
     def _read_touched(
         self, commit: str, touched: _Touched, skip_emptied: bool = False
     ) -> DataFrame:
-        total = _count(self._snapshot(self.current_snapshot_id), "total-files")
+        total = _count(self._snapshot(self.current_snapshot_id), "total-data-files")
         if touched.files == total and not (skip_emptied and touched.emptied):
             file_sets = self._file_sets(self.current_snapshot_id)
         else:
@@ -472,7 +471,6 @@ class VersionedTable:
     def _write_snapshot(
         self,
         event: str,
-        operation: str,
         rows: DataFrame | None,
         *,
         schema: StructType | None = None,
@@ -507,7 +505,7 @@ class VersionedTable:
             )
             new.write.mode("append").parquet(self._entry_dir(commit))
             added_files, added_records = _observed(counts, "files", "records").values()
-        old_files = _count(parent, "total-files")
+        old_files = _count(parent, "total-data-files")
         old_records = _count(parent, "total-records")
         if parent is None or not keep_parent:
             removed_files, removed_records = old_files, old_records
@@ -515,6 +513,10 @@ class VersionedTable:
             removed_files, removed_records = touched.files, touched.records
         else:
             removed_files = removed_records = 0
+        if event in ("create", "append"):
+            operation = "append"
+        else:  # named by what it did to files, as table formats do
+            operation = "delete" if removed_files and not added_files else "overwrite"
         keeps_files = parent is not None and removed_files < old_files
         carries = keeps_files and len(self._lineage(parent.snapshot_id)) >= _COMMITS_PER_LISTING
         if carries:
@@ -530,11 +532,11 @@ class VersionedTable:
             has_carried=carries,
             summary={
                 **(summary or {}),
-                "added-files": str(added_files),
+                "added-data-files": str(added_files),
                 "added-records": str(added_records),
-                "removed-files": str(removed_files),
-                "removed-records": str(removed_records),
-                "total-files": str(old_files - removed_files + added_files),
+                "deleted-data-files": str(removed_files),
+                "deleted-records": str(removed_records),
+                "total-data-files": str(old_files - removed_files + added_files),
                 "total-records": str(old_records - removed_records + added_records),
             },
         )
@@ -664,7 +666,7 @@ class VersionedTable:
             F.col("path").alias("file_path"),
             F.lit("PARQUET").alias("file_format"),
             "record_count",
-            "file_size",
+            F.col("file_size").alias("file_size_in_bytes"),
             renamed("null_value_counts"),
             renamed("lower_bounds"),
             renamed("upper_bounds"),
@@ -745,8 +747,8 @@ def _count(row: Row | None, key: str) -> int:
 
 
 def _has_entries(row: Row) -> bool:
-    carried_or_gone = row.has_carried or (row.extends_parent and _count(row, "removed-files"))
-    return bool(_count(row, "added-files") or carried_or_gone)
+    carried_or_gone = row.has_carried or (row.extends_parent and _count(row, "deleted-data-files"))
+    return bool(_count(row, "added-data-files") or carried_or_gone)
 
 
 def _quoted(name: str) -> Column:

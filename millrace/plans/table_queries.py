@@ -162,7 +162,8 @@ def _total_records() -> Column:
 @query(
     f"{_COUNTS_SQL} SELECT 'append' AS operation, n0 AS total_records, TRUE AS is_first FROM c "
     "UNION ALL SELECT 'overwrite', n0, FALSE FROM c "
-    "UNION ALL SELECT 'delete', n1, FALSE FROM c UNION ALL SELECT 'delete', n2, FALSE FROM c"
+    "UNION ALL SELECT 'overwrite', n1, FALSE FROM c "
+    "UNION ALL SELECT 'overwrite', n2, FALSE FROM c"
 )
 def snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _deleted(spark, sf_dir).snapshots().orderBy("committed_at")
@@ -226,8 +227,8 @@ def read_first_version(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(_evolved_sql(_RATIO_SQL))
 def as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     made = _deleted(spark, sf_dir)
-    update = made.snapshots().where(F.col("operation") == "overwrite").first()
-    return made.read(as_of=update.committed_at)
+    _, updated, *_ = made.snapshots().orderBy("committed_at").collect()
+    return made.read(as_of=updated.committed_at)
 
 
 @query(

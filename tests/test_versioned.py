@@ -117,7 +117,7 @@ def test_update_delete_snapshots_and_rollback(spark, trips):
     assert rows(trips.read().select("id")) == [(5,)]
     assert trips.row_count() == 1
     assert [r.operation for r in trips.snapshots().orderBy("committed_at").collect()] == [
-        "append", "overwrite", "delete", "delete"
+        "append", "overwrite", "overwrite", "overwrite"
     ]
     assert trips.history().orderBy("made_current_at").first().snapshot_id == first
     trips.rollback(first)
@@ -175,11 +175,12 @@ def test_delete_rewrites_only_files_with_such_rows(spark, tmp_path):
     assert len(before & after) == 2 and len(after - before) == 1
     assert table.row_count() == table.read().count() == 13
     summary = table.snapshots().orderBy(F.desc("committed_at")).first().summary
-    assert (summary["removed-files"], summary["added-records"]) == ("2", "3")
+    assert (summary["deleted-data-files"], summary["added-records"]) == ("2", "3")
     table.delete("part = 99")
     assert _data_files(table) == after
     assert table.snapshots().count() == 6
     table.delete("true")
+    assert table.snapshots().orderBy(F.desc("committed_at")).first().operation == "delete"
     assert (table.row_count(), table.read().count(), _data_files(table)) == (0, 0, set())
     table.append(spark.sql("SELECT 7L AS part, 7L AS n"))
     assert rows(table.read()) == [(7, 7)]
