@@ -19,6 +19,7 @@ from pyspark.sql.types import (
     MapType,
     StringType,
     StructType,
+    TimestampType,
     VariantType,
 )
 
@@ -70,18 +71,23 @@ def stats_by_scan(df: DataFrame) -> DataFrame:
     plain = [f.name for f in df.schema.fields if not isinstance(f.dataType, _UNORDERED)]
 
     def per_column(make, names: list[str]) -> Column:
-        pairs = [part for name in names for part in (F.lit(name), make(_quoted(name)))]
+        pairs = [part for name in names for part in (F.lit(name), make(_quoted(name), name))]
         return F.create_map(*pairs)
 
+    def as_text(value: Column, name: str) -> Column:
+        if isinstance(df.schema[name].dataType, TimestampType):  # also right in another zone
+            return F.date_format(value, "yyyy-MM-dd HH:mm:ss.SSSSSSXXX")
+        return value.cast("string")
+
     def known(bounds: Column) -> Column:
         return F.map_filter(bounds, lambda _, value: value.isNotNull())
 
     uri = F.col("_metadata.file_path")
     return df.groupBy(uri.alias("uri")).agg(
         F.count("*").alias("record_count"),
-        per_column(lambda c: F.count_if(c.isNull()), df.columns).alias("null_value_counts"),
-        known(per_column(lambda c: F.min(c).cast("string"), plain)).alias("lower_bounds"),
-        known(per_column(lambda c: F.max(c).cast("string"), plain)).alias("upper_bounds"),
+        per_column(lambda c, _: F.count_if(c.isNull()), df.columns).alias("null_value_counts"),
+        known(per_column(lambda c, n: as_text(F.min(c), n), plain)).alias("lower_bounds"),
+        known(per_column(lambda c, n: as_text(F.max(c), n), plain)).alias("upper_bounds"),
     )
 
 

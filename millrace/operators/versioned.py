@@ -23,6 +23,7 @@ import json
 import time
 import uuid
 from datetime import datetime
+from typing import Any
 
 from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
@@ -221,6 +222,28 @@ class VersionedTable:
         scan = self._scan(self._file_sets(snapshot_id))
         return scan.select(*_to_logical(schema))
 
+    def read_range(self, column: str, low: Any = None, high: Any = None) -> DataFrame:
+        """Current rows with ``low <= column <= high``, either side open if None.
+
+        Files whose recorded bounds lie outside are not even listed. ``read`` with the same
+        filter skips them too, but opens each one's footer to learn of its bounds.
+        """
+        schema = self._schema()
+        field = _field(schema, column)
+        physical = F.lit(field.metadata["physical"])
+        within, may_match = _quoted(field.name).isNotNull(), F.lit(True)
+        for limit, bounds, holds in (
+            (low, "upper_bounds", Column.__ge__),
+            (high, "lower_bounds", Column.__le__),
+        ):
+            if limit is not None:
+                value = F.lit(limit).cast(field.dataType)
+                bound = F.try_element_at(bounds, physical).cast(field.dataType)
+                within &= holds(_quoted(field.name), value)
+                may_match &= bound.isNull() | holds(bound, value)
+        entries = self._live_entries(self._lineage(self.current_snapshot_id)).where(may_match)
+        return self._scan(self._cover(entries)).select(*_to_logical(schema)).where(within)
+
     def _snapshot_at(self, moment: datetime | str) -> int:
         typed = F.unix_micros(F.lit(moment).cast("timestamp"))
         limit = self.spark.range(1).select(typed.alias("us")).first().us
@@ -438,8 +461,10 @@ class VersionedTable:
         lineage = self._lineage(self.current_snapshot_id)
         scan = self._scan(self._file_sets(self.current_snapshot_id), with_file=True)
         logical = scan.select(*_to_logical(self._schema()), F.col(_URI))
-        hits = logical.where(condition).groupBy(F.col(_URI).alias("uri"))
-        hits = hits.agg(F.count("*").alias("hits"))
+        matching = logical.where(condition)
+        if not matching._jdf.queryExecution().analyzed().deterministic():
+            raise ValueError("the condition must be deterministic: it is evaluated twice")
+        hits = matching.groupBy(F.col(_URI).alias("uri")).agg(F.count("*").alias("hits"))
         live = self._live_entries(lineage).drop("hits", "status")
         gone = live.join(hits, "uri").withColumn("status", F.lit("removed"))
         found = Observation()
@@ -488,10 +513,9 @@ class VersionedTable:
         if rows is not None:
             self._write_data(rows, schema, spec, commit)
             root = f"{self.root}/data/{_COMMIT}={commit}"
-            physical = StructType(
-                [StructField(f.metadata["physical"], f.dataType) for f in schema.fields]
-            )
-            new = describe_files(self.spark, root, physical).where("record_count > 0")
+            physical = [StructField(f.metadata["physical"], f.dataType) for f in schema.fields]
+            stored = StructType([f for f in physical if f.name not in spec])
+            new = describe_files(self.spark, root, stored).where("record_count > 0")
             new = new.withColumns(
                 {
                     "status": F.lit("added"),

@@ -93,6 +93,14 @@ def schema_evolve_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _evolved(spark, sf_dir).read().where(F.col("fare") > 50000)
 
 
+@query("SELECT * FROM lineitem WHERE l_shipdate BETWEEN '1996-01-01' AND '1996-12-31'")
+def versioned_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """With files laid out by date, most of them are never listed for the scan."""
+    rows = table(spark, sf_dir, "lineitem").repartitionByRange(8, "l_shipdate")
+    made = VersionedTable.create(spark, fresh_dir(spark, "by-date"), rows)
+    return made.read_range("l_shipdate", "1996-01-01", "1996-12-31")
+
+
 @query("SELECT * FROM lineitem UNION ALL SELECT * FROM lineitem WHERE l_quantity > 25")
 def partition_evolve(spark: SparkSession, sf_dir: str) -> DataFrame:
     made = _created(spark, sf_dir)

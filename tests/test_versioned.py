@@ -394,8 +394,71 @@ def test_nested_columns(spark, tmp_path):
     assert all("s" not in file.lower_bounds for file in table.files().collect())
 
 
+def test_condition_must_be_deterministic(trips):
+    for change in (
+        lambda: trips.delete("rand() > 0.5"),
+        lambda: trips.update({"id": "0"}, where=F.rand() > 0.5),
+    ):
+        with pytest.raises(ValueError, match="deterministic"):
+            change()
+    assert trips.version == 0
+
+
 def test_reserved_column_names(spark, tmp_path, trips):
     with pytest.raises(ValueError, match="reserved"):
         VersionedTable.create(spark, str(tmp_path / "r"), spark.range(1).toDF("mr_file"))
     with pytest.raises(ValueError, match="reserved"):
         trips.add_column("mr_commit", "INT")
+
+
+def test_range_read_lists_only_files_that_may_match(spark, tmp_path):
+    df = spark.range(0, 80, 1, 8).select(
+        "id",
+        F.when(F.col("id") % 9 != 0, F.col("id") * 1.5).alias("x"),
+        F.concat(F.lit("é"), F.lpad(F.col("id").cast("string"), 3, "0")).alias("s"),
+        (F.lit("2024-01-01").cast("timestamp_ntz") + F.make_dt_interval(F.col("id"))).alias("t"),
+        F.timestamp_seconds(F.col("id") * 86400).alias("z"),
+    )
+    table = VersionedTable.create(spark, str(tmp_path / "t"), df)
+    table.rename_column("x", "y")
+    table.add_column("later", "INT")
+    for column, low, high in (
+        ("id", 15, 31),
+        ("y", 22.5, 22.5),
+        ("y", None, -1.0),
+        ("s", "é07", None),
+        ("t", "2024-02-01", datetime(2024, 2, 20, 12)),
+        ("z", datetime(1970, 1, 20), datetime(1970, 2, 3)),
+        ("later", 0, None),
+    ):
+        expected = table.read()
+        for limit, op in ((low, ">="), (high, "<=")):
+            if limit is not None:
+                kind = dict(expected.dtypes)[column]
+                value = F.lit(limit).cast(kind)
+                expected = expected.where(F.col(column) >= value if op == ">=" else F.col(column) <= value)
+        assert rows(table.read_range(column, low, high)) == rows(expected), column
+    assert len(table.read_range("id", 15, 31).inputFiles()) == 3
+    assert len(table.read_range("s", "é07", None).inputFiles()) == 1
+    table.delete("id = 16")
+    assert rows(table.read_range("id", 15, 18).select("id")) == [(15,), (17,), (18,)]
+
+
+def test_statistics_by_scan_serve_tables_out_of_reach(spark, tmp_path, monkeypatch):
+    """As on a store whose files executors cannot open as plain files."""
+    monkeypatch.setattr(file_stats, "is_plain_file_path", lambda *_: False)
+    df = spark.range(0, 40, 1, 4).select(
+        "id", F.timestamp_seconds(F.col("id") * 86400).alias("z"), (F.col("id") % 2).alias("p")
+    )
+    table = VersionedTable.create(spark, str(tmp_path / "t"), df, partition_by=["p"])
+    table.delete("id < 7")
+    assert table.row_count() == table.read().count() == 33
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    try:
+        found = table.read_range("z", "1970-01-10T00:00:00Z", "1970-01-12T00:00:00Z")
+        assert sorted(row.id for row in found.collect()) == [9, 10, 11]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    files = table.files().collect()
+    assert sum(file.record_count for file in files) == 33
+    assert all(file.null_value_counts == {"id": 0, "z": 0} for file in files)
