@@ -54,7 +54,7 @@ def spark_schema(schema: str | dict) -> StructType:
 
 
 def to_avro(row: Column, schema: str | dict) -> Column:
-    """Encode a struct whose fields are named as in the schema; NULL in a required field is an error."""
+    """Encode a struct with the schema's field names; NULL in a required field is an error."""
     fields = parse_record(schema)
 
     @F.arrow_udf("binary")
@@ -65,7 +65,10 @@ def to_avro(row: Column, schema: str | dict) -> Column:
 
 
 def from_avro(
-    value: Column | str, schema: str | dict, mode: str = "FAILFAST", reader: str | dict | None = None
+    value: Column | str,
+    schema: str | dict,
+    mode: str = "FAILFAST",
+    reader: str | dict | None = None,
 ) -> Column:
     """Decode payloads written under ``schema`` into a struct of the reader's fields.
 

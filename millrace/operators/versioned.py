@@ -6,11 +6,12 @@ Spark SQL. A table is a folder of three parts, each written with ``df.write``:
 ``data/mr_commit=<id>/``   immutable Parquet files of one commit
 ``files/mr_commit=<id>/``  which files that commit added or removed, with statistics
 ``log/version=<n>/``       one row per commit, DDL statement or rollback
+``log_upto/version=<n>/``  all log rows so far, every fiftieth version
 
-A commit takes effect when its one log row is there; whatever a failed job left under
-``data`` or ``files`` is never read. Log rows and file lists describe files, not data,
-and are the only thing the driver sees. One writer at a time: two writers that race for
-a version number collide on its folder, but the check is only as atomic as the store.
+A commit takes effect when its one log row is there, marked as complete; whatever a
+failed job left behind is never read. Log rows and file lists describe files, not data,
+and are the only thing the driver sees. One writer at a time: a writer that finds its
+version taken fails, but two at the same moment are not told apart.
 
 Columns keep one physical name in all files, whatever they are called now. So one scan
 serves files from before and after a rename, move or added column, filters reach the
@@ -43,6 +44,7 @@ from millrace.functions.scalar import is_true
 from millrace.operators.file_stats import STATS, describe_files
 from millrace.workspace import path_exists
 
+_DONE = "_SUCCESS"  # what a finished Spark write leaves in its folder
 _COMMIT = "mr_commit"
 _URI = "mr_file"
 _LOG = (
@@ -68,27 +70,34 @@ _FILES = (
     .add(_COMMIT, "string")
 )
 _ENTRY = [name for name in _FILES.names if name != _COMMIT]
-# After so many commits in a row the next one lists all live files, which bounds the
-# number of file lists a reader has to put together.
+# After so many commits in a row the next one lists all live files, and so often the
+# whole log is written again as one. This bounds what a reader has to put together.
 _COMMITS_PER_LISTING = 50
 # Files to leave out of a folder go into the query plan as literals, so only a few may.
 _MAX_LEFT_OUT = 1000
 
 
+class CommitConflict(Exception):
+    """Another writer took the version this one was about to write."""
+
+
 class VersionedTable:
     """A table under ``root``, as of the version that was current when it was opened."""
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
-        rows = spark.read.schema(_LOG).parquet(f"{self.root}/log").collect()
+        last = self._last_version()
+        if last < 0:
+            raise ValueError(f"no table: {root}")
+        rows = spark.read.schema(_LOG).parquet(*self._log_paths(last)).collect()
         self._log: list[Row] = sorted(rows, key=lambda row: row.version)
 
     # ------------------------------------------------------------ create
 
     @classmethod
     def exists(cls, spark: SparkSession, root: str) -> bool:
-        return path_exists(spark, f"{root.rstrip('/')}/log/version=0")
+        return path_exists(spark, f"{root.rstrip('/')}/log/version=0/{_DONE}")
 
     @classmethod
     def create(
@@ -162,6 +171,34 @@ class VersionedTable:
         snapshot = self._snapshot(self.current_snapshot_id)
         return 0 if snapshot is None else int(snapshot.summary["total-records"])
 
+    def _is_logged(self, version: int) -> bool:
+        return path_exists(self.spark, f"{self.root}/log/version={version}/{_DONE}")
+
+    def _last_version(self) -> int:
+        """The newest version, found in few looks whatever their number: there are no gaps."""
+        if not self._is_logged(0):
+            return -1
+        known, missing = 0, 1
+        while self._is_logged(missing):
+            known, missing = missing, missing * 2
+        while missing - known > 1:
+            middle = (known + missing) // 2
+            if self._is_logged(middle):
+                known = middle
+            else:
+                missing = middle
+        return known
+
+    def _log_paths(self, last: int) -> list[str]:
+        """The newest list of all log rows, and the single rows after it."""
+        start = last - last % _COMMITS_PER_LISTING
+        lists = f"{self.root}/log_upto/version="
+        while start > 0 and not path_exists(self.spark, f"{lists}{start}/{_DONE}"):
+            start -= _COMMITS_PER_LISTING
+        single = range(start + 1 if start > 0 else 0, last + 1)
+        paths = [f"{self.root}/log/version={version}" for version in single]
+        return [f"{lists}{start}", *paths] if start > 0 else paths
+
     def _schema(self, row: Row | None = None) -> StructType:
         return StructType.fromJson(json.loads((row or self._log[-1]).schema))
 
@@ -289,7 +326,8 @@ class VersionedTable:
     def _cover(self, wanted: DataFrame) -> list[_FileSet]:
         """Paths for the files in ``wanted`` (entries), folders as a whole where possible."""
         specs = {row.commit_dir: tuple(row.partition_by) for row in self._log if row.commit_dir}
-        added = {row.commit_dir: _count(row, "added-data-files") for row in self._log if row.commit_dir}
+        commits = [row for row in self._log if row.commit_dir]
+        added = {row.commit_dir: _count(row, "added-data-files") for row in commits}
         counts = dict(wanted.groupBy("data_commit").count().collect())
         whole, but_few, some = [], [], []
         for commit, n in counts.items():
@@ -413,7 +451,9 @@ class VersionedTable:
         self._write_snapshot("append", rows, summary=summary)
         return True
 
-    def update(self, assignments: dict[str, Column | str], where: Column | str | None = None) -> None:
+    def update(
+        self, assignments: dict[str, Column | str], where: Column | str | None = None
+    ) -> None:
         """Set columns to expressions over the old row, where the condition is true.
 
         Only files with such rows are rewritten. The condition is evaluated once to find
@@ -636,15 +676,22 @@ class VersionedTable:
             "version": version,
         }
         entry = F.from_json(F.lit(json.dumps(row)), _LOG)
+        if self._is_logged(version):
+            raise CommitConflict(f"version {version} of {self.root} was written by another writer")
         df = self.spark.range(1, numPartitions=1).select(entry.alias("entry")).select("entry.*")
-        df.drop("version").write.parquet(f"{self.root}/log/version={version}")
+        # overwrites no more than what a writer that failed half way may have left
+        df.write.mode("overwrite").parquet(f"{self.root}/log/version={version}")
         self._log.append(Row(**row))
+        if version and version % _COMMITS_PER_LISTING == 0:
+            # readers do without this list if the writer fails here
+            self._log_frame().write.mode("overwrite").parquet(
+                f"{self.root}/log_upto/version={version}"
+            )
 
     # ------------------------------------------------------------ metadata
 
     def _log_frame(self) -> DataFrame:
-        log = self.spark.read.schema(_LOG).parquet(f"{self.root}/log")
-        return log.where(F.col("version") <= self.version)
+        return self.spark.read.schema(_LOG).parquet(*self._log_paths(self.version))
 
     def snapshots(self) -> DataFrame:
         """One row per commit: when, id, parent, operation and summary."""

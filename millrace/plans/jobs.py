@@ -1,4 +1,4 @@
-"""The five whole jobs: filter a CSV, keep a versioned table, fill and follow a topic, rewrite partitions."""
+"""The five whole jobs: filter a CSV, keep a table, fill and follow a topic, rewrite partitions."""
 
 from __future__ import annotations
 

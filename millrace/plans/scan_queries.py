@@ -148,7 +148,8 @@ def ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def ratio_above(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "lineitem")
-    computed = rows.select("l_orderkey", float_ratio("l_extendedprice", "l_discount").alias("ratio"))
+    value = float_ratio("l_extendedprice", "l_discount")
+    computed = rows.select("l_orderkey", value.alias("ratio"))
     return computed.where(F.col("ratio") > 1000000.0)
 
 

@@ -148,7 +148,10 @@ def delete_null(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _deleted(spark, sf_dir).read()
 
 
-@query("SELECT * FROM lineitem WHERE NOT (l_returnflag = 'R' OR l_returnflag = 'A' AND l_quantity > 30)")
+@query(
+    "SELECT * FROM lineitem "
+    "WHERE NOT (l_returnflag = 'R' OR l_returnflag = 'A' AND l_quantity > 30)"
+)
 def delete_some_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One partition's files go unread, one's are rewritten, one's stay."""
     made = _by_flag(spark, sf_dir)

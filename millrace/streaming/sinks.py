@@ -82,7 +82,7 @@ def topic_to_parquet_files(
 
 
 def topic_table_path(warehouse: str, namespace: str, prefix: str, topic: str) -> str:
-    """Where a topic's table lives: namespace, then prefix and topic with dots and dashes as ``_``."""
+    """Where a topic's table lives: namespace, then prefix and topic in word characters."""
     return f"{warehouse.rstrip('/')}/{namespace}/{re.sub(r'[^A-Za-z0-9_]', '_', prefix + topic)}"
 
 

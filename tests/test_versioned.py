@@ -1,16 +1,16 @@
 from __future__ import annotations
 
 from datetime import datetime, timedelta
+from pathlib import Path
 
 import pytest
-from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from conftest import rows
 from millrace.functions.scalar import float_ratio, is_true
 from millrace.operators import file_stats, versioned
-from millrace.operators.versioned import VersionedTable
+from millrace.operators.versioned import CommitConflict, VersionedTable
 
 
 @pytest.fixture
@@ -337,11 +337,38 @@ def test_versions_beyond_the_last_ten_expire(trips):
 def test_two_writers_collide(spark, trips):
     other = VersionedTable(spark, trips.root)
     trips.delete("id = 1")
-    with pytest.raises(AnalysisException, match="PATH_ALREADY_EXISTS"):
+    with pytest.raises(CommitConflict):
         other.delete("id = 2")
     assert VersionedTable(spark, trips.root).row_count() == 4
 
 
+def test_log_in_parts(spark, trips, monkeypatch):
+    """A long log is read as one list and the rows after it."""
+    monkeypatch.setattr(versioned, "_COMMITS_PER_LISTING", 4)
+    notes = []
+    for n in range(11):
+        trips.comment_column("id", f"note {n}")
+        notes.append(VersionedTable(spark, trips.root).schema["id"].metadata["comment"])
+    assert notes == [f"note {n}" for n in range(11)]
+    paths = VersionedTable(spark, trips.root)._log_paths(11)
+    assert [path.split("/")[-2:] for path in paths] == [
+        ["log_upto", "version=8"], ["log", "version=9"], ["log", "version=10"], ["log", "version=11"]
+    ]
+    assert trips.versions().count() == 12
+    Path(f"{trips.root}/log_upto/version=8/_SUCCESS").unlink()  # as if its writer had failed
+    assert len(trips._log_paths(11)) == 8
+    assert VersionedTable(spark, trips.root).version == 11
+    with pytest.raises(ValueError, match="no table"):
+        VersionedTable(spark, trips.root + "-none")
+
+
+def test_a_log_row_left_half_written_does_not_count(spark, trips):
+    Path(f"{trips.root}/log/version=1/_temporary").mkdir(parents=True)
+    assert VersionedTable(spark, trips.root).version == 0
+    trips.delete("id = 1")
+    assert VersionedTable(spark, trips.root).row_count() == 4
+
+
 def test_files_of_a_failed_commit_are_not_read(spark, trips):
     bad = trips.read().withColumn("id", F.raise_error(F.lit("lost")).cast("long"))
     with pytest.raises(Exception, match="lost"):
