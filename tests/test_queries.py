@@ -9,10 +9,10 @@ import duckdb
 import pytest
 
 import __spark_entry__
+from millrace.plans.registry import CHECK_SQL as CHECKS
+from millrace.plans.registry import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
-QUERIES = __spark_entry__.queries()
-CHECKS = __spark_entry__.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -51,3 +51,5 @@ def test_entry(spark):
 
 def test_every_query_has_check_sql():
     assert CHECKS.keys() == QUERIES.keys()
+    assert QUERIES.items() <= __spark_entry__.queries().items()
+    assert CHECKS.items() <= __spark_entry__.oracle_sql().items()
