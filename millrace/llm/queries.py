@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.llm.quality import COUNTS, base_failed, text_counts, with_verdicts
+from millrace.llm.shared import written
 from millrace.llm.suffix_dedup import remove_repeats
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,3 +38,17 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size("spans").cast("long").alias("n_spans"),
         F.sha2("kept", 256).alias("kept_sha256"),
     )
+
+
+@query
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and verdicts of all documents."""
+    docs = table(spark, sf_dir, "documents")
+    measured = docs.select("doc_id", "lang", "source", text_counts("text").alias("counts"))
+    judged = with_verdicts(written(measured, "counts"), "counts", "kept")
+    return judged.select(
+        "doc_id",
+        *(F.col(f"counts.{name}") for name in COUNTS),
+        base_failed(F.col("counts")).alias("base_failed"),
+        "kept",
+    )
