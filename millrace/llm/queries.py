@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm.quality import COUNTS, base_failed, text_counts, with_verdicts
+from millrace.llm.secrets import secret_spans
 from millrace.llm.shared import written
 from millrace.llm.suffix_dedup import remove_repeats
 
@@ -52,3 +53,26 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         base_failed(F.col("counts")).alias("base_failed"),
         "kept",
     )
+
+
+def _listed(spans: str) -> Column:
+    return F.array_join(
+        F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ","
+    )
+
+
+@query
+def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in all documents; the digest covers the first three rules."""
+    found = table(spark, sf_dir, "documents").select("doc_id", secret_spans("text").alias("found"))
+
+    def of(kind: str) -> Column:
+        return F.filter("found", lambda s: s["kind"] == kind)
+
+    base = F.filter("found", lambda s: s["kind"].isin("assign", "access", "hex"))
+    return found.withColumn("base", base).select(
+        "doc_id",
+        *(F.size(of(kind)).cast("long").alias(f"n_{kind}") for kind in ("assign", "access", "hex")),
+        F.sha2(_listed("base"), 256).alias("base_sha256"),
+        _listed("found").alias("spans"),
+    )
