@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.llm.packing import packed, tokenized_pieces
 from millrace.llm.quality import COUNTS, base_failed, text_counts, with_verdicts
 from millrace.llm.secrets import secret_spans
 from millrace.llm.shared import written
@@ -76,3 +78,25 @@ def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(_listed("base"), 256).alias("base_sha256"),
         _listed("found").alias("spans"),
     )
+
+
+@query
+def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents' tokens packed into sequences of at most 4096."""
+    return packed_documents(table(spark, sf_dir, "documents"))
+
+
+def packed_documents(docs: DataFrame) -> DataFrame:
+    pieces = tokenized_pieces(docs, public_tokenizers.path("word_bpe_49k.json"))
+    return packed(
+        written(
+            pieces.select(
+                F.col("id").alias("doc_id"),
+                "piece",
+                "start",
+                "length",
+                F.crc32("ids").alias("ids_crc32"),
+            ),
+            "pieces",
+        )
+    )
