@@ -14,6 +14,8 @@ import bisect
 import os
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
+from functools import cache
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -27,7 +29,7 @@ from millrace.llm.words import words
 
 #: Parts that pieces of one length are dealt to for numbering.
 _PARTS = 256
-_KEPT_WORDS = 500_000
+_KEPT_WORDS = 1_500_000
 _KEPT_LENGTH = 64
 
 
@@ -41,24 +43,28 @@ class _WordIds:
         self.tokenizer = Tokenizer.from_file(path)
         self.known: dict[bytes, bytes] = {}
 
-    def learn(self, new: Iterable[bytes]) -> None:
-        if len(self.known) > _KEPT_WORDS:
-            self.known.clear()
-        found = list(new)
-        encoded = self.tokenizer.encode_batch(
-            [word.decode() for word in found], add_special_tokens=False
+    def ids(self, texts: list[list[bytes]]) -> list[bytes]:
+        """Packed ids of each list of words."""
+        known = self.known
+        if len(known) > _KEPT_WORDS:
+            known.clear()
+        new = list(set(chain.from_iterable(texts)).difference(known))
+        encoded = self.tokenizer.encode_batch_fast(
+            [word.decode() for word in new], add_special_tokens=False
         )
-        for word, encoding in zip(found, encoded, strict=True):
-            self.known[word] = np.array(encoding.ids, "<u4").tobytes()
+        for word, encoding in zip(new, encoded, strict=True):
+            known[word] = np.array(encoding.ids, "<u4").tobytes()
+        packed = [b"".join(map(known.__getitem__, text)) for text in texts]
+        for word in new:
+            if len(word) > _KEPT_LENGTH:
+                del known[word]
+        return packed
 
-    def ids(self, texts: list[list[bytes]]) -> Iterator[bytes]:
-        """Packed ids of each list of words."""
-        self.learn({word for text in texts for word in text}.difference(self.known))
-        long = [word for word in self.known if len(word) > _KEPT_LENGTH]
-        for text in texts:
-            yield b"".join(map(self.known.__getitem__, text))
-        for word in long:
-            del self.known[word]
+
+@cache
+def _word_ids(path: str) -> _WordIds:
+    """One memory of words for all tasks of a worker process."""
+    return _WordIds(path)
 
 
 def tokenized_pieces(
@@ -78,7 +84,7 @@ def tokenized_pieces(
     id_type = docs.schema[id_col].dataType.simpleString()
 
     def encode(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = _WordIds(tokenizer)
+        known = _word_ids(tokenizer)
         end = np.array([end_id], "<u4").tobytes()
         for batch in batches:
             for low, high in text_chunks(batch["body"]):
