@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.llm.ngram_join import set_components
 from millrace.llm.packing import packed, tokenized_pieces
 from millrace.llm.quality import COUNTS, base_failed, text_counts, with_verdicts
 from millrace.llm.secrets import secret_spans
@@ -100,3 +101,9 @@ def packed_documents(docs: DataFrame) -> DataFrame:
             "pieces",
         )
     )
+
+
+@query
+def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of all documents by the likeness of their sets of 5-word shingles."""
+    return set_components(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
