@@ -37,6 +37,7 @@ _POSTING = np.dtype([("token", "u4"), ("cls", "u8"), ("size", "u4"), ("often", "
 _PAIR = np.dtype(
     [("a", "u8"), ("b", "u8"), ("size_a", "u4"), ("size_b", "u4"), ("often", "u2"), ("n", "u4")]
 )
+_HELD = np.dtype([("token", "u4"), ("cls", "u8")])
 _MOST_OFTEN = 0xFFFF
 _RARE, _OFTEN = 0, 1
 
@@ -285,18 +286,17 @@ def _shared_tokens(
 
     def meet(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = from_blocks(batches, {_RARE: _POSTING, _OFTEN: _POSTING})
-        often = np.unique(found[_OFTEN][["token", "cls"]])
+        distinct, _, size = _by_token(found[_OFTEN])
         # of a token in one class only nothing follows
-        _, size = np.unique(often["token"], return_counts=True)
-        often = often[np.repeat(size > 1, size)]
-        yield from to_blocks(often, often["cls"], 1, _OFTEN)
+        distinct = distinct[np.repeat(size > 1, size)]
+        often = np.zeros(len(distinct), _HELD)
+        often["token"], often["cls"] = distinct["token"], distinct["cls"]
+        yield from to_blocks(often, mix(often["cls"]), buckets, _OFTEN)
         for pairs in _pairs(found[_RARE], alike):
             yield from to_blocks(pairs, mix(pairs["a"] * np.uint64(3) + pairs["b"]), buckets, _RARE)
 
-    held = np.dtype([("token", "u4"), ("cls", "u8")])
-
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found = from_blocks(batches, {_RARE: _PAIR, _OFTEN: held})
+        found = from_blocks(batches, {_RARE: _PAIR, _OFTEN: _HELD})
         pairs = _summed(found[_RARE])
         needed = alike.in_prefixes(pairs["size_a"].astype(np.int64), pairs["size_b"].astype(np.int64))
         often = pairs["often"].astype(np.int64)
@@ -336,11 +336,21 @@ def _shared_tokens(
     )
 
 
+def _by_token(postings: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct postings in order of tokens and classes; where each token starts, and how many it has."""
+    postings = postings[np.lexsort((postings["cls"], postings["token"]))]
+    token, cls = postings["token"], postings["cls"]
+    new = np.ones(len(postings), bool)
+    new[1:] = (token[1:] != token[:-1]) | (cls[1:] != cls[:-1])
+    postings = postings[new]
+    token = postings["token"]
+    starts = np.flatnonzero(np.append(True, token[1:] != token[:-1])[: len(postings)])
+    return postings, starts, np.diff(starts, append=len(postings))
+
+
 def _pairs(postings: np.ndarray, alike: Likeness) -> Iterator[np.ndarray]:
     """Pairs of classes with the number of rare tokens that they share in a bucket."""
-    postings = np.unique(postings)
-    starts = np.flatnonzero(np.append(True, np.diff(postings["token"]) != 0)[: len(postings)])
-    sizes = np.diff(starts, append=len(postings))
+    postings, starts, sizes = _by_token(postings)
     held, count = [], 0
     for size in np.unique(sizes[sizes > 1]):
         at = starts[sizes == size]
