@@ -8,12 +8,16 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.llm.chat import perspectives
+from millrace.llm.decontaminate import leaks
 from millrace.llm.ngram_join import set_components
 from millrace.llm.packing import packed, tokenized_pieces
 from millrace.llm.quality import COUNTS, base_failed, text_counts, with_verdicts
 from millrace.llm.secrets import secret_spans
 from millrace.llm.shared import written
+from millrace.llm.sharding import placed
 from millrace.llm.suffix_dedup import remove_repeats
+from millrace.llm.token_counts import token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -107,3 +111,64 @@ def packed_documents(docs: DataFrame) -> DataFrame:
 def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of all documents by the likeness of their sets of 5-word shingles."""
     return set_components(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
+@query
+def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that contain half of a benchmark item or more, in any order."""
+    found = leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.withColumnRenamed("id", "doc_id")
+
+
+@query
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of all documents under a unigram model of 32,000 pieces."""
+    counted = token_counts("text", public_tokenizers.path("piece_bpe_32k.model"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", counted.alias("counted"))
+    return docs.select("doc_id", "counted.*")
+
+
+@query
+def op3_chat_perspectives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations for each participant, with spans as start-end."""
+    views = perspectives(table(spark, sf_dir, "conversations"))
+    spans = F.transform("mask", lambda s: F.concat_ws("-", s["start"], s["end"]))
+    return views.withColumn("mask", F.array_join(spans, ","))
+
+
+#: Every turn for every speaker of its conversation; rendering as in ``chat.render``.
+CHECK_SQL["op3_chat_perspectives"] = r"""
+WITH said AS (
+    SELECT DISTINCT conv_id, turn, role, text FROM conversations WHERE conv_id IS NOT NULL
+), views AS (
+    SELECT DISTINCT conv_id, role AS perspective FROM said WHERE role <> 'system'
+), pieces AS (
+    SELECT conv_id, perspective, coalesce(turn, 0) // 256 AS part, turn, role, text,
+        '<|im_start|>' || CASE
+            WHEN role = perspective THEN 'assistant'
+            WHEN role = 'system' THEN 'system'
+            ELSE 'user name=' || role END || chr(10) AS head,
+        replace(coalesce(text, ''), '<|', '<\|') || '<|im_end|>' AS body
+    FROM said JOIN views USING (conv_id)
+), placed AS (
+    SELECT *, coalesce(sum(length(head) + length(body) + 1) OVER (
+        PARTITION BY conv_id, perspective, part ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST
+        ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) + length(head) AS start
+    FROM pieces
+)
+SELECT conv_id, perspective, CAST(part AS BIGINT) AS part,
+    string_agg(head || body || chr(10), '' ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) AS rendered,
+    coalesce(string_agg(
+        CAST(start AS BIGINT) || '-' || CAST(start + length(body) AS BIGINT), ','
+        ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) FILTER (WHERE role = perspective), '') AS mask
+FROM placed GROUP BY conv_id, perspective, part
+"""
+
+
+@query
+def op4_shard_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in 64 shards."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "n_chars")
+    shards = [f"shard-{number:02d}" for number in range(64)]
+    spread = ("lang", "source", "n_chars")
+    return placed(docs, "doc_id", shards, spread).select("doc_id", "slot", "shard")
