@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from millrace.llm.chat import perspectives
 from millrace.llm.decontaminate import leaks
+from millrace.llm.lm_scoring import scores
 from millrace.llm.ngram_join import set_components
 from millrace.llm.packing import packed, tokenized_pieces
 from millrace.llm.quality import COUNTS, base_failed, text_counts, with_verdicts
@@ -172,3 +173,11 @@ def op4_shard_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     shards = [f"shard-{number:02d}" for number in range(64)]
     spread = ("lang", "source", "n_chars")
     return placed(docs, "doc_id", shards, spread).select("doc_id", "slot", "shard")
+
+
+@query
+def op7_context_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of all documents; every seventh, by the hash of its id, is held out."""
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 7 == 2
+    scored = scores(table(spark, sf_dir, "documents"), held_out)
+    return scored.withColumnRenamed("id", "doc_id")
