@@ -5,12 +5,55 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from millrace.llm.decontaminate import without_leaks
+from millrace.llm.ngram_join import one_of_each
+from millrace.llm.quality import text_counts, with_verdicts
+from millrace.llm.queries import packed_documents
+from millrace.llm.secrets import without_secrets
 from millrace.llm.shared import written
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
-STAGES: list[tuple[str, Stage]] = []
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that pass the fixed rules and the cutoffs of their language and source."""
+    measured = written(docs.withColumn("_counts", text_counts("text")), "measured")
+    judged = with_verdicts(measured, "_counts", "_kept")
+    return judged.where("_kept").select(*docs.columns)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the least id of each group of near copies."""
+    return one_of_each(docs)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that contain less than half of every benchmark item."""
+    return without_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, secrets in their texts replaced by their kinds."""
+    kind = docs.schema["n_chars"].dataType
+    return docs.withColumn("text", without_secrets("text")).withColumn(
+        "n_chars", F.length("text").cast(kind)
+    )
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token pieces of all documents, each with its place in a sequence."""
+    return packed_documents(docs)
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("quality rules", quality_rules),
+    ("near duplicates", near_duplicates),
+    ("decontamination", decontamination),
+    ("secrets", secrets),
+    ("packing", packing),
+]
 
 #: No stage of the whole run can be told in SQL; tests/llm compares it with plain Python.
 ORACLE_SQL = None

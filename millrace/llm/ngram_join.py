@@ -99,13 +99,14 @@ def set_components(
     width: int = 5,
     percent: int = 75,
 ) -> DataFrame:
-    """Rows (id, n_shingles, component_id), one for each row of ``docs``.
+    """Rows (id, n_shingles, component_id, row_key, group), one for each row of ``docs``.
 
     ``component_id`` is the least id reachable over links, two rows being linked when their
     sets' Jaccard similarity is ``percent`` or more. Words are told apart without regard to
     the case of A-Z. A null or wordless text has an empty set, linked with nothing. Rows that
     are alike, also those repeated as a whole, are one group; a null id never names one
-    unless all of its group are null. Other columns are ignored.
+    unless all of its group are null. ``row_key`` is the hash of id and text, ``group`` a name
+    that the rows of a component share, null for empty sets. Other columns are ignored.
     """
     alike = Likeness(percent)
     keyed = docs.select(
@@ -131,13 +132,47 @@ def set_components(
         "cls", "least", F.coalesce("component", "cls").alias("component")
     )
     least = grouped.groupBy("component").agg(F.min("least").alias("component_id"))
-    named = grouped.join(least, "component").select("cls", "component_id")
+    named = grouped.join(least, "component").select("cls", "component_id", "component")
     return sets.join(named, "cls", "left").select(
         "id",
         "n_shingles",
         F.when(F.col("n_shingles") == 0, F.col("id"))
         .otherwise(F.col("component_id"))
         .alias("component_id"),
+        "row_key",
+        F.col("component").alias("group"),
+    )
+
+
+def one_of_each(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    width: int = 5,
+    percent: int = 75,
+) -> DataFrame:
+    """The rows of ``docs`` with the least id of their component, all columns kept.
+
+    Of rows without id one stays if its whole component has none; of rows alike in id and
+    text one stays. Rows with empty sets stay, however many.
+    """
+    found = set_components(docs, id_col, text_col, width, percent)
+    first = F.min_by("row_key", F.struct(F.col("id").isNull(), "id", "row_key"))
+    chosen = (
+        found.where("group IS NOT NULL").groupBy("group").agg(first.alias("_row_key"))
+        .select("_row_key", F.lit(False).alias("_empty"))
+    )
+    empty = found.where("group IS NULL").select(
+        F.col("row_key").alias("_row_key"), F.lit(True).alias("_empty")
+    )
+    key = F.xxhash64(F.col(id_col), F.col(text_col))
+    own = F.when(F.col("_empty"), F.monotonically_increasing_id()).otherwise(F.lit(-1))
+    return (
+        docs.withColumn("_row_key", key)
+        .join(chosen.unionByName(empty.distinct()), "_row_key")
+        .withColumn("_own", own)
+        .dropDuplicates(["_row_key", "_own"])
+        .select(*docs.columns)
     )
 
 

@@ -111,7 +111,8 @@ def packed_documents(docs: DataFrame) -> DataFrame:
 @query
 def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of all documents by the likeness of their sets of 5-word shingles."""
-    return set_components(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+    found = set_components(table(spark, sf_dir, "documents"))
+    return found.select(F.col("id").alias("doc_id"), "n_shingles", "component_id")
 
 
 @query
