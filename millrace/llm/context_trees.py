@@ -110,7 +110,7 @@ class ContextTrees:
                 # runs that were left out share one more context
                 rest_zeros = zeros - np.bincount(at, child_zeros, len(key))
                 rest_ones = ones - np.bincount(at, child_ones, len(key))
-                product += _log_kt(rest_zeros, rest_ones)
+                product = product + _log_kt(rest_zeros, rest_ones)
                 weighted = half + np.logaddexp(own, product)
                 weights[length] = np.exp(half + own - weighted)
             below = (key, zeros, ones, weighted)
