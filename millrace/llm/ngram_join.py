@@ -20,7 +20,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.llm.blocks import BLOCK_SCHEMA, bucket_count, from_blocks, text_chunks, to_blocks
@@ -37,7 +37,7 @@ _POSTING = np.dtype([("token", "u4"), ("cls", "u8"), ("size", "u4"), ("often", "
 _PAIR = np.dtype(
     [("a", "u8"), ("b", "u8"), ("size_a", "u4"), ("size_b", "u4"), ("often", "u2"), ("n", "u4")]
 )
-_HELD = np.dtype([("token", "u4"), ("cls", "u8")])
+_HELD = np.dtype([("token", "u4"), ("cls", "u8"), ("size", "u4")])
 _MOST_OFTEN = 0xFFFF
 _RARE, _OFTEN = 0, 1
 
@@ -71,6 +71,19 @@ class Likeness:
         behind = np.maximum(size_a - self.prefix(size_a), size_b - self.prefix(size_b))
         return np.maximum(1, self.overlap(size_a, size_b) - behind)
 
+    def prefix_of(self, size: str) -> Column:
+        """``prefix`` of a column."""
+        return F.col(size) - F.ceil(F.col(size) * self.percent / 100) + 1
+
+    def in_prefixes_of(self, size_a: str, size_b: str) -> Column:
+        """``in_prefixes`` of two columns."""
+        both = F.col(size_a) + F.col(size_b)
+        overlap = F.ceil(both * self.percent / (100 + self.percent))
+        behind = F.greatest(
+            *(F.col(size) - self.prefix_of(size) for size in (size_a, size_b))
+        )
+        return F.greatest(F.lit(1), overlap - behind)
+
 
 def set_classes(text: np.ndarray, value: np.ndarray, count: int) -> tuple[np.ndarray, np.ndarray]:
     """Size and a 64-bit name of each set; equal sets have equal names, an empty one has 0."""
@@ -118,13 +131,20 @@ def set_components(
     sets = measured.where("part IS NULL").select("id", "row_key", "n_shingles", "cls")
     rank = _frequency_ranks(measured)
     shared = _shared_tokens(keyed, width, alike, rank)
-    often = written(shared.where(F.col("kind") == _OFTEN).select("token", "cls"), "frequent")
-    near = _neighbours(often)
+    held = shared.where(F.col("kind") == _OFTEN).select("token", "cls", "n")
+    own = Window.partitionBy("cls")
+    often = written(
+        held.withColumn("reach", F.count("*").over(own)).withColumn(
+            "rank", F.row_number().over(own.orderBy("token"))
+        ),
+        "frequent",
+    )
+    near = _neighbours(often, alike)
     pairs = shared.where(F.col("kind") == _RARE).select("a", "b")
     tried = written(pairs.unionByName(near).distinct(), "pairs")
     links = _verified(keyed, sets, tried, width, alike, rank)
     first = components(links)
-    rest = _across(often, first).join(tried, ["a", "b"], "left_anti")
+    rest = _across(often, first, alike).join(tried, ["a", "b"], "left_anti")
     more = _verified(keyed, sets, written(rest.distinct(), "pairs"), width, alike, rank)
     joined = components(first.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more))
     labels = sets.where("n_shingles > 0").groupBy("cls").agg(F.min("id").alias("least"))
@@ -321,56 +341,56 @@ def _shared_tokens(
 
     def meet(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = from_blocks(batches, {_RARE: _POSTING, _OFTEN: _POSTING})
-        distinct, _, size = _by_token(found[_OFTEN])
+        rare, starts, sizes = _by_token(found[_RARE])
+        often, _, holders = _by_token(found[_OFTEN])
         # of a token in one class only nothing follows
-        distinct = distinct[np.repeat(size > 1, size)]
-        often = np.zeros(len(distinct), _HELD)
-        often["token"], often["cls"] = distinct["token"], distinct["cls"]
-        yield from to_blocks(often, mix(often["cls"]), buckets, _OFTEN)
-        for pairs in _pairs(found[_RARE], alike):
+        often = often[np.repeat(holders > 1, holders)]
+        held = np.zeros(len(often), _HELD)
+        for name in _HELD.names:
+            held[name] = often[name]
+        yield from to_blocks(held, mix(held["cls"]), buckets, _OFTEN)
+        for pairs in _pairs(rare, starts, sizes, alike):
             yield from to_blocks(pairs, mix(pairs["a"] * np.uint64(3) + pairs["b"]), buckets, _RARE)
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = from_blocks(batches, {_RARE: _PAIR, _OFTEN: _HELD})
         pairs = _summed(found[_RARE])
-        needed = alike.in_prefixes(pairs["size_a"].astype(np.int64), pairs["size_b"].astype(np.int64))
+        needed = alike.in_prefixes(
+            pairs["size_a"].astype(np.int64), pairs["size_b"].astype(np.int64)
+        )
         often = pairs["often"].astype(np.int64)
         pairs = pairs[(pairs["n"] + often >= needed) | (often == _MOST_OFTEN)]
-        none = pa.nulls(len(pairs), pa.int64())
-        names = ["kind", "a", "b", "token", "cls"]
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array(np.full(len(pairs), _RARE), pa.int32()),
-                pa.array(np.ascontiguousarray(pairs["a"]).view(np.int64)),
-                pa.array(np.ascontiguousarray(pairs["b"]).view(np.int64)),
-                none,
-                none,
-            ],
-            names=names,
-        )
-        held_by = found[_OFTEN]
-        none = pa.nulls(len(held_by), pa.int64())
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array(np.full(len(held_by), _OFTEN), pa.int32()),
-                none,
-                none,
-                pa.array(held_by["token"].astype(np.int64)),
-                pa.array(np.ascontiguousarray(held_by["cls"]).view(np.int64)),
-            ],
-            names=names,
-        )
+        yield _rows(_RARE, a=pairs["a"], b=pairs["b"])
+        held = found[_OFTEN]
+        yield _rows(_OFTEN, token=held["token"], cls=held["cls"], n=held["size"])
 
     return written(
         keyed.mapInArrow(post, BLOCK_SCHEMA)
         .repartition("bucket")
         .mapInArrow(meet, BLOCK_SCHEMA)
         .repartition("bucket")
-        .mapInArrow(count, "kind int, a bigint, b bigint, token bigint, cls bigint"),
+        .mapInArrow(count, "kind int, " + ", ".join(f"{name} bigint" for name in _ROW)),
         "shared",
     )
 
 
+_ROW = ("a", "b", "token", "cls", "n")
+
+
+def _rows(kind: int, **columns: np.ndarray) -> pa.RecordBatch:
+    """Rows of one kind, other columns null; names of classes as signed numbers."""
+    count = len(next(iter(columns.values())))
+    made = [pa.array(np.full(count, kind, np.int32))]
+    for name in _ROW:
+        if name in columns:
+            values = np.ascontiguousarray(columns[name])
+            signed = values.view(np.int64) if values.dtype == np.uint64 else values.astype(np.int64)
+            made.append(pa.array(signed))
+        else:
+            made.append(pa.nulls(count, pa.int64()))
+    return pa.RecordBatch.from_arrays(made, names=["kind", *_ROW])
+
+
 def _by_token(postings: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Distinct postings in order of tokens and classes; where each token starts, and how many it has."""
     postings = postings[np.lexsort((postings["cls"], postings["token"]))]
@@ -383,9 +403,10 @@ def _by_token(postings: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]
     return postings, starts, np.diff(starts, append=len(postings))
 
 
-def _pairs(postings: np.ndarray, alike: Likeness) -> Iterator[np.ndarray]:
+def _pairs(
+    postings: np.ndarray, starts: np.ndarray, sizes: np.ndarray, alike: Likeness
+) -> Iterator[np.ndarray]:
     """Pairs of classes with the number of rare tokens that they share in a bucket."""
-    postings, starts, sizes = _by_token(postings)
     held, count = [], 0
     for size in np.unique(sizes[sizes > 1]):
         at = starts[sizes == size]
@@ -432,15 +453,26 @@ def _ordered(df: DataFrame) -> DataFrame:
     return df.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
 
 
-def _neighbours(often: DataFrame) -> DataFrame:
-    """For each frequent token its classes paired with the next one, and all with the least.
+def _neighbours(often: DataFrame, alike: Likeness, centres: int = 3) -> DataFrame:
+    """For each frequent token its classes paired with the next one, and with its centres.
 
-    Tokens are dealt to parts by class, so that none is one task's alone; the least of each
-    part meets the least of all.
+    Centres are the classes of whose prefix the most tokens are frequent, as an original's
+    are among its copies. Tokens are dealt to parts by class, so that none is one task's alone;
+    the centres are the best of the parts' best.
     """
-    dealt = often.withColumn("slot", F.pmod(F.hash("cls"), F.lit(64)))
-    in_slot = dealt.groupBy("token", "slot").agg(F.sort_array(F.collect_set("cls")).alias("found"))
-    of_token = in_slot.groupBy("token").agg(F.min(F.col("found")[0]).alias("least"))
+    share = F.col("reach") / alike.prefix_of("n")
+    dealt = often.withColumn("slot", F.pmod(F.hash("cls"), F.lit(64))).withColumn("share", share)
+    in_slot = dealt.groupBy("token", "slot").agg(
+        F.sort_array(F.collect_set("cls")).alias("found"),
+        F.slice(
+            F.sort_array(F.collect_list(F.struct("share", "cls")), asc=False), 1, centres
+        ).alias("best"),
+    )
+    of_token = in_slot.groupBy("token").agg(
+        F.slice(
+            F.sort_array(F.flatten(F.collect_list("best")), asc=False), 1, centres
+        ).alias("best")
+    )
     next_one = in_slot.where(F.size("found") > 1).select(
         F.explode(
             F.arrays_zip(
@@ -449,20 +481,30 @@ def _neighbours(often: DataFrame) -> DataFrame:
             )
         ).alias("pair")
     )
-    to_first = in_slot.select("token", F.explode("found").alias("a")).join(of_token, "token")
+    to_centre = (
+        in_slot.select("token", F.explode("found").alias("a"))
+        .join(of_token, "token")
+        .select("a", F.explode("best.cls").alias("b"))
+    )
     return (
         next_one.select("pair.a", "pair.b")
-        .unionByName(to_first.select("a", F.col("least").alias("b")))
+        .unionByName(to_centre)
         .where("a != b")
         .transform(_ordered)
     )
 
 
-def _across(often: DataFrame, known: DataFrame) -> DataFrame:
-    """Pairs of classes of one frequent token that are in different components so far."""
+def _across(often: DataFrame, known: DataFrame, alike: Likeness) -> DataFrame:
+    """Pairs of classes of one frequent token that are in different components so far.
+
+    ``reach`` counts the frequent tokens of a class's prefix. Pairs that share a rare token
+    were found by it, so that others share no more than the lesser reach; for copies that
+    strayed too far from an original that is too little for any set of about their size.
+    The first token that a pair shares, by ``rank`` in each, must leave enough after it.
+    """
     placed = written(
         often.join(known, F.col("cls") == F.col("node"), "left").select(
-            "token", "cls", F.coalesce("component", "cls").alias("component")
+            "token", "cls", "n", (F.col("reach") - F.col("rank") + 1).alias("left"), F.coalesce("component", "cls").alias("component")
         ),
         "placed",
     )
@@ -473,11 +515,21 @@ def _across(often: DataFrame, known: DataFrame) -> DataFrame:
         .select("token")
     )
     left = placed.join(open_tokens, "token")
-    right = left.select("token", F.col("cls").alias("b"), F.col("component").alias("other"))
+    right = left.select(
+        "token",
+        F.col("cls").alias("b"),
+        F.col("component").alias("other"),
+        F.col("n").alias("n_b"),
+        F.col("left").alias("left_b"),
+    )
+    near = (
+        (F.col("component") < F.col("other"))
+        & (F.least("left", "left_b") >= alike.in_prefixes_of("n", "n_b"))
+        & (100 * F.least("n", "n_b") >= alike.percent * F.greatest("n", "n_b"))
+    )
     return (
         left.withColumnRenamed("cls", "a")
-        .join(right, "token")
-        .where("component < other")
+        .join(right, (left["token"] == right["token"]) & near)
         .select("a", "b")
         .transform(_ordered)
     )
