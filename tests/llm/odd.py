@@ -1,13 +1,11 @@
+"""Fixtures with rows of every odd kind."""
+
 from __future__ import annotations
 
 import random
-import sys
-from pathlib import Path
 
 import pytest
 
-sys.path.insert(0, str(Path(__file__).resolve().parent))
-
 #: Extra columns named like those that operators make.
 SCHEMA = (
     "doc_id long, text string, lang string, source string, n_chars int, "

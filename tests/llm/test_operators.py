@@ -15,6 +15,7 @@ import pytest
 import sentencepiece
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from odd import no_docs, odd_docs, odd_rows  # noqa: F401
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer, models, pre_tokenizers
 

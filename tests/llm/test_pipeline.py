@@ -5,6 +5,7 @@ from __future__ import annotations
 import corpus_pipeline
 import plain
 import pytest
+from odd import no_docs, odd_docs, odd_rows  # noqa: F401
 
 from millrace.llm.shared import written
 
