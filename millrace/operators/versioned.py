@@ -492,8 +492,8 @@ class VersionedTable:
         if touched.hits < touched.records:
             rows = self._read_touched(commit, touched, skip_emptied=True)
             rows = rows.where(~is_true(condition))
-            if touched.hits * 2 > touched.records and not self._log[-1].partition_by:
-                rows = rows.hint("rebalance")  # few rows stay: merge the small rests
+            if not self._log[-1].partition_by:
+                rows = rows.hint("rebalance")  # merge the small rests
         self._write_snapshot("delete", rows, commit=commit, touched=touched)
 
     def _record_touched(self, commit: str, condition: Column) -> _Touched:

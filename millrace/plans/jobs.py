@@ -60,6 +60,7 @@ def keep_trip_table(
     partition_field: str = "VendorID",
     max_ratio: float = 4.0,
     max_distance: float = 2.0,
+    note: str | None = None,
 ) -> TableCounts:
     """Create a table, rename, note, move and add columns, fill one, delete, and roll back."""
     table = VersionedTable.create(spark, root, rows, mode="overwrite")
@@ -67,7 +68,8 @@ def keep_trip_table(
     first = table.current_snapshot_id
     table.rename_column(fare, "fare")
     table.rename_column(distance, "distance")
-    table.comment_column("distance", "Trip distance in miles, as the taximeter reports it.")
+    if note is not None:
+        table.comment_column("distance", note)
     table.move_column("distance", after="fare")
     table.add_column("fare_per_distance", "FLOAT", after="distance")
     table.update({"fare_per_distance": float_ratio("fare", "distance")})

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import os
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.functions.scalar import is_true
 from millrace.operators.partitions import (
     append_new_partitions,
     conflicting_partitions,
@@ -15,7 +17,7 @@ from millrace.operators.partitions import (
 )
 from millrace.plans.jobs import rewrite_partitions
 from millrace.plans.registry import query, table
-from millrace.workspace import fresh_dir
+from millrace.workspace import fresh_dir, path_from_env
 
 
 def _flags(spark: SparkSession, sf_dir: str, *flags: str) -> DataFrame:
@@ -67,8 +69,10 @@ def partition_overwrite_present(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("SELECT * FROM lineitem")
 def partition_append_new(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = fresh_dir(spark, "appended")
-    append_new_partitions(_flags(spark, sf_dir, "A", "N"), path, ["l_returnflag"])
-    append_new_partitions(_flags(spark, sf_dir, "R"), path, ["l_returnflag"])
+    rows = table(spark, sf_dir, "lineitem")
+    first = is_true(F.col("l_returnflag").isin("A", "N"))
+    append_new_partitions(rows.where(first), path, ["l_returnflag"])
+    append_new_partitions(rows.where(~first), path, ["l_returnflag"])
     return read_partitioned(spark, path)
 
 
@@ -116,6 +120,53 @@ def partition_insert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(name)
 
 
+@query(
+    "SELECT l_orderkey AS orderkey, l_extendedprice AS price, l_returnflag AS flag "
+    "FROM lineitem WHERE l_returnflag = 'R' UNION ALL SELECT -1, 0.5, 'none'"
+)
+def partition_insert_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row given as values goes to a partition of its own."""
+    name, location = f"by_flag_{uuid.uuid4().hex}", fresh_dir(spark, "by-flag")
+    _create_by_flag(spark, name, location)
+    _insert_flag(spark, name, sf_dir, "R")
+    spark.sql(f"INSERT INTO {name} PARTITION (flag = 'none') (orderkey, price) VALUES (-1, 0.5D)")
+    return spark.table(name)
+
+
+@query("SELECT n_nationkey AS id, n_name AS name FROM nation")
+def create_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table of the session's default provider; creating it again changes nothing."""
+    name = f"nations_{uuid.uuid4().hex}"
+    for _ in range(2):
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {name} (id BIGINT, name STRING)")
+    spark.sql(f"INSERT INTO {name} SELECT n_nationkey, n_name FROM parquet.`{sf_dir}/nation.parquet`")
+    return spark.table(name)
+
+
+@query("SELECT 1 AS databases, COUNT(*) AS regions FROM region")
+def show_databases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A new database is listed, and a table in it is found by its full name."""
+    name, place = f"geo_{uuid.uuid4().hex}", fresh_dir(spark, "database")
+    spark.sql(f"CREATE DATABASE {name} LOCATION '{place}'")
+    table(spark, sf_dir, "region").write.saveAsTable(f"{name}.regions")
+    listed = spark.sql("SHOW DATABASES").where(F.col("namespace") == name)
+    databases = listed.agg(F.count("*").cast("int").alias("databases"))
+    regions = spark.table(f"{name}.regions").agg(F.count("*").alias("regions"))
+    # one row each
+    return databases.join(F.broadcast(regions), F.lit(True))
+
+
+@query("SELECT * FROM supplier")
+def path_from_environment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The folder to read is named by an environment variable."""
+    variable = f"MILLRACE_INPUT_{uuid.uuid4().hex}"
+    os.environ[variable] = f"{sf_dir}/supplier.parquet"
+    try:
+        return spark.read.parquet(path_from_env(variable, ""))
+    finally:
+        del os.environ[variable]
+
+
 @query(
     "SELECT l_orderkey AS orderkey, l_extendedprice AS price, l_returnflag AS flag "
     "FROM lineitem WHERE l_returnflag = 'R' UNION ALL "

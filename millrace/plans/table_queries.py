@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.functions.scalar import float_ratio
+from millrace.functions.scalar import is_true
 from millrace.operators.versioned import VersionedTable
 from millrace.plans.jobs import keep_trip_table
 from millrace.plans.registry import query, table
@@ -71,8 +72,9 @@ def versioned_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 def versioned_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders")
     made = VersionedTable.create(spark, fresh_dir(spark, "orders-table"), orders.schema)
-    made.append(orders.where(F.col("o_orderstatus") == "F"))
-    made.append(orders.where(F.col("o_orderstatus") != "F"))
+    filled = is_true(F.col("o_orderstatus") == "F")
+    made.append(orders.where(filled))
+    made.append(orders.where(~filled))
     return made.read()
 
 
@@ -96,7 +98,7 @@ def schema_evolve_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("SELECT * FROM lineitem WHERE l_shipdate BETWEEN '1996-01-01' AND '1996-12-31'")
 def versioned_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     """With files laid out by date, most of them are never listed for the scan."""
-    rows = table(spark, sf_dir, "lineitem").repartitionByRange(8, "l_shipdate")
+    rows = table(spark, sf_dir, "lineitem").repartitionByRange("l_shipdate")
     made = VersionedTable.create(spark, fresh_dir(spark, "by-date"), rows)
     return made.read_range("l_shipdate", "1996-01-01", "1996-12-31")
 
@@ -262,3 +264,16 @@ def trip_table_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "lineitem")
     keep_trip_table(spark, rows, root, "l_extendedprice", "l_discount", "l_returnflag", 1e6, 0.08)
     return VersionedTable(spark, root).read()
+
+
+@query("SELECT 'clerk, as printed' AS note, COUNT(*) AS orders FROM orders WHERE o_totalprice > 0")
+def column_comment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A comment is kept with the table's schema and shows when it is read."""
+    orders = table(spark, sf_dir, "orders")
+    made = VersionedTable.create(spark, fresh_dir(spark, "orders-table"), orders)
+    made.comment_column("o_totalprice", "clerk, as printed")
+    rows = VersionedTable(spark, made.root).read()
+    note = rows.schema["o_totalprice"].metadata["comment"]
+    return rows.where("o_totalprice > 0").agg(
+        F.first(F.lit(note)).alias("note"), F.count("*").alias("orders")
+    )

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -16,22 +18,24 @@ from millrace.functions.messages import (
     parse_json_payloads,
     unframed,
 )
+from millrace.functions.scalar import is_true
 from millrace.operators.versioned import VersionedTable
 from millrace.plans.jobs import fill_topic, follow_topic
 from millrace.plans.registry import query, table
 from millrace.schemas import avro_record
 from millrace.sources.topic import at_least_partitions, read_topic, stream_topic, write_topic
-from millrace.streaming.progress import recent_batches
+from millrace.streaming.progress import running_totals
 from millrace.streaming.sinks import (
     AVAILABLE_NOW,
     drop_tombstones,
     stream_to_parquet,
+    stream_with_counts,
     topic_table_path,
     topic_to_json_files,
     topic_to_parquet_files,
     topic_to_table,
 )
-from millrace.workspace import fresh_dir
+from millrace.workspace import fresh_dir, remove_path
 
 _FIELDS = [
     ("event_id", "long"),
@@ -59,6 +63,11 @@ def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events")
 
 
+def _early() -> Column:
+    """Clicks and views; an event without a type is neither."""
+    return is_true(F.col("event_type").isin("click", "view"))
+
+
 def _texts(rows: DataFrame) -> DataFrame:
     """Events with the time as text, as messages carry it."""
     return rows.withColumn("ts", F.col("ts").cast("string"))
@@ -121,7 +130,7 @@ def stream_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Run, stop, add messages, run again, and once more with nothing new."""
     topic, target = fresh_dir(spark, "json-topic"), fresh_dir(spark, "stream")
-    early = F.col("event_type").isin("click", "view")
+    early = _early()
     events = _events(spark, sf_dir)
     write_topic(_json_messages(events.where(early)), topic, "events")
     _run(spark, _parsed(stream_topic(spark, topic)), target)
@@ -132,8 +141,7 @@ def stream_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT * FROM events")
 def topic_min_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    messages = at_least_partitions(stream_topic(spark, _json_topic(spark, sf_dir)), 10)
-    return _run(spark, _parsed(messages), fresh_dir(spark, "stream"))
+    return _parsed(at_least_partitions(read_topic(spark, _json_topic(spark, sf_dir)), 10))
 
 
 def _faulty_topic(spark: SparkSession, sf_dir: str) -> str:
@@ -191,7 +199,7 @@ def topic_json_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("SELECT * FROM events")
 def topic_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     warehouse = fresh_dir(spark, "warehouse")
-    root = topic_table_path(warehouse, "kafka", "dbz.", "events")
+    root = topic_table_path(warehouse, "shop", "raw.", "events")
     messages = stream_topic(spark, _json_topic(spark, sf_dir), files_per_batch=1)
     decode = from_json_payload("value", _SCHEMA, mode="FAILFAST")
     topic_to_table(
@@ -200,13 +208,104 @@ def topic_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return VersionedTable(spark, root).read()
 
 
+@query(
+    "SELECT * FROM events UNION ALL "
+    "SELECT * FROM events WHERE event_type IN ('click', 'view')"
+)
+def topic_table_new_checkpoint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stream whose checkpoint is lost starts over: old messages again, and all new ones."""
+    topic, warehouse = fresh_dir(spark, "json-topic"), fresh_dir(spark, "warehouse")
+    root = topic_table_path(warehouse, "shop", "raw.", "events")
+    events, decode = _events(spark, sf_dir), from_json_payload("value", _SCHEMA, mode="FAILFAST")
+    checkpoint = f"{warehouse}/checkpoint"
+    for part, files in ((_early(), 1), (~_early(), None)):
+        write_topic(_json_messages(events.where(part)), topic, "events")
+        messages = stream_topic(spark, topic, files_per_batch=files)
+        topic_to_table(messages, decode, root, checkpoint, AVAILABLE_NOW).awaitTermination()
+        remove_path(spark, checkpoint)
+    return VersionedTable(spark, root).read()
+
+
+@query(
+    "SELECT '{\"event_id\":' || event_id AS raw FROM events WHERE event_type = 'error'"
+)
+def topic_json_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    target = fresh_dir(spark, "json-files")
+    messages = stream_topic(spark, _faulty_topic(spark, sf_dir))
+    topic_to_json_files(
+        messages, target, f"{target}-checkpoint", trigger=AVAILABLE_NOW
+    ).awaitTermination()
+    lines = spark.read.text(target).where(F.col("topic") == "events.rejects")
+    return lines.select(F.col("value").alias("raw"))
+
+
+@query("SELECT COUNT(*) AS messages, 0 AS large_files FROM events")
+def topic_rows_per_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """No file has more records than asked for."""
+    target = fresh_dir(spark, "json-files")
+    messages = stream_topic(spark, _json_topic(spark, sf_dir))
+    topic_to_json_files(
+        messages, target, f"{target}-checkpoint", records_per_file=50, trigger=AVAILABLE_NOW
+    ).awaitTermination()
+    files = spark.read.text(target).groupBy(F.input_file_name().alias("file")).count()
+    return files.agg(
+        F.sum("count").alias("messages"),
+        F.count_if(F.col("count") > 50).cast("int").alias("large_files"),
+    )
+
+
+def _until_stopped(
+    spark: SparkSession, sf_dir: str, trigger: dict[str, str | bool] | None
+) -> DataFrame:
+    """A stream that runs until another thread stops it, once it has taken in all messages."""
+    target = fresh_dir(spark, "stream")
+    rows = _parsed(stream_topic(spark, _json_topic(spark, sf_dir)))
+    running = stream_to_parquet(rows, target, f"{target}-checkpoint", trigger)
+
+    def stop() -> None:
+        running.processAllAvailable()
+        running.stop()
+
+    with ThreadPoolExecutor(1) as other:
+        stopped = other.submit(stop)
+        running.awaitTermination()
+        stopped.result()
+    return spark.read.schema(_SCHEMA).parquet(target)
+
+
+@query("SELECT * FROM events")
+def stream_default_trigger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _until_stopped(spark, sf_dir, None)
+
+
+@query("SELECT * FROM events")
+def stream_second_trigger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _until_stopped(spark, sf_dir, {"processingTime": "1 second"})
+
+
+@query("SELECT * FROM events")
+def stream_minute_trigger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first batch starts at once, the next would a minute later."""
+    return _until_stopped(spark, sf_dir, {"processingTime": "1 minute"})
+
+
 @query("SELECT COUNT(*) AS total_rows FROM events")
 def stream_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
-    target = fresh_dir(spark, "stream")
-    messages = stream_topic(spark, _json_topic(spark, sf_dir))
-    query = stream_to_parquet(_parsed(messages), target, f"{target}-checkpoint", AVAILABLE_NOW)
-    query.awaitTermination()
-    return recent_batches(spark, query).agg(F.max("total_rows").alias("total_rows"))
+    """Three runs of one stream; the total holds over restarts."""
+    topic, target = fresh_dir(spark, "json-topic"), fresh_dir(spark, "stream")
+    events = _events(spark, sf_dir)
+    for part in range(3):
+        share = F.pmod(F.xxhash64("event_id"), F.lit(3)) == part
+        write_topic(_json_messages(events.where(share)), topic, "events")
+        stream_with_counts(
+            _parsed(stream_topic(spark, topic, files_per_batch=4)),
+            f"{target}/rows",
+            f"{target}/counts",
+            f"{target}/checkpoint",
+            AVAILABLE_NOW,
+        ).awaitTermination()
+    totals = running_totals(spark, f"{target}/counts")
+    return totals.agg(F.max("total_rows").alias("total_rows"))
 
 
 # ------------------------------------------------------------------ Avro
@@ -236,7 +335,7 @@ def _two_schema_topic(spark: SparkSession, sf_dir: str) -> str:
     """Clicks and views are written before the record got its last field."""
     topic = fresh_dir(spark, "avro-topic")
     rows = _texts(_events(spark, sf_dir))
-    early = F.col("event_type").isin("click", "view")
+    early = _early()
     for part, record, schema_id in (
         (rows.where(early).drop("props"), _RECORD_1, 1),
         (rows.where(~early), _RECORD_2, 2),

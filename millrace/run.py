@@ -46,11 +46,13 @@ def parse(arguments: list[str] | None = None) -> argparse.Namespace:
     add("--output", default=path_from_env("OUTPUT_PATH", ""))
     add("--checkpoint", default=path_from_env("CHECKPOINT_PATH", ""))
     add("--servers", help="brokers; without them topics are folders")
-    add("--topic", default="nyc-avro-topic")
+    add("--topic", help="needed to fill a topic and to read from brokers")
     add("--format", choices=("avro", "json"), default="avro", help="of the messages")
     add("--schema-id", type=int, help="id in the header of Avro messages; none without")
     add("--min-partitions", type=int, help="least parallelism of a broker source")
     add("--max-offsets", type=int, help="most messages a batch takes from a broker")
+    add("--files-per-batch", type=int, help="most files a batch takes from a topic folder")
+    add("--note", help="comment for the distance column of the trip table")
     add("--trigger", default="1 minute", help="interval, 'available-now' or 'none'")
     options = parser.parse_args(arguments)
     streams, brokers = options.job in STREAM_JOBS, bool(options.servers)
@@ -58,10 +60,19 @@ def parse(arguments: list[str] | None = None) -> argparse.Namespace:
         "input": not (streams and brokers),
         "output": not (options.job == "fill-topic" and brokers),
         "checkpoint": streams,
+        "topic": options.job == "fill-topic" or brokers,
     }
     for name, is_needed in needed.items():
         if is_needed and not getattr(options, name):
             parser.error(f"{options.job} needs --{name}")
+    for name, fits in (
+        ("min_partitions", brokers),
+        ("max_offsets", brokers),
+        ("files_per_batch", not brokers),
+    ):
+        if getattr(options, name) is not None and not (streams and fits):
+            source = "a folder" if name == "files_per_batch" else "brokers (--servers)"
+            parser.error(f"--{name.replace('_', '-')} is for streams from {source}")
     return options
 
 
@@ -77,7 +88,8 @@ def run(spark: SparkSession, options: argparse.Namespace) -> None:
         counts = jobs.filter_csv(spark, options.input, options.output)
         logger.info("rows read: %d, rows kept: %d", *counts)
     elif options.job == "trip-table":
-        counts = jobs.keep_trip_table(spark, _trips(spark, options), options.output)
+        rows = _trips(spark, options)
+        counts = jobs.keep_trip_table(spark, rows, options.output, note=options.note)
         logger.info("rows created: %d, after deletes: %d, after rollback: %d", *counts)
     elif options.job == "rewrite-partitions":
         jobs.rewrite_partitions(_trips(spark, options), options.output)
@@ -103,7 +115,7 @@ def start_stream(spark: SparkSession, options: argparse.Namespace) -> StreamingQ
             spark, options.servers, options.topic, options.min_partitions, options.max_offsets
         )
     else:
-        messages = stream_topic(spark, options.input)
+        messages = stream_topic(spark, options.input, options.files_per_batch)
     ends = {"available-now": sinks.AVAILABLE_NOW, "none": None}
     trigger = ends.get(options.trigger, {"processingTime": options.trigger})
     output, checkpoint = options.output, options.checkpoint

@@ -90,12 +90,15 @@ def stream_topic(spark: SparkSession, path: str, files_per_batch: int | None = N
 
 
 def at_least_partitions(messages: DataFrame, n: int) -> DataFrame:
-    """Read with a parallelism of ``n``, for a topic folder of fewer and larger files.
+    """The messages of a topic folder in ``n`` partitions or more; more stay as they are.
 
-    A broker source is better given ``min_partitions``, which splits offset ranges
-    without moving data; a folder can only be spread by a shuffle.
+    Only for batch reads. A broker source is given ``min_partitions``, which splits
+    offset ranges without moving data, and a stream over a folder takes
+    ``files_per_batch`` and Spark's split size.
     """
-    return messages.repartition(n)
+    if messages.isStreaming:
+        raise ValueError("a stream's partitions follow from its source's options")
+    return messages if messages.rdd.getNumPartitions() >= n else messages.repartition(n)
 
 
 def kafka_stream(

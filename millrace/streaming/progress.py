@@ -3,20 +3,23 @@
 from __future__ import annotations
 
 import logging
-from itertools import accumulate
 
-import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQueryListener
 
 logger = logging.getLogger(__name__)
 
 
 class RowCountLogger(StreamingQueryListener):
-    """Logs a running total after each batch; add it with ``spark.streams.addListener``."""
+    """Logs a running total after each batch; add it with ``spark.streams.addListener``.
 
-    def __init__(self) -> None:
-        self.totals: dict[str, int] = {}
+    It counts from its own start, or from ``totals`` by query id, such as the last ones of
+    ``running_totals``.
+    """
+
+    def __init__(self, totals: dict[str, int] | None = None) -> None:
+        self.totals: dict[str, int] = dict(totals or {})
 
     def onQueryStarted(self, event) -> None:
         self.totals.setdefault(str(event.id), 0)
@@ -33,16 +36,15 @@ class RowCountLogger(StreamingQueryListener):
         pass
 
 
-def recent_batches(spark: SparkSession, query: StreamingQuery) -> DataFrame:
-    """Rows per batch and running total, for the batches Spark still keeps progress of."""
-    batches = [(p["batchId"], p["numInputRows"]) for p in query.recentProgress]
-    rows = [n for _, n in batches]
-    return spark.createDataFrame(
-        pa.table(
-            {
-                "batch": pa.array([batch for batch, _ in batches], pa.int64()),
-                "rows": pa.array(rows, pa.int64()),
-                "total_rows": pa.array(accumulate(rows), pa.int64()),
-            }
-        )
+def running_totals(spark: SparkSession, counts: str) -> DataFrame:
+    """Rows (stream, batch, rows, total_rows) of a folder that ``stream_with_counts`` wrote.
+
+    All batches count, whatever Spark still remembers of them and however often the
+    stream was restarted.
+    """
+    schema = "rows bigint, stream string, batch bigint"
+    batches = spark.read.schema(schema).parquet(counts)
+    so_far = Window.partitionBy("stream").orderBy("batch")
+    return batches.select(
+        "stream", "batch", "rows", F.sum("rows").over(so_far).alias("total_rows")
     )

@@ -10,13 +10,15 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from millrace.operators.versioned import VersionedTable
 
 Trigger = dict[str, str | bool]
+# what Spark calls the id of the running query among the properties of its jobs
+_QUERY_ID = "sql.streaming.queryId"
 AVAILABLE_NOW: Trigger = {"availableNow": True}
 
 
@@ -43,13 +45,16 @@ def topic_to_json_files(
     """Write JSON messages as lines, in folders by topic and topic partition.
 
     The last file of a batch may have fewer records. Messages without a value, and those
-    whose value is the JSON word null, are left out.
+    whose value is the JSON word null, are left out. What is no JSON goes to folders of
+    its own, named after the topic with ``.rejects`` behind.
     """
     # outside of strings, line breaks in JSON are mere spacing; inside they are escaped
     line = F.translate(F.col("value").cast("string"), "\r\n", "  ").alias("value")
     lines = drop_tombstones(messages).where(F.trim(line) != "null")
+    is_json = F.try_parse_json(line).isNotNull()
+    topic = F.when(is_json, F.col("topic")).otherwise(F.concat("topic", F.lit(".rejects")))
     writer = (
-        lines.select("topic", "partition", line)
+        lines.select(topic.alias("topic"), "partition", line)
         .writeStream.format("text")
         .outputMode("append")
         .partitionBy("topic", "partition")
@@ -81,6 +86,28 @@ def topic_to_parquet_files(
     return _start(writer, checkpoint, trigger)
 
 
+def stream_with_counts(
+    rows: DataFrame, path: str, counts: str, checkpoint: str, trigger: Trigger | None = None
+) -> StreamingQuery:
+    """Append a stream to a Parquet folder, and how many rows each batch had to another.
+
+    Both are folders by query id and batch. A batch that is run again after a failure
+    replaces its own, so the counts hold over restarts; see ``progress.running_totals``.
+    """
+
+    def append(batch: DataFrame, number: int) -> None:
+        session = batch.sparkSession
+        query_id = session.sparkContext.getLocalProperty(_QUERY_ID)
+        place = f"stream={query_id}/batch={number}"
+        found = Observation()
+        counted = batch.observe(found, F.count("*").alias("rows"))
+        counted.write.mode("overwrite").parquet(f"{path}/{place}")
+        row = session.range(1).select(F.lit(found.get["rows"]).cast("long").alias("rows"))
+        row.write.mode("overwrite").parquet(f"{counts}/{place}")
+
+    return _start(rows.writeStream.foreachBatch(append), checkpoint, trigger)
+
+
 def topic_table_path(warehouse: str, namespace: str, prefix: str, topic: str) -> str:
     """Where a topic's table lives: namespace, then prefix and topic in word characters."""
     return f"{warehouse.rstrip('/')}/{namespace}/{re.sub(r'[^A-Za-z0-9_]', '_', prefix + topic)}"
@@ -97,7 +124,9 @@ def topic_to_table(
     """Append decoded messages to a versioned table, one snapshot per micro-batch.
 
     The table is created from the message schema on first use. Each snapshot names its
-    batch, so a batch that is run again after a failure adds nothing.
+    batch and the query's id, so a batch that is run again after a failure adds nothing. The
+    id is new with every checkpoint: a stream that starts over, at the same path too,
+    numbers its batches anew and adds all that they hold.
     """
 
     def append(batch: DataFrame, number: int) -> None:
@@ -105,7 +134,10 @@ def topic_to_table(
         table = VersionedTable.create(
             batch.sparkSession, root, rows.schema, partition_by=partition_by, mode="ignore"
         )
-        table.append(rows, batch=(checkpoint, number))
+        query_id = batch.sparkSession.sparkContext.getLocalProperty(_QUERY_ID)
+        if not query_id:
+            raise RuntimeError("the batch does not tell which query it belongs to")
+        table.append(rows, batch=(query_id, number))
 
     return _start(messages.writeStream.foreachBatch(append), checkpoint, trigger)
 

@@ -34,6 +34,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
 
 
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder of this session's own making, if it is there."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def is_plain_file_path(spark: SparkSession, path: str) -> bool:
     """Whether executors reach a path as ordinary files, a shared mount for one."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -92,7 +92,7 @@ def test_submitted_jobs(spark, tmp_path, trips, monkeypatch, caplog):
         (avro_form, ["follow-topic", "topic-to-parquet-files", "topic-to-table"]),
     ):
         topic = str(tmp_path / f"topic{form[1]}")
-        run.run(spark, run.parse(["fill-topic", "--output", topic, *form]))
+        run.run(spark, run.parse(["fill-topic", "--output", topic, "--topic", "trips", *form]))
         for job in stream_jobs:
             out = str(tmp_path / f"{job}{form[1]}")
             paths = ["--input", topic, "--output", out, "--checkpoint", f"{out}-ck"]
@@ -104,8 +104,17 @@ def test_submitted_jobs(spark, tmp_path, trips, monkeypatch, caplog):
             else:
                 stored = spark.read.parquet(out)
             assert rows(stored.select(*TAXI.names)) == rows(trips), job
-    with pytest.raises(SystemExit):
-        run.parse(["follow-topic", "--output", "/x"])
+    paths = ["--input", "/i", "--output", "/o", "--checkpoint", "/c"]
+    for wrong in (
+        ["follow-topic", "--output", "/x"],
+        ["fill-topic", "--input", "/i", "--output", "/o"],
+        ["follow-topic", *paths, "--max-offsets", "5"],
+        ["follow-topic", *paths, "--min-partitions", "5"],
+        ["follow-topic", *paths, "--servers", "s:1", "--topic", "t", "--files-per-batch", "5"],
+    ):
+        with pytest.raises(SystemExit):
+            run.parse(wrong)
+    assert run.parse(["follow-topic", *paths, "--files-per-batch", "5"]).files_per_batch == 5
 
 
 def test_rewrite_partitions(spark, tmp_path, trips):

@@ -25,14 +25,16 @@ from millrace.sources.topic import (
     stream_topic,
     write_topic,
 )
-from millrace.streaming.progress import RowCountLogger, recent_batches
+from millrace.streaming.progress import RowCountLogger, running_totals
 from millrace.streaming.sinks import (
     AVAILABLE_NOW,
     stream_to_parquet,
+    stream_with_counts,
     topic_table_path,
     topic_to_json_files,
     topic_to_table,
 )
+from millrace.workspace import remove_path
 
 AB = StructType().add("a", "long").add("b", "string")
 
@@ -133,8 +135,7 @@ def test_restart_continues_and_repeats_nothing(spark, tmp_path):
 def test_triggers_run_until_stopped(spark, tmp_path, trigger):
     topic, out = str(tmp_path / "t"), str(tmp_path / "out")
     _json_topic(spark, topic, 30, files=3)
-    stream = at_least_partitions(stream_topic(spark, topic), 10)
-    query = stream_to_parquet(stream, out, str(tmp_path / "ck"), trigger)
+    query = stream_to_parquet(stream_topic(spark, topic), out, str(tmp_path / "ck"), trigger)
     query.processAllAvailable()
     assert query.isActive
     query.stop()
@@ -160,7 +161,7 @@ def test_json_files_roll_and_skip_tombstones(spark, tmp_path):
 
 
 def test_topic_table_name():
-    assert topic_table_path("/w/", "kafka", "dbz.", "nyc-avro-topic") == "/w/kafka/dbz_nyc_avro_topic"
+    assert topic_table_path("/w/", "shop", "raw.", "new-orders") == "/w/shop/raw_new_orders"
 
 
 def test_topic_to_table_one_snapshot_per_batch(spark, tmp_path):
@@ -180,7 +181,8 @@ def test_topic_to_table_one_snapshot_per_batch(spark, tmp_path):
     assert rows(table.read()) == rows(df)
     made = table.snapshots().count()
     assert made >= 3
-    assert table.append(df, batch=(checkpoint, made - 1)) is False
+    stream = json.loads((tmp_path / "ck" / "metadata").read_text())["id"]
+    assert table.append(df, batch=(stream, made - 1)) is False
     assert table.append(df, batch=("another", 0)) is True
     run()
     assert VersionedTable(spark, root).row_count() == 60
@@ -205,4 +207,74 @@ def test_row_counts_of_a_stream(spark, tmp_path, caplog):
         spark.streams.removeListener(listener)
     assert listener.totals[str(query.id)] == 40
     assert "40 rows so far" in caplog.text
-    assert rows(recent_batches(spark, query)) == [(0, 30, 30), (1, 10, 40)]
+
+
+def test_totals_hold_over_batches_and_restarts(spark, tmp_path):
+    """More batches than Spark remembers, in two runs; a repeated batch counts once."""
+    topic, out = str(tmp_path / "t"), str(tmp_path / "out")
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "2")
+    try:
+        for _ in range(2):
+            _json_topic(spark, topic, 40, files=4)
+            stream_with_counts(
+                stream_topic(spark, topic, files_per_batch=1),
+                f"{out}/rows", f"{out}/counts", str(tmp_path / "ck"), AVAILABLE_NOW,
+            ).awaitTermination()
+    finally:
+        spark.conf.unset("spark.sql.streaming.numRecentProgressUpdates")
+    found = running_totals(spark, f"{out}/counts").orderBy("batch").collect()
+    assert [row.batch for row in found] == list(range(len(found)))
+    assert len(found) == 8
+    assert found[-1].total_rows == spark.read.parquet(f"{out}/rows").count() == 80
+    for name in ("7", ".7.crc"):
+        (tmp_path / "ck" / "commits" / name).unlink()
+    stream_with_counts(
+        stream_topic(spark, topic, files_per_batch=1),
+        f"{out}/rows", f"{out}/counts", str(tmp_path / "ck"), AVAILABLE_NOW,
+    ).awaitTermination()
+    assert running_totals(spark, f"{out}/counts").agg({"total_rows": "max"}).first()[0] == 80
+    assert spark.read.parquet(f"{out}/rows").count() == 80
+
+
+def test_new_checkpoint_at_the_same_path_loses_nothing(spark, tmp_path):
+    topic, root, checkpoint = str(tmp_path / "t"), str(tmp_path / "table"), tmp_path / "ck"
+    decode = F.struct(F.col("value").cast("string").alias("text"))
+
+    def run(files):
+        topic_to_table(
+            stream_topic(spark, topic, files_per_batch=files), decode, root, str(checkpoint),
+            AVAILABLE_NOW,
+        ).awaitTermination()
+
+    _json_topic(spark, topic, 40, files=4)
+    run(1)
+    assert VersionedTable(spark, root).row_count() == 40
+    remove_path(spark, str(checkpoint))
+    _json_topic(spark, topic, 100, files=1)
+    run(None)
+    assert VersionedTable(spark, root).row_count() == 40 + 140
+
+
+def test_floor_keeps_more_partitions(spark, tmp_path):
+    topic = str(tmp_path / "t")
+    _json_topic(spark, topic, 64, files=1)
+    messages = read_topic(spark, topic)
+    assert at_least_partitions(messages.repartition(64), 10).rdd.getNumPartitions() == 64
+    assert at_least_partitions(messages.coalesce(1), 10).rdd.getNumPartitions() == 10
+    with pytest.raises(ValueError, match="stream"):
+        at_least_partitions(stream_topic(spark, topic), 10)
+
+
+def test_what_is_no_json_has_a_folder_of_its_own(spark, tmp_path):
+    topic, out = str(tmp_path / "t"), str(tmp_path / "out")
+    values = ['{"a": 1}', '{"a":', None, "null", "[2]", "x"]
+    sent = spark.createDataFrame([(v,) for v in values], "value string")
+    write_topic(sent.select(F.col("value").cast("binary").alias("value")), topic, "things")
+    topic_to_json_files(
+        stream_topic(spark, topic), out, str(tmp_path / "ck"), trigger=AVAILABLE_NOW
+    ).awaitTermination()
+    found = spark.read.text(out).select("topic", "value")
+    assert rows(found) == [
+        ("things", "[2]"), ("things", '{"a": 1}'),
+        ("things.rejects", "x"), ("things.rejects", '{"a":'),
+    ]
