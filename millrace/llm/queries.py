@@ -69,6 +69,86 @@ def _listed(spans: str) -> Column:
     )
 
 
+#: Counts, sketches and cutoffs as in ``quality``, written out.
+CHECK_SQL["op5_quality_rules"] = r"""
+WITH texts AS (
+    SELECT doc_id, lang, source, coalesce(text, '') AS text FROM documents
+), split AS (
+    SELECT *,
+        list_filter(regexp_split_to_array(text, '[\x20\x09-\x0D]+'), lambda w: w <> '') AS words,
+        list_filter(
+            string_split(text, chr(10)), lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')
+        ) AS lines
+    FROM texts
+), windows AS (
+    SELECT doc_id, pos, words[pos : pos + 7] AS w
+    FROM (SELECT doc_id, words, unnest(range(1, len(words) - 6)) AS pos FROM split)
+), repeated AS (
+    SELECT doc_id, count(DISTINCT place) AS n FROM (
+        SELECT doc_id, unnest(range(pos, pos + 8)) AS place FROM windows
+        JOIN (SELECT doc_id, w FROM windows GROUP BY ALL HAVING count(*) > 1) USING (doc_id, w)
+    ) GROUP BY doc_id
+), counts AS (
+    SELECT doc_id, lang, source, CAST(len(words) AS BIGINT) AS n_words,
+        CAST(length(regexp_replace(text, '[\x20\x09-\x0D]', '', 'g')) AS BIGINT) AS word_chars,
+        CAST(length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS BIGINT)
+            AS n_symbols,
+        CAST(len(lines) AS BIGINT) AS n_lines,
+        CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
+        CAST(coalesce(n, 0) AS BIGINT) AS n_repeat_words
+    FROM split LEFT JOIN repeated USING (doc_id)
+), ratios AS (
+    SELECT doc_id, lang, source, n_words, r.* FROM (
+        SELECT doc_id, lang, source, n_words, unnest([
+            {'ratio': 1, 'v': 1000000 * n_symbols // greatest(word_chars, 1), 'nearest': 20000},
+            {'ratio': 2, 'v': 1000000 * word_chars // greatest(n_words, 1), 'nearest': 1500000},
+            {'ratio': 3, 'v': 1000000 * n_dup_lines // greatest(n_lines, 1), 'nearest': 500000},
+            {'ratio': 4, 'v': 1000000 * n_repeat_words // greatest(n_words, 1), 'nearest': 300000}
+        ]) AS r FROM counts)
+), bucketed AS (
+    SELECT *, d * 32 + (v >> d) AS bucket FROM (
+        SELECT *, CAST(greatest(length(bin(v)) - 6, 0) AS BIGINT) AS d FROM ratios WHERE n_words > 0)
+), grouped AS (
+    SELECT 0 AS level, lang, source, ratio, bucket, count(*) AS n FROM bucketed GROUP BY ALL
+    UNION ALL SELECT 1, lang, NULL, ratio, bucket, count(*) FROM bucketed GROUP BY ALL
+    UNION ALL SELECT 2, NULL, NULL, ratio, bucket, count(*) FROM bucketed GROUP BY ALL
+), placed AS (
+    SELECT *, sum(n) OVER (PARTITION BY level, lang, source, ratio ORDER BY bucket) AS upto,
+        sum(n) OVER (PARTITION BY level, lang, source, ratio) AS total FROM grouped
+), points AS (
+    SELECT level, lang, source, ratio, total,
+        min(bucket) FILTER (WHERE upto * 100 >= total * 10) AS b10,
+        min(bucket) FILTER (WHERE upto * 100 >= total * 50) AS b50,
+        min(bucket) FILTER (WHERE upto * 100 >= total * 90) AS b90
+    FROM placed GROUP BY ALL
+), limits AS (
+    SELECT level, lang, source, ratio, total,
+        (b10 - 32 * greatest(b10 // 32 - 1, 0)) << greatest(b10 // 32 - 1, 0) AS low,
+        (b50 - 32 * greatest(b50 // 32 - 1, 0)) << greatest(b50 // 32 - 1, 0) AS mid,
+        (b90 - 32 * greatest(b90 // 32 - 1, 0)) << greatest(b90 // 32 - 1, 0) AS high
+    FROM points
+), judged AS (
+    SELECT ratios.doc_id, bool_and(v BETWEEN
+        l.mid - greatest((l.mid - l.low) * 8, nearest) AND
+        l.mid + greatest(least(l.mid - l.low, l.high - l.mid) * 8, nearest)) AS fine
+    FROM ratios, LATERAL (
+        SELECT low, mid, high FROM limits
+        WHERE limits.ratio = ratios.ratio AND (
+            level = 2
+            OR level = 1 AND limits.lang IS NOT DISTINCT FROM ratios.lang AND total >= 100
+            OR level = 0 AND limits.lang IS NOT DISTINCT FROM ratios.lang
+                AND limits.source IS NOT DISTINCT FROM ratios.source AND total >= 100)
+        ORDER BY level LIMIT 1) AS l
+    GROUP BY ratios.doc_id
+), based AS (
+    SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM counts
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_lines, n_dup_lines, n_repeat_words, base_failed,
+    NOT base_failed AND coalesce(fine, FALSE) AS kept
+FROM based LEFT JOIN judged USING (doc_id)
+"""
+
+
 @query
 def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets in all documents; the digest covers the first three rules."""

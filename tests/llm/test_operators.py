@@ -205,12 +205,15 @@ def test_perspectives(spark):
     assert perspectives(table.where("false")).count() == 0
 
 
-def test_perspectives_match_sql(spark):
+@pytest.mark.parametrize("name", queries.CHECK_SQL)
+def test_queries_match_sql(spark, name):
     connection = duckdb.connect()
-    connection.execute(f"CREATE VIEW conversations AS FROM '{SF_DIR}/conversations.parquet'")
-    df = queries.op3_chat_perspectives(spark, SF_DIR)
-    relation = connection.execute(queries.CHECK_SQL["op3_chat_perspectives"])
+    for table in ("conversations", "documents"):
+        connection.execute(f"CREATE VIEW {table} AS FROM '{SF_DIR}/{table}.parquet'")
+    df = queries.QUERIES[name](spark, SF_DIR)
+    relation = connection.execute(queries.CHECK_SQL[name])
     names = [column[0] for column in relation.description]
+    assert sorted(names) == sorted(df.columns)
     assert as_sorted(df.select(*names).collect()) == as_sorted(relation.fetchall())
 
 
