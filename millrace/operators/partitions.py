@@ -8,6 +8,15 @@ from pyspark.sql.types import StructType
 
 from millrace.workspace import path_exists
 
+# what Spark's scan of whole files has, ahead of the partition columns
+_FILE_COLUMNS = (
+    StructType()
+    .add("path", "string")
+    .add("modificationTime", "timestamp")
+    .add("length", "long")
+    .add("content", "binary")
+)
+
 
 class PartitionConflict(Exception):
     """A write would add to a partition that already has data."""
@@ -54,14 +63,18 @@ def read_partitioned(
 def existing_partitions(
     spark: SparkSession, path: str, partition_schema: StructType
 ) -> DataFrame | None:
-    """The partition values that have data under ``path``, None where nothing was written.
+    """The partition values that have files under ``path``, None where nothing was written.
 
-    Values come from directory names. Of the files only the footers are read, for
-    whether they have rows, and each task puts out its distinct values only.
+    Values come from directory names; no file is opened, and each task puts out its
+    distinct values only.
     """
     if not path_exists(spark, path):
         return None
-    return read_partitioned(spark, path, partition_schema).distinct()
+    files = spark.read.format("binaryFile")
+    if not set(partition_schema.names) <= set(files.load(path).columns):
+        return None
+    schema = StructType([*_FILE_COLUMNS.fields, *partition_schema.fields])
+    return files.schema(schema).load(path).select(*partition_schema.names).distinct()
 
 
 def conflicting_partitions(df: DataFrame, path: str, by: list[str]) -> DataFrame:

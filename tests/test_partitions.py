@@ -64,6 +64,15 @@ def test_partition_values_that_look_like_numbers(spark, tmp_path):
     assert rows(stored) == [(1, "01"), (2, "1"), (3, "2024-01-01"), (4, "001")]
 
 
+def test_conflict_check_opens_no_file(spark, tmp_path):
+    path = str(tmp_path / "t")
+    write_partitioned(_rows(spark, (1, "A"), (2, "B")), path, ["city"])
+    for file in tmp_path.glob("t/city=*/*"):
+        file.write_bytes(b"no Parquet")
+    new = _rows(spark, (3, "B"), (4, "C"))
+    assert rows(conflicting_partitions(new, path, ["city"])) == [("B",)]
+
+
 def test_append_to_a_folder_without_partitions(spark, tmp_path):
     path = str(tmp_path / "t")
     none = _rows(spark, (1, "A")).where("false")
