@@ -1,8 +1,7 @@
 """Avro payload columns for flat records of long, double and string fields.
 
-Each Arrow batch is coded column by column: a loop over fields, never over rows.
-Use Spark's own ``from_avro`` and ``to_avro`` where the spark-avro package is installed;
-these take the same arguments and read and write the same bytes.
+Where the session has Spark's Avro package its own functions do the work. Elsewhere each
+Arrow batch is coded column by column: a loop over fields, never over rows.
 """
 
 from __future__ import annotations
@@ -11,8 +10,9 @@ import json
 
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.avro import functions as spark_avro
 from pyspark.sql.types import StructType
 
 from millrace.functions import avro_batch
@@ -22,6 +22,18 @@ from millrace.schemas import SPARK_TYPES
 cloudpickle.register_pickle_by_value(avro_batch)
 
 
+def has_spark_avro() -> bool:
+    """Whether the active session's JVM has Spark's Avro package."""
+    jvm = SparkSession.active()._jvm
+    loader = jvm.java.lang.Thread.currentThread().getContextClassLoader()
+    name = "org/apache/spark/sql/avro/AvroDataToCatalyst.class"
+    return loader.getResource(name) is not None
+
+
+def _declaration(schema: str | dict) -> str:
+    return schema if isinstance(schema, str) else json.dumps(schema)
+
+
 def parse_record(schema: str | dict) -> list[avro_batch.Field]:
     """The fields of an Avro record declaration."""
     record = json.loads(schema) if isinstance(schema, str) else schema
@@ -56,6 +68,8 @@ def spark_schema(schema: str | dict) -> StructType:
 def to_avro(row: Column, schema: str | dict) -> Column:
     """Encode a struct with the schema's field names; NULL in a required field is an error."""
     fields = parse_record(schema)
+    if has_spark_avro():
+        return spark_avro.to_avro(row, _declaration(schema))
 
     @F.arrow_udf("binary")
     def encode(rows: pa.Array) -> pa.Array:
@@ -79,6 +93,11 @@ def from_avro(
     wanted = parse_record(reader or schema)
     avro_batch.check_readable(written, wanted)
     strict = _is_strict(mode)
+    if has_spark_avro():
+        options = {"mode": mode}
+        if reader is not None:
+            options["avroSchema"] = _declaration(reader)
+        return spark_avro.from_avro(value, _declaration(schema), options)
 
     @F.arrow_udf(spark_schema(reader or schema))
     def decode(values: pa.Array) -> pa.Array:

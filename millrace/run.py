@@ -8,6 +8,7 @@ Spark's Kafka package. Store credentials and endpoints belong in the Spark confi
 from __future__ import annotations
 
 import argparse
+import json
 import logging
 import sys
 from pathlib import Path
@@ -49,6 +50,13 @@ def parse(arguments: list[str] | None = None) -> argparse.Namespace:
     add("--topic", help="needed to fill a topic and to read from brokers")
     add("--format", choices=("avro", "json"), default="avro", help="of the messages")
     add("--schema-id", type=int, help="id in the header of Avro messages; none without")
+    add(
+        "--schema",
+        action="append",
+        default=[],
+        metavar="ID=FILE",
+        help="a further record that messages are written under, as a JSON file; repeatable",
+    )
     add("--min-partitions", type=int, help="least parallelism of a broker source")
     add("--max-offsets", type=int, help="most messages a batch takes from a broker")
     add("--files-per-batch", type=int, help="most files a batch takes from a topic folder")
@@ -139,7 +147,11 @@ def _decode(options: argparse.Namespace) -> Column:
         return from_json_payload("value", TAXI, mode="FAILFAST")
     if options.schema_id is None:
         return from_avro("value", TAXI_RECORD)
-    return from_framed_avro("value", {options.schema_id: TAXI_RECORD}, TAXI_RECORD)
+    records = {options.schema_id: TAXI_RECORD}
+    for given in options.schema:
+        schema_id, _, file = given.partition("=")
+        records[int(schema_id)] = json.loads(Path(file).read_text())
+    return from_framed_avro("value", records, TAXI_RECORD)
 
 
 if __name__ == "__main__":

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import json
 import struct
 
 import pyarrow as pa
@@ -10,7 +11,7 @@ from pyspark.errors import PythonException
 from pyspark.sql import functions as F
 
 from conftest import rows
-from millrace.functions import avro_batch
+from millrace.functions import avro, avro_batch
 from millrace.functions.avro import (
     from_avro,
     from_framed_avro,
@@ -167,3 +168,21 @@ def test_null_value_is_null_in_both_modes(spark):
     broken = spark.sql("SELECT X'02' AS value")
     with pytest.raises(PythonException, match="malformed Avro payload"):
         broken.select(from_avro("value", AB)).collect()
+
+
+def test_the_package_does_the_work_where_there_is_one(spark, monkeypatch):
+    assert not avro.has_spark_avro()
+    calls = []
+    monkeypatch.setattr(avro, "has_spark_avro", lambda: True)
+    for name in ("to_avro", "from_avro"):
+        monkeypatch.setattr(
+            avro.spark_avro, name, lambda *given, name=name: calls.append((name, *given[1:]))
+        )
+    record = avro_record("r", [("a", "long")])
+    avro.to_avro(F.struct("a"), record)
+    avro.from_avro("value", record, mode="PERMISSIVE", reader=record)
+    text = json.dumps(record)
+    assert calls == [
+        ("to_avro", text),
+        ("from_avro", text, {"mode": "PERMISSIVE", "avroSchema": text}),
+    ]

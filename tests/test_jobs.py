@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import logging
 
 import pytest
@@ -17,7 +18,7 @@ from millrace.plans.jobs import (
     keep_trip_table,
     rewrite_partitions,
 )
-from millrace.schemas import TAXI
+from millrace.schemas import TAXI, TAXI_RECORD
 from millrace.sources.csv_files import read_csv, write_csv
 from millrace.sources.topic import stream_topic
 from millrace.streaming.sinks import AVAILABLE_NOW
@@ -117,6 +118,20 @@ def test_submitted_jobs(spark, tmp_path, trips, monkeypatch, caplog):
     assert run.parse(["follow-topic", *paths, "--files-per-batch", "5"]).files_per_batch == 5
 
 
+def test_messages_under_two_records(spark, tmp_path, trips):
+    """One schema id from the options, another with a record file, fields in another order."""
+    topic, out, file = str(tmp_path / "t"), str(tmp_path / "out"), tmp_path / "turned.json"
+    turned = {**TAXI_RECORD, "fields": TAXI_RECORD["fields"][::-1]}
+    file.write_text(json.dumps(turned))
+    fill_topic(trips, topic, "trips", TAXI_RECORD, schema_id=3)
+    fill_topic(trips.select(*TAXI.names[::-1]), topic, "trips", turned, schema_id=4)
+    paths = ["--input", topic, "--output", out, "--checkpoint", f"{out}-ck"]
+    ids = ["--schema-id", "3", "--schema", f"4={file}", "--trigger", "available-now"]
+    run.run(spark, run.parse(["topic-to-parquet-files", *paths, *ids]))
+    stored = spark.read.parquet(out).select(*TAXI.names)
+    assert rows(stored) == rows(trips.unionByName(trips))
+
+
 def test_rewrite_partitions(spark, tmp_path, trips):
     path = str(tmp_path / "t")
     rewrite_partitions(trips, path)
