@@ -29,7 +29,7 @@ from millrace.llm.words import words
 
 #: Parts that pieces of one length are dealt to for numbering.
 _PARTS = 256
-_KEPT_WORDS = 1_500_000
+_KEPT_WORDS = 700_000
 _KEPT_LENGTH = 64
 
 

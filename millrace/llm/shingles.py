@@ -8,7 +8,7 @@ import xxhash
 from millrace.llm.hashing import mix, window_hashes
 from millrace.llm.words import lower_words
 
-_KEPT_WORDS = 1_000_000
+_KEPT_WORDS = 250_000
 
 
 class WordHashes(dict):
