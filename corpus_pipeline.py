@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm.decontaminate import without_leaks
 from millrace.llm.ngram_join import one_of_each
+from millrace.llm.packing import packed, tokenized_pieces
 from millrace.llm.quality import text_counts, with_verdicts
-from millrace.llm.queries import packed_documents
 from millrace.llm.secrets import without_secrets
 from millrace.llm.shared import written
 
@@ -43,8 +44,12 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token pieces of all documents, each with its place in a sequence."""
-    return packed_documents(docs)
+    """Token ids of all documents in pieces, each with its place in a sequence.
+
+    The pieces of a sequence, by offset, are its tokens.
+    """
+    pieces = tokenized_pieces(docs, public_tokenizers.path("word_bpe_49k.json"))
+    return packed(written(pieces.withColumnRenamed("id", "doc_id"), "pieces"))
 
 
 STAGES: list[tuple[str, Stage]] = [

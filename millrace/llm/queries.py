@@ -168,11 +168,8 @@ def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All documents' tokens packed into sequences of at most 4096."""
-    return packed_documents(table(spark, sf_dir, "documents"))
-
-
-def packed_documents(docs: DataFrame) -> DataFrame:
+    """All documents' tokens packed into sequences of at most 4096; a digest stands for ids."""
+    docs = table(spark, sf_dir, "documents")
     pieces = tokenized_pieces(docs, public_tokenizers.path("word_bpe_49k.json"))
     return packed(
         written(

@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 import corpus_pipeline
+import numpy as np
 import plain
+import public_tokenizers
 import pytest
 from odd import no_docs, odd_docs, odd_rows  # noqa: F401
+from tokenizers import Tokenizer
 
 from millrace.llm.shared import written
 
@@ -73,6 +76,21 @@ def test_all_documents_are_packed(steps):
     assert max(filled.values()) <= 4096
 
 
+def test_sequences_hold_the_tokens_of_all_documents(steps):
+    before, after = steps["packing"]
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    expected = {
+        row["doc_id"]: tokenizer.encode(row["text"], add_special_tokens=False).ids + [1]
+        for row in before
+    }
+    found = {}
+    for row in sorted(after, key=lambda r: (r["doc_id"], r["piece"])):
+        ids = np.frombuffer(row["ids"], "<u4").tolist()
+        assert len(ids) == row["length"]
+        found.setdefault(row["doc_id"], []).extend(ids)
+    assert found == expected
+
+
 @pytest.mark.parametrize("stage", range(len(corpus_pipeline.STAGES)))
 def test_stages_take_odd_rows(spark, odd_docs, no_docs, stage):
     name, function = corpus_pipeline.STAGES[stage]
