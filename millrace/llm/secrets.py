@@ -3,7 +3,7 @@
 A pass of the automaton of all rules tells which rules have a match in a text; most texts have
 none. For the others an automaton of the reversed rules, run from the end, marks every place
 where a match starts, and from the first such place on each rule's own automaton tells
-where its longest match ends.
+where its longest match ends. What may follow a match and belongs to it is only looked for there.
 """
 
 from __future__ import annotations
@@ -20,14 +20,32 @@ from millrace.llm.automaton import Automaton, parsed, reversed_tree, without_cas
 
 @dataclass(frozen=True)
 class Rule:
-    """A kind of secret: ``lead`` before the value itself, which has a least length in bytes."""
+    """A kind of secret: ``lead`` before the value itself, which has a least length in bytes.
+
+    ``tail`` is what belongs to the secret if it follows the value.
+    """
 
     kind: str
     lead: str
     value: str
     least: int
     any_case: bool = False
+    tail: str = ""
+
 
+#: Header lines of a key, with line ends as they are or as escapes in a string.
+_KEY_HEADERS = (
+    r"""([\x20\x09\x0A\x0D"',>#*|]|\\[nrt])*([A-Za-z][A-Za-z0-9-]*:\x20"""
+    r"""[\x20-\x5B\x5D-\x7E\x80-\xFF]*([\x0A\x0D]|\\[nr])+[\x20\x09"',>#*|]*)*"""
+)
+#: The rest of a key: up to its END line base64 and what lines are indented, quoted, joined or
+#: escaped with, never five dashes; without an END line only lines of base64 and a last short one.
+_KEY_BODY = (
+    rf"{_KEY_HEADERS}("
+    r"""(-{0,4}[A-Za-z0-9+/=\x20\x09\x0A\x0D\\"',>#*|<&;])*-{5,6}END ([A-Z]+ )*PRIVATE KEY( BLOCK)?-----"""
+    r"""|(([\x20\x09\x0A\x0D"',>#*|]|\\[nrt])*[A-Za-z0-9+/]{40,}=*)+"""
+    r"""(([\x0A\x0D]|\\[nr])+[\x20\x09"',>#*|]*[A-Za-z0-9+/]+=*)?)"""
+)
 
 #: Fixed patterns; the order tells how spans with the same start are listed.
 RULES = (
@@ -42,7 +60,13 @@ RULES = (
     Rule("hex", "", r"[0-9a-f]{32,}", 32),
     Rule("github", "", r"gh[pousr]_[A-Za-z0-9]+", 40),
     Rule("slack", "", r"xox[abprs]-[A-Za-z0-9-]+", 20),
-    Rule("private_key", "", r"-----BEGIN ([A-Z]+ )*PRIVATE KEY-----", 0),
+    Rule(
+        "private_key",
+        "",
+        r"-----BEGIN ([A-Z]+ )*PRIVATE KEY( BLOCK)?-----",
+        0,
+        tail=_KEY_BODY,
+    ),
 )
 
 SPANS = ArrayType(
@@ -71,6 +95,9 @@ class Scanner:
         self.starts = Automaton([reversed_tree(tree) for tree in trees], anywhere=True)
         self.whole = [Automaton([tree], anywhere=False) for tree in trees]
         self.leads = [Automaton([lead], anywhere=False) for lead in leads]
+        self.tails = [
+            Automaton([parsed(rule.tail)], anywhere=False) if rule.tail else None for rule in rules
+        ]
 
     def has_any(self, body: bytes) -> bool:
         """Whether any rule matches anywhere: the one pass over a text without secrets."""
@@ -99,6 +126,8 @@ class Scanner:
                 if start < free:
                     continue
                 end = self.whole[index].longest(body, start)
+                if self.tails[index]:
+                    end = max(end, self.tails[index].longest(body, end))
                 free = end
                 value = self.leads[index].longest(body, start) if rule.lead else start
                 if end - value >= rule.least:
