@@ -6,9 +6,11 @@ Its weighted probability is the mean of that and of the product over the context
 longer, so that all depths are mixed, by how well they did in training. Trained trees are
 frozen: what a bit costs in a text follows from the deepest known context on its path.
 
-Counts come from runs of bytes, one longer than the context each. Runs that are left out, as
-the rarest are when there are more than a model of bounded size can hold, count in the
-context that is shorter by a byte, where they share one further context.
+Counts come from runs of bytes, one longer than the context each. Runs that are left out
+count in the context that is shorter by a byte, where they share one further context.
+
+Contexts that end in the same bytes make a subtree, which can be weighed on its own: what the
+shorter contexts need of it are sums (``subtree_sums``), what it needs of them is a ``Top``.
 """
 
 from __future__ import annotations
@@ -68,86 +70,145 @@ def _log_kt(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
     )
 
 
-class ContextTrees:
-    """Frozen trees: for each context and bits so far, the probability that the next is one."""
+def levels_of(
+    code: np.ndarray, count: np.ndarray, first: int, depth: int
+) -> list[tuple[np.ndarray, np.ndarray]]:
+    """For each number of bytes before, from ``first`` to ``depth``, runs in order and their counts."""
+    levels = []
+    for length in range(first, depth + 1):
+        key, at = np.unique(code & ((1 << 8 * (length + 1)) - 1), return_inverse=True)
+        levels.append((key, np.bincount(at, count, len(key)).astype(np.int64)))
+    return levels
 
-    def __init__(self, levels: list[tuple[np.ndarray, np.ndarray]]) -> None:
-        """``levels`` has, for each number of bytes before, runs in order and their counts.
 
-        A run may be left out when all that end in it are.
-        """
-        self.depth = len(levels) - 1
-        self.tables: list[list[tuple[np.ndarray, np.ndarray]]] = [[] for _ in levels]
-        for bit in range(_BITS):
-            self._weigh(bit, [self._counts(*level, bit) for level in levels])
-        self._remember(levels[-1][0])
-
-    @staticmethod
-    def _counts(
-        code: np.ndarray, count: np.ndarray, bit: int
-    ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Keys of contexts before a bit, bytes before and bits so far; counts of zeros and ones."""
-        key, at = np.unique(code >> (_BITS - bit), return_inverse=True)
-        is_one = (code >> (_BITS - 1 - bit) & 1).astype(bool)
-        ones = np.bincount(at[is_one], count[is_one], len(key))
-        return key, np.bincount(at, count, len(key)) - ones, ones
-
-    def _weigh(self, bit: int, levels: list[tuple]) -> None:
-        """Mixes depths for one bit, from the longest contexts to the shortest, then back."""
+def _counts(
+    code: np.ndarray, count: np.ndarray, bit: int
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Keys of contexts before a bit, bytes before and bits so far; counts of zeros and ones."""
+    key, at = np.unique(code >> (_BITS - bit), return_inverse=True)
+    is_one = (code >> (_BITS - 1 - bit) & 1).astype(bool)
+    ones = np.bincount(at[is_one], count[is_one], len(key))
+    return key, np.bincount(at, count, len(key)) - ones, ones
+
+
+def _weigh(bit: int, levels: list[tuple], first: int) -> tuple[list[np.ndarray], tuple]:
+    """Mixes depths for one bit, from the longest contexts to those of ``first`` bytes.
+
+    Returns each level's weights, and of the shortest contexts keys, zeros, ones and log
+    probabilities.
+    """
+    half = np.log(0.5)
+    weights: list[np.ndarray] = [None] * len(levels)
+    below: tuple | None = None
+    for index in range(len(levels) - 1, -1, -1):
+        key, zeros, ones = levels[index]
+        own = _log_kt(zeros, ones)
+        if below is None:
+            weighted = own
+            weights[index] = np.ones(len(key))
+        else:
+            child, child_zeros, child_ones, child_weighted = below
+            at = np.searchsorted(key, child & ((1 << 8 * (first + index) + bit) - 1))
+            product = np.bincount(at, child_weighted, len(key))
+            # runs that were left out share one more context
+            rest_zeros = zeros - np.bincount(at, child_zeros, len(key))
+            rest_ones = ones - np.bincount(at, child_ones, len(key))
+            product = product + _log_kt(rest_zeros, rest_ones)
+            weighted = half + np.logaddexp(own, product)
+            weights[index] = np.exp(half + own - weighted)
+        below = (key, zeros, ones, weighted)
+    return weights, below
+
+
+def _say(
+    bit: int, levels: list[tuple], weights: list[np.ndarray], first: int, path: tuple | None
+) -> tuple[list[tuple[np.ndarray, np.ndarray]], tuple]:
+    """What the path down to each context says: chances by level, and the deepest level's path.
+
+    A path is keys, what they say so far, and what is left for deeper ones.
+    """
+    tables = []
+    for index, (key, zeros, ones) in enumerate(levels):
+        chance = (ones + 0.5) / (zeros + ones + 1.0)
+        length = first + index
+        if length:
+            up, said, left = path
+            at = np.searchsorted(up, key & ((1 << 8 * (length - 1) + bit) - 1))
+            said, left = said[at], left[at]
+        else:
+            said, left = np.zeros(len(key)), np.ones(len(key))
+        said = said + left * weights[index] * chance
+        left = left * (1 - weights[index])
+        path = key, said, left
+        # deeper contexts that were never seen have even chances
+        tables.append((key, (said + left * 0.5).astype(np.float32)))
+    return tables, path
+
+
+def _looked_up(
+    tables: list[list[tuple[np.ndarray, np.ndarray]]],
+    first: int,
+    code: np.ndarray,
+    bit: int,
+    one: np.ndarray,
+) -> np.ndarray:
+    """The chance of a one in the deepest known context of each run, or else the one given."""
+    for index, table in enumerate(tables):
+        key, chance = table[bit]
+        if not len(key):
+            continue
+        wanted = (code & ((1 << 8 * (first + index + 1)) - 1)) >> (_BITS - bit)
+        at = np.minimum(np.searchsorted(key, wanted), len(key) - 1)
+        one = np.where(key[at] == wanted, chance[at], one)
+    return one
+
+
+def subtree_sums(levels: list[tuple], first: int) -> Iterator[tuple]:
+    """For each bit keys of the contexts of ``first`` bytes, zeros, ones and log probabilities."""
+    for bit in range(_BITS):
+        yield _weigh(bit, [_counts(*level, bit) for level in levels], first)[1]
+
+
+class Top:
+    """The contexts of fewer than ``first`` bytes, above all subtrees; of a bounded size."""
+
+    def __init__(self, sums: list[tuple], first: int) -> None:
+        """``sums`` has, for each bit, keys in order of the contexts of ``first - 1`` bytes,
+        zeros, ones and the sum of the log probabilities of the contexts a byte longer."""
+        self.first = first
+        self.tables: list[list[tuple]] = [[] for _ in range(first)]
+        self.paths = []
         half = np.log(0.5)
-        weights: list[np.ndarray] = [None] * (self.depth + 1)
-        below: tuple | None = None
-        for length in range(self.depth, -1, -1):
-            key, zeros, ones = levels[length]
+        for bit, (key, zeros, ones, product) in enumerate(sums):
+            levels = [(key, zeros, ones)]
             own = _log_kt(zeros, ones)
-            if below is None:
-                weighted = own
-                weights[length] = np.ones(len(key))
-            else:
-                child, child_zeros, child_ones, child_weighted = below
-                at = np.searchsorted(key, child & ((1 << 8 * length + bit) - 1))
-                product = np.bincount(at, child_weighted, len(key))
-                # runs that were left out share one more context
-                rest_zeros = zeros - np.bincount(at, child_zeros, len(key))
-                rest_ones = ones - np.bincount(at, child_ones, len(key))
-                product = product + _log_kt(rest_zeros, rest_ones)
+            weighted = half + np.logaddexp(own, product)
+            weights = [np.exp(half + own - weighted)]
+            for length in range(first - 2, -1, -1):
+                short, at = np.unique(
+                    levels[0][0] & ((1 << 8 * length + bit) - 1), return_inverse=True
+                )
+                product = np.bincount(at, weighted, len(short))
+                zeros, ones = (np.bincount(at, n, len(short)) for n in levels[0][1:])
+                own = _log_kt(zeros, ones)
                 weighted = half + np.logaddexp(own, product)
-                weights[length] = np.exp(half + own - weighted)
-            below = (key, zeros, ones, weighted)
-        # what the path down to a context says: so far, and what is left for deeper ones
-        said = left = up = None
-        for length in range(self.depth + 1):
-            key, zeros, ones = levels[length]
-            chance = (ones + 0.5) / (zeros + ones + 1.0)
-            if length:
-                at = np.searchsorted(up, key & ((1 << 8 * (length - 1) + bit) - 1))
-                said, left = said[at], left[at]
-            else:
-                said, left = np.zeros(len(key)), np.ones(len(key))
-            said = said + left * weights[length] * chance
-            left = left * (1 - weights[length])
-            up = key
-            # deeper contexts that were never seen have even chances
-            self.tables[length].append((key, (said + left * 0.5).astype(np.float32)))
+                levels.insert(0, (short, zeros, ones))
+                weights.insert(0, np.exp(half + own - weighted))
+            tables, path = _say(bit, levels, weights, 0, None)
+            for length, table in enumerate(tables):
+                self.tables[length].append(table)
+            self.paths.append(path)
+
+
+class _Remembered:
+    """Scores of runs in a hash table, for looking up most bytes in one step."""
+
+    depth: int
 
     def _chances(self, code: np.ndarray) -> np.ndarray:
-        """Log10 probability of the last byte of each run, by looking up all its decisions."""
-        total = np.zeros(len(code))
-        for bit in range(_BITS):
-            one = np.full(len(code), 0.5)
-            for length in range(self.depth + 1):
-                key, chance = self.tables[length][bit]
-                if not len(key):
-                    continue
-                wanted = (code & ((1 << 8 * (length + 1)) - 1)) >> (_BITS - bit)
-                at = np.minimum(np.searchsorted(key, wanted), len(key) - 1)
-                one = np.where(key[at] == wanted, chance[at], one)
-            is_one = code >> (_BITS - 1 - bit) & 1
-            total += np.log10(np.where(is_one == 1, one, 1 - one))
-        return total
+        raise NotImplementedError
 
-    def _remember(self, code: np.ndarray) -> None:
-        """A hash table of the runs seen in training, for looking up most bytes in one step."""
+    def _remember(self, code: np.ndarray, score: np.ndarray) -> None:
         bits = max(8, int(len(code)).bit_length() + 1)
         self.shift = np.uint64(64 - bits)
         self.slots = np.full(1 << bits, -1, np.int64)
@@ -155,7 +216,7 @@ class ContextTrees:
         at = self._slot(code)
         self.slots[at] = code
         filled = self.slots[at] == code
-        self.scores[at[filled]] = self._chances(code[filled])
+        self.scores[at[filled]] = score[filled]
 
     def _slot(self, code: np.ndarray) -> np.ndarray:
         return (mix(code.astype(np.uint64)) >> self.shift).astype(np.int64)
@@ -171,7 +232,54 @@ class ContextTrees:
         return score
 
 
-def text_scores(trees: ContextTrees, bodies: Iterable[bytes]) -> Iterator[float]:
+class RunScores(_Remembered):
+    """Known scores of all runs that will be asked for."""
+
+    def __init__(self, code: np.ndarray, score: np.ndarray, depth: int) -> None:
+        self.depth = depth
+        self.code, first = np.unique(code, return_index=True)
+        self.score = score[first]
+        self._remember(self.code, self.score)
+
+    def _chances(self, code: np.ndarray) -> np.ndarray:
+        return self.score[np.searchsorted(self.code, code)]
+
+
+class ContextTrees(_Remembered):
+    """Frozen trees: for each context and bits so far, the probability that the next is one."""
+
+    def __init__(self, levels: list[tuple[np.ndarray, np.ndarray]], top: Top | None = None) -> None:
+        """``levels`` has, for each number of bytes before, runs in order and their counts.
+
+        A run may be left out when all that end in it are. With a ``top`` they are the
+        levels of whole subtrees below it.
+        """
+        self.top = top
+        self.first = top.first if top else 0
+        self.depth = self.first + len(levels) - 1
+        self.tables: list[list[tuple[np.ndarray, np.ndarray]]] = [[] for _ in levels]
+        for bit in range(_BITS):
+            counts = [_counts(*level, bit) for level in levels]
+            weights, _ = _weigh(bit, counts, self.first)
+            tables, _ = _say(bit, counts, weights, self.first, top.paths[bit] if top else None)
+            for index, table in enumerate(tables):
+                self.tables[index].append(table)
+        self._remember(levels[-1][0], self._chances(levels[-1][0]))
+
+    def _chances(self, code: np.ndarray) -> np.ndarray:
+        """Log10 probability of the last byte of each run, by looking up all its decisions."""
+        total = np.zeros(len(code))
+        for bit in range(_BITS):
+            one = np.full(len(code), 0.5)
+            if self.top:
+                one = _looked_up(self.top.tables, 0, code, bit, one)
+            one = _looked_up(self.tables, self.first, code, bit, one)
+            is_one = code >> (_BITS - 1 - bit) & 1
+            total += np.log10(np.where(is_one == 1, one, 1 - one))
+        return total
+
+
+def text_scores(trees: ContextTrees | RunScores, bodies: Iterable[bytes]) -> Iterator[float]:
     """Log10 probability of each text and its end; divided by -log10(2) it is a length in bits."""
     bodies = list(bodies)
     if bodies:

@@ -1,9 +1,10 @@
 """Scores of texts by a context-tree model and by word counts, both learned from part of them.
 
-Counts of byte runs are summed across tasks and make the context trees (``context_trees``), of
-bounded size, which go to all tasks. Counts of words are not bounded: the distinct words of
-each slice of the input go to the task that has a word's total, and the totals come back
-to the task that scores the slice, so no task needs more than its slices' words.
+Counts of byte runs are summed across tasks and make the context trees (``context_trees``). A
+task weighs the subtrees of some pairs of last bytes; only contexts of a byte or none go to all
+tasks. Neither runs nor words are bounded in number: the distinct ones of each slice of the
+input go to the task that has a run's score or a word's total, and what they ask for comes back
+to the task that scores the slice, so no task needs more than its slices' runs and words.
 """
 
 from __future__ import annotations
@@ -16,7 +17,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.blocks import BLOCK_SCHEMA, bucket_count, from_blocks, text_chunks, to_blocks
-from millrace.llm.context_trees import ContextTrees, counted, runs, text_scores
+from millrace.llm.context_trees import (
+    ContextTrees,
+    RunScores,
+    Top,
+    counted,
+    levels_of,
+    runs,
+    subtree_sums,
+    text_scores,
+)
 from millrace.llm.hashing import mix
 from millrace.llm.shared import written
 from millrace.llm.shingles import WordHashes
@@ -27,6 +37,10 @@ _WORD = np.dtype([("word", "u8"), ("slice", "i8"), ("count", "i8")])
 _END = b"\n"
 #: Slices of one part of a file, to keep the texts of a slice few.
 _CUTS = 2
+#: Runs that a task holds before it puts equal ones together.
+_HELD = 1_000_000
+#: Runs of small subtrees that are weighed together.
+_TOGETHER = 1 << 16
 
 
 def _slice(id_col: str) -> Column:
@@ -44,15 +58,13 @@ def scores(
     id_col: str = "doc_id",
     text_col: str = "text",
     depth: int = 4,
-    most: int = 1 << 20,
 ) -> DataFrame:
     """Rows (id, held_out, n_tokens, n_known, train_tokens, base_score, score, bits_per_byte).
 
     ``held_out`` tells the rows not to learn from; a null counts as false. A-Z are read as
     a-z, a null text as empty. Tokens are words and one end for each text. ``score`` is the
-    log10 probability of the text and its end under the context trees of ``depth`` bytes, with
-    ``most`` different runs at the deepest (see ``ContextTrees``); ``bits_per_byte`` is
-    that as a code length. ``base_score`` adds log10((c+1)/(N+V+1)) over the tokens, c
+    log10 probability of the text and its end under the context trees of ``depth`` bytes, of all
+    runs there are; ``bits_per_byte`` is that as a code length. ``base_score`` adds log10((c+1)/(N+V+1)) over the tokens, c
     being a token's count, N all and V the distinct ones of the rows learned from. Each row of
     ``docs`` has its own, repeated ones too. Without rows to learn from all chances are even.
     """
@@ -63,69 +75,205 @@ def scores(
         F.coalesce(F.encode(F.col(text_col), "UTF-8"), F.lit(b"")).alias("body"),
     )
     spark = docs.sparkSession
-    trees = spark.sparkContext.broadcast(_trained(keyed, depth, most))
-    answers = _word_totals(keyed, bucket_count(spark))
+    buckets = bucket_count(spark)
+    answers = _word_totals(keyed, buckets)
+    run_answers = _run_answers(keyed, _run_scores(_counted_runs(keyed, depth), depth), depth, buckets)
     sums = answers.where("kind = 1").agg(F.sum("distinct"), F.sum("total")).first()
     distinct, total = (int(value or 0) for value in sums)
-    return _scored(keyed, answers, trees, distinct, total)
+    return _scored(keyed, answers.unionByName(run_answers, True), depth, distinct, total)
 
 
 def _lowered(body: bytes) -> bytes:
     return body.translate(LOWER)
 
 
-def _trained(keyed: DataFrame, depth: int, most: int) -> ContextTrees:
+def _counted_runs(keyed: DataFrame, depth: int) -> DataFrame:
+    """Rows (code, n) of all runs, with how often the rows to learn from have each, maybe never."""
+
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes, counts, held = [], [], 0
         for batch in batches:
-            for low, high in text_chunks(batch["body"], 1 << 20):
+            out = np.asarray(batch["held_out"].cast("int8"))
+            for low, high in text_chunks(batch["body"], 1 << 19):
                 bodies = [_lowered(body) for body in batch["body"][low:high].to_pylist()]
-                code, number = np.unique(runs(bodies, depth)[0], return_counts=True)
-                codes.append(code)
-                counts.append(number)
-                held += len(code)
-                if held > 8_000_000:
+                for held_out in (0, 1):
+                    rows = np.flatnonzero(out[low:high] == held_out)
+                    if not len(rows):
+                        continue
+                    code, number = np.unique(
+                        runs([bodies[row] for row in rows], depth)[0], return_counts=True
+                    )
+                    codes.append(code)
+                    counts.append(number * (1 - held_out))
+                    held += len(code)
+                if held > _HELD:
                     code, number = counted(codes, counts)
-                    codes, counts, held = [code], [number], 0
+                    codes, counts, held = [code], [number], len(code)
+                    if held > _HELD // 2:
+                        yield _run_batch(code, number)
+                        codes, counts, held = [], [], 0
         if codes:
-            code, number = counted(codes, counts)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(code), pa.array(number)], names=["code", "n"]
-            )
+            yield _run_batch(*counted(codes, counts))
 
     found = (
-        keyed.where(~F.col("held_out"))
-        .select("body")
+        keyed.select("held_out", "body")
         .mapInArrow(count, "code bigint, n bigint")
         .groupBy("code")
         .agg(F.sum("n").alias("n"))
     )
-    found = written(found, "runs")
-    levels, floor = [], 1
-    for length in range(depth + 1):
-        short = F.col("code").bitwiseAND((1 << 8 * (length + 1)) - 1)
-        level = found.groupBy(short.alias("code")).agg(F.sum("n").alias("n"))
-        floor = max(floor, _floor(level, most))
-        table = level.where(F.col("n") >= floor).toArrow()
-        code, number = np.asarray(table["code"], np.int64), np.asarray(table["n"], np.int64)
-        order = np.argsort(code)
-        levels.append((code[order], number[order]))
-    return ContextTrees(levels)
-
-
-def _floor(level: DataFrame, most: int) -> int:
-    """The least count that no more than ``most`` runs reach, of counts in steps of an eighth."""
-    step = F.floor(F.log2("n") * 8)
-    rows = level.groupBy(step.alias("step")).agg(F.count("*").alias("runs")).collect()
-    reached, floor = 0, None
-    for row in sorted(rows, reverse=True):
-        reached += row["runs"]
-        if reached > most:
-            break
-        floor = row["step"]
-    else:
-        return 1
-    return int(np.ceil(2.0 ** ((floor if floor is not None else sorted(rows)[-1]["step"] + 1) / 8)))
+    return written(found, "runs")
+
+
+def _run_batch(code: np.ndarray, number: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(code), pa.array(number)], names=["code", "n"])
+
+
+def _subtrees(
+    batches: Iterable[pa.RecordBatch], last: int
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Runs in order and counts of a task's subtrees, small ones together."""
+    parts = [(np.asarray(batch["code"]), np.asarray(batch["n"])) for batch in batches]
+    if not parts:
+        return
+    code, count = (np.concatenate(column) for column in zip(*parts, strict=True))
+    order = np.lexsort((code, code >> 8 & last))
+    code, count = code[order], count[order]
+    edges = np.flatnonzero(np.diff(code >> 8 & last, prepend=-1, append=-1))
+    low = 0
+    for edge, after in zip(edges[1:], [*edges[2:], None], strict=True):
+        if after is None or after - low > _TOGETHER:
+            by_code = np.argsort(code[low:edge])
+            yield code[low:edge][by_code], count[low:edge][by_code]
+            low = edge
+
+
+def _run_scores(found: DataFrame, depth: int) -> DataFrame:
+    """Rows (code, score) of all runs: log10 probability of the last byte.
+
+    A subtree has all contexts that end in the same two bytes, so it has at most so many runs
+    as there are of three bytes.
+    """
+    first = min(2, depth)
+    last = (1 << 8 * first) - 1
+    dealt = found.withColumn(
+        "last", F.shiftright("code", 8).bitwiseAND(F.lit(last).cast("long"))
+    ).repartition("last")
+
+    def weigh(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for code, count in _subtrees(batches, last):
+            seen = count > 0
+            levels = levels_of(code[seen], count[seen], first, depth)
+            for bit, (key, zeros, ones, weighted) in enumerate(subtree_sums(levels, first)):
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(np.full(len(key), bit, np.int32)),
+                        pa.array(key & ((1 << 8 * (first - 1) + bit) - 1)),
+                        pa.array(zeros.astype(np.int64)),
+                        pa.array(ones.astype(np.int64)),
+                        pa.array(weighted),
+                    ],
+                    names=["bit", "key", "zeros", "ones", "weighted"],
+                )
+
+    top = None
+    if first:
+        # at most 256 each, summed in order so that every run gives the same
+        product = F.aggregate(
+            F.array_sort(F.collect_list("weighted")), F.lit(0.0), lambda total, one: total + one
+        )
+        sums = (
+            dealt.mapInArrow(
+                weigh, "bit int, key bigint, zeros bigint, ones bigint, weighted double"
+            )
+            .groupBy("bit", "key")
+            .agg(F.sum("zeros").alias("zeros"), F.sum("ones").alias("ones"), product.alias("product"))
+            .toArrow()
+            .sort_by([("bit", "ascending"), ("key", "ascending")])
+        )
+        columns = [np.asarray(sums[name]) for name in ("key", "zeros", "ones", "product")]
+        bits = np.asarray(sums["bit"])
+        top = Top([tuple(column[bits == bit] for column in columns) for bit in range(8)], first)
+    shared = found.sparkSession.sparkContext.broadcast(top)
+
+    def score(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for code, count in _subtrees(batches, last):
+            seen = count > 0
+            trees = ContextTrees(levels_of(code[seen], count[seen], first, depth), shared.value)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(code), pa.array(trees.log10(code))], names=["code", "score"]
+            )
+
+    return dealt.mapInArrow(score, "code bigint, score double")
+
+
+def _run_answers(keyed: DataFrame, scored: DataFrame, depth: int, buckets: int) -> DataFrame:
+    """Rows of kind 2 with runs' scores for each slice."""
+
+    def ask(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, list] = {}
+        size = 0
+        for batch in batches:
+            slices = np.asarray(batch["slice"])
+            for low, high in text_chunks(batch["body"], 1 << 19):
+                bodies = [_lowered(body) for body in batch["body"][low:high].to_pylist()]
+                for name in np.unique(slices[low:high]).tolist():
+                    rows = np.flatnonzero(slices[low:high] == name)
+                    code = np.unique(runs([bodies[row] for row in rows], depth)[0])
+                    held.setdefault(name, []).append(code)
+                    size += len(code)
+                if size > _HELD:
+                    held = {name: [np.unique(np.concatenate(p))] for name, p in held.items()}
+                    size = sum(len(code) for (code,) in held.values())
+                    if size > _HELD // 2:
+                        yield from _asked_runs(held, buckets)
+                        held, size = {}, 0
+        yield from _asked_runs(held, buckets)
+
+    def offer(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            offered = np.zeros(len(batch["code"]), _RUN_SCORE)
+            offered["code"], offered["score"] = np.asarray(batch["code"]), np.asarray(batch["score"])
+            yield from to_blocks(offered, mix(offered["code"].astype(np.uint64)), buckets, 1)
+
+    def answer(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        blocks = from_blocks(batches, {0: _RUN, 1: _RUN_SCORE})
+        asked, offered = blocks[0], np.sort(blocks[1], order="code")
+        asked = asked[np.argsort(asked["slice"], kind="stable")]
+        back = offered[np.searchsorted(offered["code"], asked["code"])]
+        names, first = np.unique(asked["slice"], return_index=True)
+        edges = np.append(first, len(asked))
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array([2] * len(names), pa.int32()),
+                pa.array(names),
+                pa.array(
+                    [back[a:b].tobytes() for a, b in zip(edges[:-1], edges[1:], strict=True)],
+                    pa.binary(),
+                ),
+            ],
+            names=["kind", "slice", "payload"],
+        )
+
+    asks = keyed.select("slice", "body").mapInArrow(ask, BLOCK_SCHEMA)
+    return written(
+        asks.unionByName(scored.mapInArrow(offer, BLOCK_SCHEMA))
+        .repartition("bucket")
+        .mapInArrow(answer, "kind int, slice bigint, payload binary"),
+        "run-scores",
+    )
+
+
+_RUN = np.dtype([("code", "i8"), ("slice", "i8")])
+_RUN_SCORE = np.dtype([("code", "i8"), ("score", "f4")])
+
+
+def _asked_runs(held: dict[int, list], buckets: int) -> Iterator[pa.RecordBatch]:
+    """The distinct runs of each slice as blocks."""
+    for name, parts in held.items():
+        code = np.unique(np.concatenate(parts))
+        asked = np.zeros(len(code), _RUN)
+        asked["code"], asked["slice"] = code, name
+        yield from to_blocks(asked, mix(code.astype(np.uint64)), buckets)
 
 
 def _word_hashes(
@@ -221,18 +369,20 @@ def _asked(held: dict[int, list], buckets: int) -> Iterator[pa.RecordBatch]:
 
 
 def _scored(
-    keyed: DataFrame, answers: DataFrame, trees, distinct: int, total: int
+    keyed: DataFrame, answers: DataFrame, depth: int, distinct: int, total: int
 ) -> DataFrame:
     id_type = keyed.schema["id"].dataType.simpleString()
     spread = np.log10(float(total + distinct + 1))
 
     def score(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        texts, totals = [], {}
+        texts, totals, known_runs = [], {}, [np.zeros(0, _RUN_SCORE)]
         for batch in batches:
-            for name, payload in zip(
-                batch["slice"].to_pylist(), batch["payload"], strict=True
+            for kind, name, payload in zip(
+                batch["kind"].to_pylist(), batch["slice"].to_pylist(), batch["payload"], strict=True
             ):
-                if payload.is_valid:
+                if kind == 2:
+                    known_runs.append(np.frombuffer(payload.as_buffer(), _RUN_SCORE))
+                elif kind == 0:
                     totals.setdefault(name, []).append(np.frombuffer(payload.as_buffer(), _TOTAL))
             is_text = batch["body"].is_valid()
             texts.append(batch.filter(is_text).select(["id", "held_out", "slice", "body"]))
@@ -241,6 +391,10 @@ def _scored(
             found = np.concatenate(parts)
             sorted_totals[name] = found[np.argsort(found["word"])]
         totals.clear()
+        scored = np.concatenate(known_runs)
+        known_runs.clear()
+        run_scores = RunScores(scored["code"].copy(), scored["score"].copy(), depth)
+        del scored
         known = WordHashes()
         for batch in texts:
             slices = np.asarray(batch["slice"])
@@ -257,7 +411,7 @@ def _scored(
                 base = np.add.reduceat(np.log10(count + 1.0) - spread, first)
                 seen = np.add.reduceat((count > 0).astype(np.int64), first)
                 lowered = [_lowered(body) for body in bodies]
-                best = np.array(list(text_scores(trees.value, lowered)))
+                best = np.array(list(text_scores(run_scores, lowered)))
                 lengths = np.array([len(body) for body in bodies])
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -284,13 +438,14 @@ def _scored(
 
     nothing = F.lit(None)
     return (
-        keyed.withColumn("payload", nothing.cast("binary"))
+        keyed.withColumns({"kind": nothing.cast("int"), "payload": nothing.cast("binary")})
         .unionByName(
-            answers.where("kind = 0").select(
+            answers.where("kind IN (0, 2)").select(
                 nothing.cast(id_type).alias("id"),
                 nothing.cast("boolean").alias("held_out"),
                 "slice",
                 nothing.cast("binary").alias("body"),
+                "kind",
                 "payload",
             )
         )

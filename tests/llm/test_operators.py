@@ -22,7 +22,7 @@ from tokenizers import Tokenizer, models, pre_tokenizers
 from millrace.llm import queries
 from millrace.llm.automaton import Automaton, parsed
 from millrace.llm.chat import perspectives
-from millrace.llm.context_trees import ContextTrees, runs, text_scores
+from millrace.llm.context_trees import ContextTrees, levels_of, runs, text_scores
 from millrace.llm.decontaminate import greedy_tiles, leaks, without_leaks
 from millrace.llm.hashing import sliding_min, window_hashes, winnow
 from millrace.llm.lm_scoring import scores
@@ -433,6 +433,21 @@ def test_scores(spark, odd_docs, no_docs, odd_rows):
     assert all(row["n_known"] == 0 and row["train_tokens"] == 0 for row in alone)
 
 
+def test_rare_runs_stay_in_a_large_model(spark):
+    """More different runs than the 2^20 that the model once stopped at."""
+    rng = random.Random(8)
+    letters = [chr(0x4E00 + n) for n in range(20_000)]
+    rows = [(n, "".join(rng.choices(letters, k=10_000))) for n in range(88)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    code, count = np.unique(runs([text.encode() for _, text in rows[:80]], 4)[0], return_counts=True)
+    assert len(code) > 1 << 20
+    trees = ContextTrees(levels_of(code, count, 0, 4))
+    out = scores(docs, F.col("doc_id") >= 80).collect()
+    found = [row["score"] for row in sorted(out, key=lambda row: row["id"])]
+    expected = list(text_scores(trees, [text.encode() for _, text in rows]))
+    assert found == pytest.approx(expected, rel=1e-6)
+
+
 def test_held_out_texts_are_predicted(spark):
     out = queries.op7_context_trees(spark, SF_DIR).where("held_out").collect()
     bits = [row["bits_per_byte"] for row in out if row["n_tokens"] > 50]
