@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from millrace.llm.chat import perspectives
 from millrace.llm.decontaminate import leaks
+from millrace.llm.harmonic import harmonic_pieces, settled
 from millrace.llm.lm_scoring import scores
 from millrace.llm.ngram_join import set_components
 from millrace.llm.packing import packed, tokenized_pieces
@@ -259,3 +260,22 @@ def op7_context_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = F.crc32(F.col("doc_id").cast("string")) % 7 == 2
     scored = scores(table(spark, sf_dir, "documents"), held_out)
     return scored.withColumnRenamed("id", "doc_id")
+
+
+@query
+def op13_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents' tokens in sequences of at most 2048; a digest stands for ids."""
+    docs = table(spark, sf_dir, "documents")
+    pieces = harmonic_pieces(docs, public_tokenizers.path("word_bpe_49k.json"))
+    digest = F.crc32("ids")
+    unplaced = F.when(F.col("sequence_id").isNull(), F.col("ids"))
+    first = written(pieces.withColumn("ids_crc32", digest).withColumn("ids", unplaced), "pieces")
+    return settled(first).select(
+        F.col("id").alias("doc_id"),
+        "start",
+        "length",
+        F.coalesce("ids_crc32", digest).alias("ids_crc32"),
+        "doc_tokens",
+        "sequence_id",
+        "offset",
+    )
