@@ -14,6 +14,7 @@ from millrace.llm.harmonic import harmonic_pieces, settled
 from millrace.llm.lm_scoring import scores
 from millrace.llm.ngram_join import set_components
 from millrace.llm.packing import packed, tokenized_pieces
+from millrace.llm.periodic_runs import periodic_runs
 from millrace.llm.quality import COUNTS, base_failed, text_counts, with_verdicts
 from millrace.llm.secrets import secret_spans
 from millrace.llm.shared import written
@@ -279,3 +280,44 @@ def op13_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "sequence_id",
         "offset",
     )
+
+
+def _with_planted_runs(docs: DataFrame) -> DataFrame:
+    """(doc_id, text), where the last words of every tenth text, by its id, repeat some of them."""
+    hashed = F.crc32(F.col("doc_id").cast("string"))
+    found = F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
+    chosen = (
+        docs.select("doc_id", "text", F.floor(hashed / 10).alias("g"), (hashed % 10).alias("h"))
+        .withColumn("words", F.when(F.col("h") == 0, found))
+        .withColumn("a", F.when(F.size("words") > 0, F.expr("g % size(words)")))
+        .withColumn("p", F.expr("1 + (size(words) - a) div (3 + g % 8)"))
+    )
+    planted = F.expr("transform(words, (w, i) -> if(i < a, w, words[int(a + (i - a) % p)]))")
+    return chosen.select("doc_id", F.coalesce(F.array_join(planted, " "), "text").alias("text"))
+
+
+@query
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of words in all documents, a tenth of them with repeats put in.
+
+    A row without an id keeps its text as it is.
+    """
+    found = periodic_runs(_with_planted_runs(table(spark, sf_dir, "documents")))
+    best = F.array_max(
+        F.transform(
+            "runs", lambda r: F.struct(r["length"], -r["start"], -r["period"], r["start"], r["period"])
+        )
+    )
+    listed = F.transform(
+        "runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))
+    )
+    return found.withColumn("best", best).select(
+        F.col("id").alias("doc_id"),
+        F.size("runs").cast("long").alias("n_runs"),
+        F.col("best.start").alias("start"),
+        F.col("best.length").alias("length"),
+        F.col("best.period").alias("period"),
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(listed, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
