@@ -9,6 +9,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm.chat import perspectives
+from millrace.llm.conversation_repair import (
+    conversation_reports,
+    distinct_turns,
+    repaired_parts,
+    turn_gaps,
+    with_faults,
+)
 from millrace.llm.decontaminate import leaks
 from millrace.llm.harmonic import harmonic_pieces, settled
 from millrace.llm.lm_scoring import scores
@@ -321,3 +328,42 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join(listed, ""), 256).alias("runs_sha256"),
         F.sha2("collapsed", 256).alias("collapsed_sha256"),
     )
+
+
+def _damaged(turns: DataFrame) -> DataFrame:
+    """Turns with faults put in by the hash of conversation and turn."""
+    named = F.concat_ws(":", *(F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn")))
+    text = F.coalesce("text", F.lit(" "))
+    return (
+        turns.withColumn("damage", F.crc32(named) % 20)
+        .where("damage <> 0")
+        .select(
+            "conv_id",
+            "turn",
+            F.when(F.col("damage") == 4, "user").otherwise(F.col("role")).alias("role"),
+            F.when(F.col("damage") == 1, "")
+            .when(F.col("damage") == 2, F.regexp_replace(text, "[.!?]", ""))
+            .otherwise(text)
+            .alias("text"),
+            F.explode(F.when(F.col("damage") == 3, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))),
+        )
+    )
+
+
+@query
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults put into all conversations, and the cheapest repair of each."""
+    turns = table(spark, sf_dir, "conversations")
+    rows = written(distinct_turns(_damaged(turns), "conv_id", "turn", "role", "text"), "turns")
+    reports = conversation_reports(repaired_parts(with_faults(rows)))
+    found = turns.select("conv_id").distinct()
+    for part in (turn_gaps(rows).withColumnRenamed("id", "gap_id"), reports):
+        key = "gap_id" if "gap_id" in part.columns else "id"
+        found = found.join(part, found["conv_id"].eqNullSafe(part[key]), "left")
+    counts = ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")
+    return found.select(
+        "conv_id",
+        *(F.coalesce(name, F.lit(0).cast("long")).alias(name) for name in counts),
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("repaired_sha256"),
+    )
