@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 from collections.abc import Iterable, Iterator
 from functools import cache
-from itertools import chain
+from itertools import accumulate, chain
 
 import numpy as np
 import pyarrow as pa
@@ -14,10 +14,13 @@ from millrace.llm.blocks import text_chunks
 from millrace.llm.words import lower_words, words
 
 #: Words in each of the two generations of a worker's memory.
-_KEPT_WORDS = 500_000
+_KEPT_WORDS = 600_000
 _KEPT_LENGTH = 64
+#: A word that hardly occurs in texts, and how many words go with marks between them.
+_MARK = "\x01"
+_GROUP = 64
 #: Bytes of text whose new words are encoded together.
-_CHUNK = 1 << 20
+_CHUNK = 1 << 21
 
 
 class WordIds:
@@ -35,6 +38,7 @@ class WordIds:
         normalizer = self.tokenizer.normalizer
         small = normalizer is not None and normalizer.normalize_str("AZ") == "az"
         self.words = lower_words if small else words
+        self.mark = np.array(self.tokenizer.encode(_MARK, add_special_tokens=False).ids, "<u4")
         self.kept_words = kept_words
         self.young: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
@@ -45,24 +49,47 @@ class WordIds:
             self.young, self.old = {}, self.young
         young, old = self.young, self.old
         texts = [self.words(body) for body in bodies]
+        flat = list(chain.from_iterable(texts))
+        found = list(map(young.get, flat))
+        gaps = [at for at, ids in enumerate(found) if ids is None]
         new = []
-        for word in set(chain.from_iterable(texts)).difference(young):
-            found = old.get(word)
-            if found is None:
+        for word in {flat[at] for at in gaps}:
+            ids = old.get(word)
+            if ids is None:
                 new.append(word)
             else:
-                young[word] = found
-        encoded = self.tokenizer.encode_batch_fast(
-            [word.decode() for word in new], add_special_tokens=False
-        )
-        for word, encoding in zip(new, encoded, strict=True):
-            young[word] = np.array(encoding.ids, "<u4").tobytes()
-        packed = [b"".join(map(young.__getitem__, text)) for text in texts]
+                young[word] = ids
+        young.update(zip(new, self.encoded([word.decode() for word in new]), strict=True))
+        for at in gaps:
+            found[at] = young[flat[at]]
+        ends = list(accumulate(map(len, texts)))
+        packed = [b"".join(found[a:b]) for a, b in zip([0, *ends], ends, strict=False)]
         for word in new:
             if len(word) > _KEPT_LENGTH:
                 del young[word]
         return packed
 
+    def encoded(self, new: list[str]) -> list[bytes]:
+        """Packed ids of words, many to a call with a mark of one token between."""
+        groups = [new[at : at + _GROUP] for at in range(0, len(new), _GROUP)]
+        joined = self.tokenizer.encode_batch_fast(
+            [f" {_MARK} ".join(group) for group in groups], add_special_tokens=False
+        )
+        packed = []
+        for group, encoding in zip(groups, joined, strict=True):
+            ids = np.array(encoding.ids, "<u4")
+            marks = (4 * np.flatnonzero(ids == self.mark[0])).tolist()
+            if len(self.mark) == 1 and len(marks) == len(group) - 1:
+                whole = ids.tobytes()
+                ends = [*marks, len(whole)]
+                starts = [0, *(mark + 4 for mark in marks)]
+                packed += [whole[a:b] for a, b in zip(starts, ends, strict=True)]
+            else:
+                # a word holds the mark itself, or the vocabulary has no token for it
+                alone = self.tokenizer.encode_batch_fast(group, add_special_tokens=False)
+                packed += [np.array(each.ids, "<u4").tobytes() for each in alone]
+        return packed
+
 
 @cache
 def _word_ids(path: str) -> WordIds:
