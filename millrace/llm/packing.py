@@ -11,11 +11,8 @@ Pieces of one length are numbered across tasks, and their number finds their pla
 from __future__ import annotations
 
 import bisect
-import os
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
-from functools import cache
-from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -24,47 +21,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from millrace.llm.blocks import text_chunks
-from millrace.llm.words import words
+from millrace.llm.word_ids import token_ids
 
 #: Parts that pieces of one length are dealt to for numbering.
 _PARTS = 256
-_KEPT_WORDS = 700_000
-_KEPT_LENGTH = 64
-
-
-class _WordIds:
-    """Ids of words as packed bytes, remembered; forgets all when it holds too many."""
-
-    def __init__(self, path: str) -> None:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[bytes, bytes] = {}
-
-    def ids(self, texts: list[list[bytes]]) -> list[bytes]:
-        """Packed ids of each list of words."""
-        known = self.known
-        if len(known) > _KEPT_WORDS:
-            known.clear()
-        new = list(set(chain.from_iterable(texts)).difference(known))
-        encoded = self.tokenizer.encode_batch_fast(
-            [word.decode() for word in new], add_special_tokens=False
-        )
-        for word, encoding in zip(new, encoded, strict=True):
-            known[word] = np.array(encoding.ids, "<u4").tobytes()
-        packed = [b"".join(map(known.__getitem__, text)) for text in texts]
-        for word in new:
-            if len(word) > _KEPT_LENGTH:
-                del known[word]
-        return packed
-
-
-@cache
-def _word_ids(path: str) -> _WordIds:
-    """One memory of words for all tasks of a worker process."""
-    return _WordIds(path)
 
 
 def tokenized_pieces(
@@ -84,31 +44,26 @@ def tokenized_pieces(
     id_type = docs.schema[id_col].dataType.simpleString()
 
     def encode(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = _word_ids(tokenizer)
-        end = np.array([end_id], "<u4").tobytes()
-        for batch in batches:
-            for low, high in text_chunks(batch["body"]):
-                bodies = batch["body"][low:high].to_pylist()
-                rows, pieces, starts, lengths, ids = [], [], [], [], []
-                for row, packed in enumerate(known.ids([words(body) for body in bodies])):
-                    packed += end
-                    for piece, at in enumerate(range(0, len(packed), 4 * capacity)):
-                        part = packed[at : at + 4 * capacity]
-                        rows.append(low + row)
-                        pieces.append(piece)
-                        starts.append(at // 4)
-                        lengths.append(len(part) // 4)
-                        ids.append(part)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch["id"].take(pa.array(rows, pa.int64())),
-                        pa.array(pieces, pa.int32()),
-                        pa.array(starts, pa.int64()),
-                        pa.array(lengths, pa.int64()),
-                        pa.array(ids, pa.binary()),
-                    ],
-                    names=["id", "piece", "start", "length", "ids"],
-                )
+        for batch, texts in token_ids(batches, tokenizer, end_id):
+            rows, pieces, starts, lengths, ids = [], [], [], [], []
+            for row, packed in enumerate(texts):
+                for piece, at in enumerate(range(0, len(packed), 4 * capacity)):
+                    part = packed[at : at + 4 * capacity]
+                    rows.append(row)
+                    pieces.append(piece)
+                    starts.append(at // 4)
+                    lengths.append(len(part) // 4)
+                    ids.append(part)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch["id"].take(pa.array(rows, pa.int64())),
+                    pa.array(pieces, pa.int32()),
+                    pa.array(starts, pa.int64()),
+                    pa.array(lengths, pa.int64()),
+                    pa.array(ids, pa.binary()),
+                ],
+                names=["id", "piece", "start", "length", "ids"],
+            )
 
     return docs.select(
         F.col(id_col).alias("id"),
