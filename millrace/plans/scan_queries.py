@@ -13,9 +13,11 @@ from millrace.plans.jobs import filter_csv
 from millrace.plans.registry import query, table
 from millrace.sources.csv_files import (
     read_csv,
+    read_csv_chunks,
     read_csv_inferred,
     register_path,
     stream_csv,
+    stream_csv_chunks,
     write_csv,
 )
 from millrace.sources.listing import listing_summary
@@ -89,6 +91,27 @@ def csv_stream_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(target)
 
 
+@query(
+    "WITH c AS (SELECT COUNT(*) AS n FROM lineitem) "
+    "SELECT i AS chunk, LEAST(1000, n - 1000 * i) AS cnt, LEAST(1000, n - 1000 * i) - 1 AS last_row "
+    "FROM (SELECT n, UNNEST(RANGE((n + 999) // 1000)) AS i FROM c)"
+)
+def csv_exact_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every chunk but the last has a thousand rows, however the file is split."""
+    path, schema = _csv_copy(spark, sf_dir, "lineitem")
+    chunks = read_csv_chunks(spark, path, schema, 1000).groupBy("chunk")
+    return chunks.agg(F.count("*").alias("cnt"), F.max("chunk_row").alias("last_row"))
+
+
+@query("SELECT * FROM events")
+def csv_stream_exact_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path, schema = _csv_copy(spark, sf_dir, "events")
+    target = fresh_dir(spark, "csv-chunks")
+    rows = stream_csv_chunks(spark, path, schema, rows_per_batch=8000)
+    stream_to_parquet(rows, target, f"{target}-checkpoint", AVAILABLE_NOW).awaitTermination()
+    return spark.read.parquet(target)
+
+
 @query("SELECT COUNT(DISTINCT l_linenumber) AS objects, TRUE AS has_bytes FROM lineitem")
 def listing(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = fresh_dir(spark, "listed")

@@ -3,8 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from millrace.operators.numbering import by_whole_chunks, in_chunks
+from millrace.workspace import fresh_dir
+
 # The writer's default keeps milliseconds only; both sides name the full pattern.
 _TIME_FORMAT = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
 
@@ -55,6 +59,35 @@ def stream_csv(
     )
 
 
+def read_csv_chunks(
+    spark: SparkSession, path: str, schema: StructType, rows_per_chunk: int, **options: str
+) -> DataFrame:
+    """Scan CSV in chunks of exactly so many rows, the last one aside, in file and line order.
+
+    ``chunk`` and ``chunk_row`` tell each row's place. Tasks read splits of files as ever; a
+    chunk may begin in one split and end in the next.
+    """
+    place = {"csv file": "_metadata.file_path", "csv block": "_metadata.file_block_start"}
+    rows = read_csv(spark, path, schema, **options).select(
+        "*", *(F.col(source).alias(name) for name, source in place.items())
+    )
+    return in_chunks(rows, rows_per_chunk, segments=list(place)).drop(*place)
+
+
+def stream_csv_chunks(
+    spark: SparkSession, path: str, schema: StructType, rows_per_batch: int, **options: str
+) -> DataFrame:
+    """Follow what a CSV folder holds now in micro-batches of exactly so many rows, but for one.
+
+    The rows are first written as one file per chunk, without the line order of chunks.
+    """
+    chunked = read_csv_chunks(spark, path, schema, rows_per_batch, **options)
+    target = fresh_dir(spark, "csv-chunks")
+    whole = by_whole_chunks(chunked).drop("chunk", "chunk_row")
+    whole.write.option("maxRecordsPerFile", rows_per_batch).parquet(target)
+    return spark.readStream.option("maxFilesPerTrigger", 1).schema(schema).parquet(target)
+
+
 def write_csv(df: DataFrame, path: str, mode: str = "errorifexists", **options: str) -> None:
     """Write CSV with a header line; by default an existing path is an error."""
     df.write.mode(mode).options(header="true", **_TIME_FORMAT, **options).csv(path)
