@@ -431,23 +431,27 @@ class VersionedTable:
 
     # ------------------------------------------------------------ rows
 
-    def append(self, rows: DataFrame, batch: tuple[str, int] | None = None) -> bool:
+    def append(
+        self, rows: DataFrame, batch: tuple[str, int] | tuple[str, int, int] | None = None
+    ) -> bool:
         """Add rows with the table's columns, as one snapshot.
 
-        ``batch`` names a stream and its micro-batch. One that is in the table already
-        is not added again, and the answer is False.
+        ``batch`` names a stream, its micro-batch and, if that comes in several, the part of
+        it. One that is in the table already is not added again, and the answer is False.
         """
         summary = {}
         if batch is not None:
-            stream, number = batch
+            stream, *number = batch
+            number = (*number, 0)[:2]
             done = [
-                int(row.summary["stream-batch"])
+                (int(row.summary["stream-batch"]), int(row.summary.get("stream-part", 0)))
                 for row in self._log
                 if row.summary and row.summary.get("stream") == stream
             ]
             if done and max(done) >= number:
                 return False
-            summary = {"stream": stream, "stream-batch": str(number)}
+            names = ("stream-batch", "stream-part")
+            summary = {"stream": stream, **dict(zip(names, map(str, number), strict=True))}
         self._write_snapshot("append", rows, summary=summary)
         return True
 

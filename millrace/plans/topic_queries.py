@@ -19,12 +19,14 @@ from millrace.functions.messages import (
     unframed,
 )
 from millrace.functions.scalar import is_true
+from millrace.functions.schemaless import json_objects, object_columns
 from millrace.operators.versioned import VersionedTable
 from millrace.plans.jobs import fill_topic, follow_topic
 from millrace.plans.registry import query, table
 from millrace.schemas import avro_record
 from millrace.sources.topic import at_least_partitions, read_topic, stream_topic, write_topic
 from millrace.streaming.progress import running_totals
+from millrace.streaming.rolling import close_rolled_files, topic_to_rolled_json_files
 from millrace.streaming.sinks import (
     AVAILABLE_NOW,
     drop_tombstones,
@@ -254,6 +256,81 @@ def topic_rows_per_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("SELECT * FROM events")
+def topic_schemaless(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JSON messages read back without a given schema; times come as text."""
+    objects = json_objects(read_topic(spark, _json_topic(spark, sf_dir)))
+    return _typed(object_columns(objects))
+
+
+@query(
+    "SELECT * REPLACE (CASE WHEN event_type IN ('click', 'view') THEN NULL "
+    "ELSE props END AS props) FROM events"
+)
+def stream_schemaless(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stream lands JSON as it is; a producer adds a field, and readers find it later."""
+    topic, target = fresh_dir(spark, "json-topic"), fresh_dir(spark, "objects")
+    events, early = _events(spark, sf_dir), _early()
+    for part in (events.where(early).drop("props"), events.where(~early)):
+        write_topic(_json_messages(part), topic, "events")
+        _run(spark, json_objects(stream_topic(spark, topic)).select("body"), target)
+    return _typed(object_columns(spark.read.parquet(target)))
+
+
+@query(
+    "SELECT COUNT(*) AS messages, COUNT(DISTINCT event_id) AS events, "
+    "CEIL(COUNT(*) / 4000.0)::BIGINT AS snapshots, 0 AS large_snapshots FROM events"
+)
+def topic_table_bounded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One batch in snapshots of at most four thousand messages, and once more for nothing."""
+    warehouse = fresh_dir(spark, "warehouse")
+    root = topic_table_path(warehouse, "shop", "raw.", "events")
+    topic = _json_topic(spark, sf_dir)
+    decode = from_json_payload("value", _SCHEMA, mode="FAILFAST")
+    for _ in range(2):
+        topic_to_table(
+            stream_topic(spark, topic, bytes_per_batch=1 << 30),
+            decode,
+            root,
+            f"{warehouse}/checkpoint",
+            AVAILABLE_NOW,
+            max_messages=4000,
+        ).awaitTermination()
+    made = VersionedTable(spark, root)
+    added = F.col("summary")["added-records"].cast("long")
+    sizes = made.snapshots().agg(
+        F.count("*").alias("snapshots"), F.count_if(added > 4000).cast("int").alias("large_snapshots")
+    )
+    counts = made.read().agg(
+        F.count("*").alias("messages"), F.count_distinct("event_id").alias("events")
+    )
+    return counts.crossJoin(sizes)  # one row each
+
+
+@query("SELECT *, TRUE AS in_full_file FROM events")
+def topic_rolled_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three runs; every file but the last one of a topic partition has 250 records."""
+    topic, target = fresh_dir(spark, "json-topic"), fresh_dir(spark, "rolled")
+    events = _events(spark, sf_dir)
+    for part in range(3):
+        share = F.pmod(F.xxhash64("event_id"), F.lit(3)) == part
+        write_topic(_json_messages(events.where(share)), topic, "events", partitions=2)
+        topic_to_rolled_json_files(
+            stream_topic(spark, topic, files_per_batch=4),
+            f"{target}/files",
+            f"{target}/rest",
+            f"{target}/checkpoint",
+            250,
+            trigger=AVAILABLE_NOW,
+        ).awaitTermination()
+    close_rolled_files(spark, f"{target}/files", f"{target}/rest", 250)
+    lines = spark.read.text(f"{target}/files/*/*", recursiveFileLookup="true")
+    lines = lines.withColumn("file", F.input_file_name())
+    short = lines.groupBy("file").count().where("count <> 250").agg(F.count("*").alias("short_files"))
+    rows = lines.select(from_json_payload("value", _SCHEMA, mode="FAILFAST").alias("data"))
+    return rows.crossJoin(short).select("data.*", (F.col("short_files") <= 2).alias("in_full_file"))
+
+
 def _until_stopped(
     spark: SparkSession, sf_dir: str, trigger: dict[str, str | bool] | None
 ) -> DataFrame:

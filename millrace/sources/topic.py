@@ -81,9 +81,21 @@ def read_topic(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(ENVELOPE).parquet(path)
 
 
-def stream_topic(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:
-    """Follow a topic folder from its earliest message, at most so many files per micro-batch."""
+def stream_topic(
+    spark: SparkSession,
+    path: str,
+    files_per_batch: int | None = None,
+    bytes_per_batch: int | None = None,
+) -> DataFrame:
+    """Follow a topic folder from its earliest message, at most so many files or bytes per micro-batch.
+
+    A file is never split between batches, so one file at least is taken in.
+    """
+    if files_per_batch is not None and bytes_per_batch is not None:
+        raise ValueError("bound a batch by files or by bytes, not both")
     reader = spark.readStream.schema(ENVELOPE)
+    if bytes_per_batch is not None:
+        reader = reader.option("maxBytesPerTrigger", bytes_per_batch)
     if files_per_batch is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     return reader.parquet(path)

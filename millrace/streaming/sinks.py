@@ -14,11 +14,13 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
+from millrace.operators.numbering import in_chunks
 from millrace.operators.versioned import VersionedTable
+from millrace.workspace import fresh_dir, remove_path
 
 Trigger = dict[str, str | bool]
 # what Spark calls the id of the running query among the properties of its jobs
-_QUERY_ID = "sql.streaming.queryId"
+QUERY_ID = "sql.streaming.queryId"
 AVAILABLE_NOW: Trigger = {"availableNow": True}
 
 
@@ -32,7 +34,21 @@ def stream_to_parquet(
 ) -> StreamingQuery:
     """Append a stream of rows to a Parquet folder."""
     writer = rows.writeStream.format("parquet").outputMode("append").option("path", path)
-    return _start(writer, checkpoint, trigger)
+    return start(writer, checkpoint, trigger)
+
+
+def json_lines(messages: DataFrame, *others: str) -> DataFrame:
+    """Rows (topic, partition, others, value): one line of JSON for each message that is some.
+
+    Messages without a value, and those whose value is the JSON word null, are left out. What
+    is no JSON gets a topic of its own, named after its topic with ``.rejects`` behind.
+    """
+    # outside of strings, line breaks in JSON are mere spacing; inside they are escaped
+    line = F.translate(F.col("value").cast("string"), "\r\n", "  ").alias("value")
+    lines = drop_tombstones(messages).where(F.trim(line) != "null")
+    is_json = F.try_parse_json(line).isNotNull()
+    topic = F.when(is_json, F.col("topic")).otherwise(F.concat("topic", F.lit(".rejects")))
+    return lines.select(topic.alias("topic"), "partition", *others, line)
 
 
 def topic_to_json_files(
@@ -44,24 +60,18 @@ def topic_to_json_files(
 ) -> StreamingQuery:
     """Write JSON messages as lines, in folders by topic and topic partition.
 
-    The last file of a batch may have fewer records. Messages without a value, and those
-    whose value is the JSON word null, are left out. What is no JSON goes to folders of
-    its own, named after the topic with ``.rejects`` behind.
+    The last file of a batch may have fewer records; ``rolling`` has a sink that keeps them for
+    the next one. Messages are chosen and routed by ``json_lines``.
     """
-    # outside of strings, line breaks in JSON are mere spacing; inside they are escaped
-    line = F.translate(F.col("value").cast("string"), "\r\n", "  ").alias("value")
-    lines = drop_tombstones(messages).where(F.trim(line) != "null")
-    is_json = F.try_parse_json(line).isNotNull()
-    topic = F.when(is_json, F.col("topic")).otherwise(F.concat("topic", F.lit(".rejects")))
     writer = (
-        lines.select(topic.alias("topic"), "partition", line)
+        json_lines(messages)
         .writeStream.format("text")
         .outputMode("append")
         .partitionBy("topic", "partition")
         .option("maxRecordsPerFile", records_per_file)
         .option("path", path)
     )
-    return _start(writer, checkpoint, trigger)
+    return start(writer, checkpoint, trigger)
 
 
 def topic_to_parquet_files(
@@ -83,7 +93,7 @@ def topic_to_parquet_files(
         .option("compression", "snappy")
         .option("path", path)
     )
-    return _start(writer, checkpoint, trigger)
+    return start(writer, checkpoint, trigger)
 
 
 def stream_with_counts(
@@ -97,7 +107,7 @@ def stream_with_counts(
 
     def append(batch: DataFrame, number: int) -> None:
         session = batch.sparkSession
-        query_id = session.sparkContext.getLocalProperty(_QUERY_ID)
+        query_id = session.sparkContext.getLocalProperty(QUERY_ID)
         place = f"stream={query_id}/batch={number}"
         found = Observation()
         counted = batch.observe(found, F.count("*").alias("rows"))
@@ -105,7 +115,7 @@ def stream_with_counts(
         row = session.range(1).select(F.lit(found.get["rows"]).cast("long").alias("rows"))
         row.write.mode("overwrite").parquet(f"{counts}/{place}")
 
-    return _start(rows.writeStream.foreachBatch(append), checkpoint, trigger)
+    return start(rows.writeStream.foreachBatch(append), checkpoint, trigger)
 
 
 def topic_table_path(warehouse: str, namespace: str, prefix: str, topic: str) -> str:
@@ -120,6 +130,7 @@ def topic_to_table(
     checkpoint: str,
     trigger: Trigger | None = None,
     partition_by: tuple[str, ...] = (),
+    max_messages: int | None = None,
 ) -> StreamingQuery:
     """Append decoded messages to a versioned table, one snapshot per micro-batch.
 
@@ -127,22 +138,40 @@ def topic_to_table(
     batch and the query's id, so a batch that is run again after a failure adds nothing. The
     id is new with every checkpoint: a stream that starts over, at the same path too,
     numbers its batches anew and adds all that they hold.
+
+    With ``max_messages`` no snapshot has more: a larger batch is split by the order of topic,
+    partition and offset, which is the same whenever it is run, into parts that are
+    committed one by one and known by their number. How much a batch takes in is up to
+    the source, ``bytes_per_batch`` of ``stream_topic`` for one.
     """
 
     def append(batch: DataFrame, number: int) -> None:
-        rows = drop_tombstones(batch).select(decode.alias("data")).select("data.*")
+        session = batch.sparkSession
+        given = drop_tombstones(batch)
+        rows = given.select(decode.alias("data")).select("data.*")
         table = VersionedTable.create(
-            batch.sparkSession, root, rows.schema, partition_by=partition_by, mode="ignore"
+            session, root, rows.schema, partition_by=partition_by, mode="ignore"
         )
-        query_id = batch.sparkSession.sparkContext.getLocalProperty(_QUERY_ID)
+        query_id = session.sparkContext.getLocalProperty(QUERY_ID)
         if not query_id:
             raise RuntimeError("the batch does not tell which query it belongs to")
-        table.append(rows, batch=(query_id, number))
-
-    return _start(messages.writeStream.foreachBatch(append), checkpoint, trigger)
-
-
-def _start(
+        if max_messages is None:
+            table.append(rows, batch=(query_id, number))
+            return
+        place = ("topic", "partition", "offset")
+        parts = in_chunks(given.select(*place, decode.alias("data")), max_messages, order=place)
+        target = fresh_dir(session, "batch-parts")
+        parts.select("data", "chunk").write.partitionBy("chunk").parquet(target)
+        last = parts.agg(F.max("chunk")).first()[0]
+        for part in range(0 if last is None else last + 1):
+            found = session.read.schema(parts.select("data").schema).parquet(f"{target}/chunk={part}")
+            table.append(found.select("data.*"), batch=(query_id, number, part))
+        remove_path(session, target)
+
+    return start(messages.writeStream.foreachBatch(append), checkpoint, trigger)
+
+
+def start(
     writer: DataStreamWriter, checkpoint: str, trigger: Trigger | None
 ) -> StreamingQuery:
     writer = writer.option("checkpointLocation", checkpoint)
