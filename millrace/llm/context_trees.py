@@ -125,23 +125,29 @@ def _say(
 ) -> tuple[list[tuple[np.ndarray, np.ndarray]], tuple]:
     """What the path down to each context says: chances by level, and the deepest level's path.
 
-    A path is keys, what they say so far, and what is left for deeper ones.
+    A path is keys, what they say so far of a one and of a zero, and what is left for deeper ones.
+    Tables hold the smaller of both chances, that of a zero as a negative number: so a chance next
+    to certainty stays short of it, whatever the counts.
     """
     tables = []
     for index, (key, zeros, ones) in enumerate(levels):
-        chance = (ones + 0.5) / (zeros + ones + 1.0)
         length = first + index
         if length:
-            up, said, left = path
+            up, one, zero, left = path
             at = np.searchsorted(up, key & ((1 << 8 * (length - 1) + bit) - 1))
-            said, left = said[at], left[at]
+            one, zero, left = one[at], zero[at], left[at]
         else:
-            said, left = np.zeros(len(key)), np.ones(len(key))
-        said = said + left * weights[index] * chance
+            one, zero, left = np.zeros(len(key)), np.zeros(len(key)), np.ones(len(key))
+        own = left * weights[index] / (zeros + ones + 1.0)
+        one = one + own * (ones + 0.5)
+        zero = zero + own * (zeros + 0.5)
         left = left * (1 - weights[index])
-        path = key, said, left
+        path = key, one, zero, left
         # deeper contexts that were never seen have even chances
-        tables.append((key, (said + left * 0.5).astype(np.float32)))
+        even = left * 0.5
+        one_side, zero_side = one + even, zero + even
+        smaller = np.where(one_side <= zero_side, one_side, -zero_side)
+        tables.append((key, smaller.astype(np.float32)))
     return tables, path
 
 
@@ -150,17 +156,23 @@ def _looked_up(
     first: int,
     code: np.ndarray,
     bit: int,
-    one: np.ndarray,
+    smaller: np.ndarray,
 ) -> np.ndarray:
-    """The chance of a one in the deepest known context of each run, or else the one given."""
+    """The smaller chance in the deepest known context of each run, or else the one given."""
     for index, table in enumerate(tables):
         key, chance = table[bit]
         if not len(key):
             continue
         wanted = (code & ((1 << 8 * (first + index + 1)) - 1)) >> (_BITS - bit)
         at = np.minimum(np.searchsorted(key, wanted), len(key) - 1)
-        one = np.where(key[at] == wanted, chance[at], one)
-    return one
+        smaller = np.where(key[at] == wanted, chance[at], smaller)
+    return smaller
+
+
+def _log10_of(is_one: np.ndarray, smaller: np.ndarray) -> np.ndarray:
+    """Log10 chances of bits, given the smaller of both chances as tables hold it."""
+    size = np.abs(smaller)
+    return np.where(is_one == (smaller > 0), np.log10(size), np.log1p(-size) / np.log(10))
 
 
 def subtree_sums(levels: list[tuple], first: int) -> Iterator[tuple]:
@@ -270,12 +282,11 @@ class ContextTrees(_Remembered):
         """Log10 probability of the last byte of each run, by looking up all its decisions."""
         total = np.zeros(len(code))
         for bit in range(_BITS):
-            one = np.full(len(code), 0.5)
+            smaller = np.full(len(code), 0.5)
             if self.top:
-                one = _looked_up(self.top.tables, 0, code, bit, one)
-            one = _looked_up(self.tables, self.first, code, bit, one)
-            is_one = code >> (_BITS - 1 - bit) & 1
-            total += np.log10(np.where(is_one == 1, one, 1 - one))
+                smaller = _looked_up(self.top.tables, 0, code, bit, smaller)
+            smaller = _looked_up(self.tables, self.first, code, bit, smaller)
+            total += _log10_of((code >> (_BITS - 1 - bit) & 1) == 1, smaller)
         return total
 
 

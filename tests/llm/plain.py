@@ -100,8 +100,11 @@ def without_repeats(texts, width=200):
     return result
 
 
-def tree_scores(train, texts, depth):
-    """Log10 probabilities under context-tree weighting, straight from its definition."""
+def tree_scores(train, texts, depth, times=1):
+    """Log10 probabilities under context-tree weighting, straight from its definition.
+
+    The texts to learn from count so many times.
+    """
     nodes = defaultdict(lambda: [0, 0])
 
     def decisions(text):
@@ -113,7 +116,7 @@ def tree_scores(train, texts, depth):
     for text in train:
         for before, bit, prefix, value in decisions(text):
             for length in range(depth + 1):
-                nodes[before[depth - length :], bit, prefix][value] += 1
+                nodes[before[depth - length :], bit, prefix][value] += times
     longer = defaultdict(list)
     for before, bit, prefix in list(nodes):
         if before:

@@ -375,6 +375,19 @@ def test_prefix_bounds(size_a, size_b, shared):
 # 7
 
 
+@pytest.mark.parametrize("times", [1, 10**7, 10**10])
+def test_scores_stay_finite(times):
+    """Bits that were never seen in a context after billions of others cost much, not all."""
+    train, texts = [b"oth", b"other", b"oth oth"], [b"oth_oth", b"oth", b"zzz", b"", b"oth oth oth"]
+    code, _ = runs(train, 4)
+    key, count = np.unique(code, return_counts=True)
+    trees = ContextTrees(levels_of(key, count * times, 0, 4))
+    found = list(text_scores(trees, texts))
+    assert np.isfinite(found).all()
+    assert found == pytest.approx(plain.tree_scores(train, texts, 4, times), rel=1e-4)
+
+
+
 @pytest.mark.parametrize("depth", [1, 2, 3])
 def test_context_trees(depth):
     rng = random.Random(depth)
