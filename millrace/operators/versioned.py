@@ -23,7 +23,9 @@ from __future__ import annotations
 import json
 import time
 import uuid
+from collections.abc import Callable, Sequence
 from datetime import datetime
+from functools import reduce
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
@@ -42,7 +44,7 @@ from pyspark.sql.types import (
 
 from millrace.functions.scalar import is_true
 from millrace.operators.file_stats import STATS, describe_files
-from millrace.workspace import path_exists
+from millrace.workspace import path_exists, staged
 
 _DONE = "_SUCCESS"  # what a finished Spark write leaves in its folder
 _COMMIT = "mr_commit"
@@ -474,7 +476,7 @@ class VersionedTable:
             return
         condition = _expression(where)
         commit = _new_commit()
-        touched = self._record_touched(commit, condition)
+        touched = self._record_touched(commit, lambda rows: rows.where(condition))
         rows = None
         if touched.files:
             values = {
@@ -491,7 +493,7 @@ class VersionedTable:
         """
         condition = _expression(where)
         commit = _new_commit()
-        touched = self._record_touched(commit, condition)
+        touched = self._record_touched(commit, lambda rows: rows.where(condition))
         rows = None
         if touched.hits < touched.records:
             rows = self._read_touched(commit, touched, skip_emptied=True)
@@ -500,12 +502,50 @@ class VersionedTable:
                 rows = rows.hint("rebalance")  # merge the small rests
         self._write_snapshot("delete", rows, commit=commit, touched=touched)
 
-    def _record_touched(self, commit: str, condition: Column) -> _Touched:
-        """List the files with rows that meet the condition as removed by ``commit``."""
+    def merge(
+        self,
+        changes: DataFrame,
+        keys: Sequence[str],
+        last_by: Column | str | None = None,
+        deletes: Column | str | None = None,
+    ) -> None:
+        """Replace rows by those of ``changes`` with the same keys, and add the others.
+
+        ``changes`` has the table's columns, and others that ``last_by`` and ``deletes`` may use.
+        Of several changes of a key the one with the greatest ``last_by`` counts (ties: the
+        greatest row, so that they always go the same way); without it they are an
+        error. A change for which ``deletes`` is true removes its row. NULL keys are equal.
+        Only files with rows to replace or remove are read and rewritten.
+        """
+        schema = self._schema()
+        keys = [_field(schema, key).name for key in keys]
+        if not keys:
+            raise ValueError("a merge needs keys")
+        latest = staged(_latest(changes, schema, keys, last_by, deletes), "changes")
+
+        def same_keys(row: Callable[[str], Column]) -> Column:
+            pairs = [row(key).eqNullSafe(latest["row"].getField(key)) for key in keys]
+            return reduce(Column.__and__, pairs)
+
+        commit = _new_commit()
+        touched = self._record_touched(
+            commit, lambda rows: rows.join(latest, same_keys(lambda k: rows[_tick(k)]), "left_semi")
+        )
+        old = self._read_touched(commit, touched)
+        old = old.select(F.struct(*map(_quoted, schema.names)).alias("old"))
+        both = old.join(latest, same_keys(lambda k: old["old"].getField(k)), "full")
+        left = both.where(~F.coalesce("gone", F.lit(False)))
+        rows = left.select(F.coalesce("row", "old").alias("row")).select("row.*")
+        self._write_snapshot("merge", rows, commit=commit, touched=touched)
+
+    def _record_touched(
+        self, commit: str, matching_rows: Callable[[DataFrame], DataFrame]
+    ) -> _Touched:
+        """List the files with rows that ``matching_rows`` keeps as removed by ``commit``."""
         lineage = self._lineage(self.current_snapshot_id)
         scan = self._scan(self._file_sets(self.current_snapshot_id), with_file=True)
         logical = scan.select(*_to_logical(self._schema()), F.col(_URI))
-        matching = logical.where(condition)
+        matching = matching_rows(logical)
         if not matching._jdf.queryExecution().analyzed().deterministic():
             raise ValueError("the condition must be deterministic: it is evaluated twice")
         hits = matching.groupBy(F.col(_URI).alias("uri")).agg(F.count("*").alias("hits"))
@@ -827,13 +867,40 @@ def _has_entries(row: Row) -> bool:
 
 
 def _quoted(name: str) -> Column:
-    return F.col("`" + name.replace("`", "``") + "`")
+    return F.col(_tick(name))
 
 
 def _expression(value: Column | str) -> Column:
     return F.expr(value) if isinstance(value, str) else value
 
 
+def _latest(
+    changes: DataFrame,
+    schema: StructType,
+    keys: Sequence[str],
+    last_by: Column | str | None,
+    deletes: Column | str | None,
+) -> DataFrame:
+    """One change for each key: ``row`` with all columns of the table, ``gone`` if it removes."""
+    cells = [_quoted(field.name).cast(field.dataType).alias(field.name) for field in schema.fields]
+    gone = F.lit(False) if deletes is None else is_true(_expression(deletes))
+    place = F.lit(None).cast("long") if last_by is None else _expression(last_by)
+    change = F.struct(place.alias("place"), gone.alias("gone"), F.struct(*cells).alias("row"))
+    each = changes.select(change.alias("change"))
+    groups = [F.col("change.row").getField(key).alias(f"key {at}") for at, key in enumerate(keys)]
+    if last_by is None:
+        repeated = F.raise_error(F.lit("two changes of one key, and nothing tells the last"))
+        found = F.when(F.count("*") > 1, repeated).otherwise(F.first("change"))
+    else:
+        found = F.max("change")
+    latest = each.groupBy(*groups).agg(found.alias("change"))
+    return latest.select("change.row", "change.gone")
+
+
+def _tick(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
 def _check_name(name: str) -> None:
     if name.lower() in (_COMMIT, _URI):
         raise ValueError(f"reserved column name: {name}")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.scalar import float_ratio
 from millrace.functions.scalar import is_true
+from millrace.operators.table_sql import TableSql
 from millrace.operators.versioned import VersionedTable
 from millrace.plans.jobs import keep_trip_table
 from millrace.plans.registry import query, table
@@ -277,3 +278,76 @@ def column_comment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.where("o_totalprice > 0").agg(
         F.first(F.lit(note)).alias("note"), F.count("*").alias("orders")
     )
+
+
+def _by_text(spark: SparkSession, sf_dir: str) -> TableSql:
+    """The life of a table up to its last delete, every step as text."""
+    shop = TableSql(spark, fresh_dir(spark, "warehouse"))
+    shop.save_as_table(table(spark, sf_dir, "lineitem"), "shop.lines", mode="overwrite")
+    for text in (
+        "ALTER TABLE shop.lines RENAME COLUMN l_extendedprice TO fare",
+        "ALTER TABLE shop.lines RENAME COLUMN l_discount TO distance",
+        "ALTER TABLE shop.lines ALTER COLUMN distance COMMENT 'stands for the trip distance'",
+        "ALTER TABLE shop.lines ALTER COLUMN distance AFTER fare",
+        "ALTER TABLE shop.lines ADD COLUMN ratio FLOAT AFTER distance",
+        "UPDATE shop.lines SET ratio = try_divide(fare, distance)",
+        "DELETE FROM shop.lines WHERE ratio > 1000000.0 OR l_quantity > 45",
+        "DELETE FROM shop.lines WHERE ratio IS NULL",
+    ):
+        shop.sql(text)
+    return shop
+
+
+@query(_evolved_sql(_RATIO_SQL, f"NOT {_ABOVE_SQL} AND {_RATIO_SQL} IS NOT NULL"))
+def sql_walkthrough(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _by_text(spark, sf_dir).sql("SELECT * FROM shop.lines")
+
+
+@query(
+    f"{_COUNTS_SQL} SELECT l_returnflag, COUNT(*) AS lines, SUM(l_quantity) AS quantity, "
+    "(SELECT n0 - n2 FROM c) AS deleted FROM lineitem GROUP BY l_returnflag"
+)
+def sql_rollback(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """History and time travel as text: all rows again, next to what the deletes took."""
+    shop = _by_text(spark, sf_dir)
+    last = shop.table("shop.lines").current_snapshot_id
+    moves = "SELECT snapshot_id FROM shop.lines.history ORDER BY made_current_at LIMIT 1"
+    first = shop.sql(moves).first().snapshot_id
+    shop.sql("ALTER TABLE shop.lines ADD PARTITION FIELD l_returnflag")
+    shop.sql(f"CALL demo.system.rollback_to_snapshot('shop.lines', {first})")
+    return shop.sql(
+        "SELECT l_returnflag, COUNT(*) AS lines, SUM(l_quantity) AS quantity, "
+        f"(SELECT COUNT(*) FROM shop.lines) - (SELECT COUNT(*) FROM shop.lines VERSION AS OF {last}) "
+        "AS deleted FROM shop.lines GROUP BY l_returnflag"
+    )
+
+
+@query(
+    "SELECT o_orderkey, o_custkey, o_orderstatus, CASE WHEN o_orderkey % 3 = 0 "
+    "THEN o_totalprice + 2 ELSE o_totalprice END AS o_totalprice, o_orderdate, "
+    "o_orderpriority FROM orders WHERE NOT (o_orderkey % 3 = 1 AND o_orderkey % 2 = 0) "
+    "UNION ALL SELECT -o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, "
+    "o_orderpriority FROM orders WHERE o_orderkey % 5 = 1"
+)
+def upsert_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A changed copy merged by key: the last of two changes counts, some delete, some are new."""
+    orders = table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"
+    )
+    made = VersionedTable.create(spark, fresh_dir(spark, "orders-table"), orders)
+    key = F.col("o_orderkey")
+    twice = orders.where(key % 3 == 0).withColumn("offset", F.explode(F.array(F.lit(1), F.lit(2))))
+    changes = (
+        twice.withColumn("o_totalprice", F.col("o_totalprice") + F.col("offset"))
+        .withColumn("op", F.lit("u"))
+        .unionByName(
+            orders.where((key % 3 == 1) & (key % 2 == 0)).withColumns({"offset": F.lit(1), "op": F.lit("d")})
+        )
+        .unionByName(
+            orders.where(key % 5 == 1)
+            .withColumn("o_orderkey", -key)
+            .withColumns({"offset": F.lit(1), "op": F.lit("c")})
+        )
+    )
+    made.merge(changes, ["o_orderkey"], last_by="offset", deletes="op = 'd'")
+    return made.read()
