@@ -1,0 +1,119 @@
+"""Files of an exact number of records over many small batches."""
+
+from __future__ import annotations
+
+from collections import Counter, defaultdict
+from datetime import timedelta
+
+import pytest
+from pyspark.sql import functions as F
+
+from millrace.functions.messages import json_payload
+from millrace.operators.versioned import VersionedTable
+from millrace.sources.topic import stream_topic, write_topic
+from millrace.streaming.rolling import close_rolled_files, topic_to_rolled_json_files
+from millrace.streaming.sinks import AVAILABLE_NOW, topic_to_table
+from millrace.functions.messages import from_json_payload
+
+
+def send(spark, topic, start, count, partitions=2):
+    df = spark.range(start, start + count, 1, 3).select(F.col("id").alias("a"))
+    write_topic(df.select(json_payload().alias("value")), topic, "t", partitions=partitions)
+
+
+def roll(spark, folder, **options):
+    topic_to_rolled_json_files(
+        stream_topic(spark, f"{folder}/topic", files_per_batch=2),
+        f"{folder}/files",
+        f"{folder}/rest",
+        f"{folder}/checkpoint",
+        10,
+        trigger=AVAILABLE_NOW,
+        **options,
+    ).awaitTermination()
+
+
+def files(spark, folder):
+    """Values by file and topic partition."""
+    read = spark.read.option("recursiveFileLookup", "true").text(f"{folder}/files")
+    found = defaultdict(list)
+    for row in read.select(F.input_file_name().alias("file"), "value").collect():
+        found[row["file"]].append(row["value"])
+    return found
+
+
+def test_small_batches_and_restarts(spark, tmp_path):
+    """Full files only, until what waits is written out; every message once."""
+    folder = str(tmp_path)
+    sent = 0
+    for count in (13, 4, 1, 22, 7):
+        send(spark, f"{folder}/topic", sent, count)
+        sent += count
+        roll(spark, folder)
+        assert {len(values) for values in files(spark, folder).values()} <= {10}
+    before = sum(map(len, files(spark, folder).values()))
+    assert sent - 2 * 10 < before <= sent
+    for _ in range(2):
+        close_rolled_files(spark, f"{folder}/files", f"{folder}/rest", 10)
+    found = files(spark, folder)
+    assert Counter(v for values in found.values() for v in values) == Counter(
+        f'{{"a":{n}}}' for n in range(sent)
+    )
+    short = [file for file, values in found.items() if len(values) != 10]
+    assert len({file.split("partition=")[1].split("/")[0] for file in short}) == len(short)
+    # on the same checkpoint, after closing
+    send(spark, f"{folder}/topic", sent, 40, partitions=1)
+    roll(spark, folder)
+    assert sum(map(len, files(spark, folder).values())) == sent + 40
+
+
+def test_what_waited_long_enough(spark, tmp_path):
+    folder = str(tmp_path)
+    send(spark, f"{folder}/topic", 0, 3, partitions=1)
+    roll(spark, folder, max_wait=timedelta(days=1))
+    assert not (tmp_path / "files").exists() or not files(spark, folder)
+    send(spark, f"{folder}/topic", 3, 3, partitions=1)
+    roll(spark, folder, max_wait=timedelta(0))
+    assert sum(map(len, files(spark, folder).values())) == 6
+
+
+def test_snapshots_of_bounded_size(spark, tmp_path):
+    """Parts of a batch are committed one by one; the ones that are there are not added again."""
+    folder = str(tmp_path)
+    send(spark, f"{folder}/topic", 0, 95)
+    schema = spark.range(0).select(F.col("id").alias("a")).schema
+    decode = from_json_payload("value", schema, mode="FAILFAST")
+    append, calls = VersionedTable.append, []
+
+    def fails_once(self, rows, batch=None):
+        calls.append(batch)
+        if len(calls) == 3:
+            raise RuntimeError("lost")
+        return append(self, rows, batch)
+
+    def run():
+        topic_to_table(
+            stream_topic(spark, f"{folder}/topic", bytes_per_batch=1 << 20),
+            decode,
+            f"{folder}/table",
+            f"{folder}/checkpoint",
+            AVAILABLE_NOW,
+            max_messages=20,
+        ).awaitTermination()
+
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(VersionedTable, "append", fails_once)
+        with pytest.raises(Exception, match="lost"):
+            run()
+    assert VersionedTable(spark, f"{folder}/table").row_count() == 40
+    for _ in range(2):
+        run()
+    table = VersionedTable(spark, f"{folder}/table")
+    added = [int(row.summary["added-records"]) for row in table.snapshots().collect()]
+    assert sorted(added) == [15, 20, 20, 20, 20]
+    assert sorted(row["a"] for row in table.read().collect()) == list(range(95))
+
+
+def test_bounds_of_a_source(spark, tmp_path):
+    with pytest.raises(ValueError, match="not both"):
+        stream_topic(spark, str(tmp_path), files_per_batch=1, bytes_per_batch=1)
