@@ -173,6 +173,11 @@ class VersionedTable:
         snapshot = self._snapshot(self.current_snapshot_id)
         return 0 if snapshot is None else int(snapshot.summary["total-records"])
 
+    def streams(self) -> set[str]:
+        """Names of the streams that added batches."""
+        summaries = (row.summary or {} for row in self._log)
+        return {summary["stream"] for summary in summaries if "stream" in summary}
+
     def _is_logged(self, version: int) -> bool:
         return path_exists(self.spark, f"{self.root}/log/version={version}/{_DONE}")
 

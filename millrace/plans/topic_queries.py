@@ -228,6 +228,28 @@ def topic_table_new_checkpoint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return VersionedTable(spark, root).read()
 
 
+@query("SELECT * FROM events")
+def topic_table_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As above, but each message once, in snapshots of a bounded size the second time."""
+    topic, warehouse = fresh_dir(spark, "json-topic"), fresh_dir(spark, "warehouse")
+    root = topic_table_path(warehouse, "shop", "raw.", "events")
+    events, decode = _events(spark, sf_dir), from_json_payload("value", _SCHEMA, mode="FAILFAST")
+    checkpoint = f"{warehouse}/checkpoint"
+    for part, files, most in ((_early(), 1, None), (~_early(), None, 20_000)):
+        write_topic(_json_messages(events.where(part)), topic, "events")
+        topic_to_table(
+            stream_topic(spark, topic, files_per_batch=files),
+            decode,
+            root,
+            checkpoint,
+            AVAILABLE_NOW,
+            max_messages=most,
+            once=True,
+        ).awaitTermination()
+        remove_path(spark, checkpoint)
+    return VersionedTable(spark, root).read().drop("_topic", "_partition", "_offset")
+
+
 @query(
     "SELECT '{\"event_id\":' || event_id AS raw FROM events WHERE event_type = 'error'"
 )

@@ -21,6 +21,8 @@ from millrace.workspace import fresh_dir, remove_path
 Trigger = dict[str, str | bool]
 # what Spark calls the id of the running query among the properties of its jobs
 QUERY_ID = "sql.streaming.queryId"
+# where a message stands
+_PLACE = ("topic", "partition", "offset")
 AVAILABLE_NOW: Trigger = {"availableNow": True}
 
 
@@ -131,6 +133,7 @@ def topic_to_table(
     trigger: Trigger | None = None,
     partition_by: tuple[str, ...] = (),
     max_messages: int | None = None,
+    once: bool = False,
 ) -> StreamingQuery:
     """Append decoded messages to a versioned table, one snapshot per micro-batch.
 
@@ -143,34 +146,56 @@ def topic_to_table(
     partition and offset, which is the same whenever it is run, into parts that are
     committed one by one and known by their number. How much a batch takes in is up to
     the source, ``bytes_per_batch`` of ``stream_topic`` for one.
+
+    With ``once`` the table also has each message's ``_topic``, ``_partition`` and ``_offset``, and a
+    stream that starts over adds only messages that no earlier stream has added. It looks
+    at these columns of what others wrote, within the batch's range of offsets; a stream
+    alone with its table looks at nothing.
     """
 
     def append(batch: DataFrame, number: int) -> None:
         session = batch.sparkSession
         given = drop_tombstones(batch)
-        rows = given.select(decode.alias("data")).select("data.*")
+        place = [F.col(name).alias(f"_{name}") for name in _PLACE] if once else []
+        data = F.struct(decode.alias("data"), *place).alias("data")
+        rows = given.select(data).select("data.data.*", *(f"data._{n}" for n in _PLACE if once))
         table = VersionedTable.create(
             session, root, rows.schema, partition_by=partition_by, mode="ignore"
         )
         query_id = session.sparkContext.getLocalProperty(QUERY_ID)
         if not query_id:
             raise RuntimeError("the batch does not tell which query it belongs to")
+        if once and table.streams() - {query_id}:
+            rows = _not_in_table(rows, table)
+            given = given.join(
+                rows.select(*(F.col(f"_{name}").alias(name) for name in _PLACE)), list(_PLACE), "left_semi"
+            )
         if max_messages is None:
             table.append(rows, batch=(query_id, number))
             return
-        place = ("topic", "partition", "offset")
-        parts = in_chunks(given.select(*place, decode.alias("data")), max_messages, order=place)
+        parts = in_chunks(given.select(*_PLACE, data), max_messages, order=_PLACE)
         target = fresh_dir(session, "batch-parts")
         parts.select("data", "chunk").write.partitionBy("chunk").parquet(target)
         last = parts.agg(F.max("chunk")).first()[0]
         for part in range(0 if last is None else last + 1):
             found = session.read.schema(parts.select("data").schema).parquet(f"{target}/chunk={part}")
-            table.append(found.select("data.*"), batch=(query_id, number, part))
+            found = found.select("data.data.*", *(f"data._{n}" for n in _PLACE if once))
+            table.append(found, batch=(query_id, number, part))
         remove_path(session, target)
 
     return start(messages.writeStream.foreachBatch(append), checkpoint, trigger)
 
 
+def _not_in_table(rows: DataFrame, table: VersionedTable) -> DataFrame:
+    """Rows with a place (topic, partition, offset) that the table does not have."""
+    place = [f"_{name}" for name in _PLACE]
+    ends = rows.agg(F.min("_offset").alias("low"), F.max("_offset").alias("high")).first()
+    if ends.low is None:
+        return rows
+    there = table.read().where(F.col("_offset").between(ends.low, ends.high)).select(*place)
+    return rows.join(there, place, "left_anti")
+
+
 def start(
     writer: DataStreamWriter, checkpoint: str, trigger: Trigger | None
 ) -> StreamingQuery:
