@@ -46,6 +46,16 @@ def parse_json_payloads(messages: DataFrame, schema: StructType) -> DataFrame:
     return messages.select(F.inline(F.array(from_json_payload("value", schema))))
 
 
+def split_json_messages(
+    messages: DataFrame, schema: StructType
+) -> tuple[DataFrame, Column, DataFrame]:
+    """Messages that parse (or have no value), their struct of ``schema``, and the other messages."""
+    parsed = messages.withColumn("parsed", from_json_payload("value", schema))
+    is_corrupt = F.coalesce(F.col("parsed").getField(CORRUPT).isNotNull(), F.lit(False))
+    decoded = F.col("parsed").dropFields(CORRUPT)
+    return parsed.where(~is_corrupt), decoded, parsed.where(is_corrupt).drop("parsed")
+
+
 def framed(payload: Column, schema_id: int) -> Column:
     """Put the five header bytes before a payload: a zero byte and the id, big-endian."""
     return F.concat(F.unhex(F.lit(f"00{schema_id:08X}")), payload)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from millrace.workspace import path_exists
+from millrace.workspace import path_exists, staged
 
 # what Spark's scan of whole files has, ahead of the partition columns
 _FILE_COLUMNS = (
@@ -88,7 +88,11 @@ def conflicting_partitions(df: DataFrame, path: str, by: list[str]) -> DataFrame
 
 
 def append_new_partitions(df: DataFrame, path: str, by: list[str]) -> None:
-    """Append, but write nothing and fail if any partition already has data."""
+    """Append, but write nothing and fail if any partition already has data.
+
+    The rows are evaluated once, into a folder of their own, whatever the check finds.
+    """
+    df = staged(df, "append")
     clashes = conflicting_partitions(df, path, by).limit(5).collect()
     if clashes:
         shown = ", ".join(str(row.asDict()) for row in clashes)

@@ -133,27 +133,32 @@ def partition_insert_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(name)
 
 
-@query("SELECT n_nationkey AS id, n_name AS name FROM nation")
+@query("SELECT o_orderkey AS id, o_orderstatus AS status, o_totalprice AS price FROM orders")
 def create_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A table of the session's default provider; creating it again changes nothing."""
-    name = f"nations_{uuid.uuid4().hex}"
+    name = f"orders_{uuid.uuid4().hex}"
     for _ in range(2):
-        spark.sql(f"CREATE TABLE IF NOT EXISTS {name} (id BIGINT, name STRING)")
-    spark.sql(f"INSERT INTO {name} SELECT n_nationkey, n_name FROM parquet.`{sf_dir}/nation.parquet`")
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {name} (id BIGINT, status STRING, price DOUBLE)")
+    spark.sql(
+        f"INSERT INTO {name} SELECT o_orderkey, o_orderstatus, o_totalprice "
+        f"FROM parquet.`{sf_dir}/orders.parquet`"
+    )
     return spark.table(name)
 
 
-@query("SELECT 1 AS databases, COUNT(*) AS regions FROM region")
+@query(
+    "SELECT 1 AS databases, o_orderstatus AS status, COUNT(*) AS orders FROM orders GROUP BY ALL"
+)
 def show_databases(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A new database is listed, and a table in it is found by its full name."""
-    name, place = f"geo_{uuid.uuid4().hex}", fresh_dir(spark, "database")
+    name, place = f"shop_{uuid.uuid4().hex}", fresh_dir(spark, "database")
     spark.sql(f"CREATE DATABASE {name} LOCATION '{place}'")
-    table(spark, sf_dir, "region").write.saveAsTable(f"{name}.regions")
+    table(spark, sf_dir, "orders").write.saveAsTable(f"{name}.orders")
     listed = spark.sql("SHOW DATABASES").where(F.col("namespace") == name)
     databases = listed.agg(F.count("*").cast("int").alias("databases"))
-    regions = spark.table(f"{name}.regions").agg(F.count("*").alias("regions"))
-    # one row each
-    return databases.join(F.broadcast(regions), F.lit(True))
+    orders = spark.table(f"{name}.orders").groupBy(F.col("o_orderstatus").alias("status"))
+    # one row on the left
+    return orders.agg(F.count("*").alias("orders")).join(F.broadcast(databases), F.lit(True))
 
 
 @query("SELECT * FROM supplier")

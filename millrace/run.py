@@ -19,7 +19,7 @@ from pyspark.sql.streaming import StreamingQuery
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
 from millrace.functions.avro import from_avro, from_framed_avro  # noqa: E402
-from millrace.functions.messages import from_json_payload  # noqa: E402
+from millrace.functions.messages import split_json_messages  # noqa: E402
 from millrace.plans import jobs  # noqa: E402
 from millrace.schemas import TAXI, TAXI_RECORD  # noqa: E402
 from millrace.sources.csv_files import read_csv  # noqa: E402
@@ -31,12 +31,21 @@ from millrace.sources.topic import (  # noqa: E402
 )
 from millrace.streaming import sinks  # noqa: E402
 from millrace.streaming.progress import RowCountLogger  # noqa: E402
+from millrace.streaming.rolling import topic_to_rolled_json_files  # noqa: E402
 from millrace.workspace import path_from_env  # noqa: E402
 
 logger = logging.getLogger("millrace")
 
 TABLE_JOBS = ("filter-csv", "trip-table", "rewrite-partitions")
-STREAM_JOBS = ("follow-topic", "topic-to-json-files", "topic-to-parquet-files", "topic-to-table")
+STREAM_JOBS = (
+    "follow-topic",
+    "topic-to-json-files",
+    "topic-to-rolled-json-files",
+    "topic-to-parquet-files",
+    "topic-to-table",
+)
+# JSON as it comes; the others decode messages, and put those that are none aside
+RAW_JOBS = ("topic-to-json-files", "topic-to-rolled-json-files")
 
 
 def parse(arguments: list[str] | None = None) -> argparse.Namespace:
@@ -60,6 +69,9 @@ def parse(arguments: list[str] | None = None) -> argparse.Namespace:
     add("--min-partitions", type=int, help="least parallelism of a broker source")
     add("--max-offsets", type=int, help="most messages a batch takes from a broker")
     add("--files-per-batch", type=int, help="most files a batch takes from a topic folder")
+    add("--max-messages", type=int, help="most messages of a snapshot of topic-to-table")
+    add("--rejects", default="", help="folder for JSON that does not parse; by default OUTPUT.rejects")
+    add("--rest", default="", help="folder for what fills no file yet; by default OUTPUT.rest")
     add("--note", help="comment for the distance column of the trip table")
     add("--trigger", default="1 minute", help="interval, 'available-now' or 'none'")
     options = parser.parse_args(arguments)
@@ -89,7 +101,10 @@ def run(spark: SparkSession, options: argparse.Namespace) -> None:
         counter = RowCountLogger()
         spark.streams.addListener(counter)
         try:
+            aside = start_rejects(spark, options)
             start_stream(spark, options).awaitTermination()
+            if aside is not None:
+                aside.awaitTermination()
         finally:
             spark.streams.removeListener(counter)
     elif options.job == "filter-csv":
@@ -118,33 +133,54 @@ def fill_topic(spark: SparkSession, options: argparse.Namespace) -> None:
 
 
 def start_stream(spark: SparkSession, options: argparse.Namespace) -> StreamingQuery:
-    if options.servers:
-        messages = kafka_stream(
-            spark, options.servers, options.topic, options.min_partitions, options.max_offsets
-        )
-    else:
-        messages = stream_topic(spark, options.input, options.files_per_batch)
-    ends = {"available-now": sinks.AVAILABLE_NOW, "none": None}
-    trigger = ends.get(options.trigger, {"processingTime": options.trigger})
+    messages, trigger = _messages(spark, options), _trigger(options)
     output, checkpoint = options.output, options.checkpoint
     if options.job == "topic-to-json-files":
         return sinks.topic_to_json_files(messages, output, checkpoint, trigger=trigger)
-    decode = _decode(options)
+    if options.job == "topic-to-rolled-json-files":
+        rest = options.rest or f"{output}.rest"
+        return topic_to_rolled_json_files(messages, output, rest, checkpoint, trigger=trigger)
+    if options.format == "json":
+        messages, decode, _ = split_json_messages(messages, TAXI)
+    else:
+        decode = _avro(options)
     if options.job == "topic-to-parquet-files":
         return sinks.topic_to_parquet_files(messages, decode, output, checkpoint, trigger=trigger)
     if options.job == "topic-to-table":
-        return sinks.topic_to_table(messages, decode, output, checkpoint, trigger)
+        return sinks.topic_to_table(
+            messages, decode, output, checkpoint, trigger, max_messages=options.max_messages
+        )
     rows = messages.select(decode.alias("data")).select("data.*")
     return sinks.stream_to_parquet(rows, output, checkpoint, trigger)
 
 
+def start_rejects(spark: SparkSession, options: argparse.Namespace) -> StreamingQuery | None:
+    """A second stream that keeps JSON messages which do not parse, so that none stops the job."""
+    if options.format != "json" or options.job in RAW_JOBS:
+        return None
+    _, _, rejects = split_json_messages(_messages(spark, options), TAXI)
+    path = options.rejects or f"{options.output}.rejects"
+    return sinks.stream_to_parquet(rejects, path, f"{options.checkpoint}-rejects", _trigger(options))
+
+
+def _messages(spark: SparkSession, options: argparse.Namespace) -> DataFrame:
+    if options.servers:
+        return kafka_stream(
+            spark, options.servers, options.topic, options.min_partitions, options.max_offsets
+        )
+    return stream_topic(spark, options.input, options.files_per_batch)
+
+
+def _trigger(options: argparse.Namespace) -> sinks.Trigger | None:
+    ends = {"available-now": sinks.AVAILABLE_NOW, "none": None}
+    return ends.get(options.trigger, {"processingTime": options.trigger})
+
+
 def _trips(spark: SparkSession, options: argparse.Namespace) -> DataFrame:
     return read_csv(spark, options.input, TAXI)
 
 
-def _decode(options: argparse.Namespace) -> Column:
-    if options.format == "json":
-        return from_json_payload("value", TAXI, mode="FAILFAST")
+def _avro(options: argparse.Namespace) -> Column:
     if options.schema_id is None:
         return from_avro("value", TAXI_RECORD)
     records = {options.schema_id: TAXI_RECORD}

@@ -118,6 +118,33 @@ def test_submitted_jobs(spark, tmp_path, trips, monkeypatch, caplog):
     assert run.parse(["follow-topic", *paths, "--files-per-batch", "5"]).files_per_batch == 5
 
 
+def test_bad_json_stops_no_stream(spark, tmp_path, trips):
+    """Messages that do not parse go to a folder of their own, whole; the others go on."""
+    topic = str(tmp_path / "t")
+    run.write_topic(run.jobs.json_messages(trips), topic, "trips")
+    bad = spark.createDataFrame([('{"VendorID": ',), ("[",), (None,)], "value string")
+    run.write_topic(bad, topic, "trips")
+    for job in ("follow-topic", "topic-to-parquet-files", "topic-to-table", "topic-to-rolled-json-files"):
+        out = str(tmp_path / job)
+        paths = ["--input", topic, "--output", out, "--checkpoint", f"{out}-ck", "--format", "json"]
+        more = ["--max-messages", "90"] if job == "topic-to-table" else []
+        run.run(spark, run.parse([job, "--trigger", "available-now", *paths, *more]))
+        if job == "topic-to-rolled-json-files":
+            waiting = spark.read.parquet(f"{out}.rest").groupBy("topic").count()
+            assert rows(waiting) == [("trips", 200), ("trips.rejects", 2)]
+            continue
+        if job == "topic-to-table":
+            table = VersionedTable(spark, out)
+            stored = table.read()
+            sizes = [int(row.summary["added-records"]) for row in table.snapshots().collect()]
+            assert sorted(sizes) == [20, 90, 90]
+        else:
+            stored = spark.read.parquet(out).where("VendorID IS NOT NULL")
+        assert rows(stored.select(*TAXI.names)) == rows(trips), job
+        aside = spark.read.parquet(f"{out}.rejects")
+        assert sorted(bytes(row["value"]) for row in aside.collect()) == [b"[", b'{"VendorID": ']
+
+
 def test_messages_under_two_records(spark, tmp_path, trips):
     """One schema id from the options, another with a record file, fields in another order."""
     topic, out, file = str(tmp_path / "t"), str(tmp_path / "out"), tmp_path / "turned.json"

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import datetime as dt
 import json
 import logging
 import time
@@ -278,3 +279,33 @@ def test_what_is_no_json_has_a_folder_of_its_own(spark, tmp_path):
         ("things", "[2]"), ("things", '{"a": 1}'),
         ("things.rejects", "x"), ("things.rejects", '{"a":'),
     ]
+
+
+def test_triggers_differ(spark, tmp_path):
+    """When batches start: at once, at the interval's beat, or not before the minute is over."""
+
+    def starts(trigger, files):
+        topic, out = str(tmp_path / f"t{files}"), str(tmp_path / f"out{files}")
+        _json_topic(spark, topic, 10, files=files)
+        messages = stream_topic(spark, topic, files_per_batch=1)
+        query = stream_to_parquet(messages, out, f"{out}-checkpoint", trigger)
+        try:
+            deadline = time.time() + 12
+            while time.time() < deadline and len(_batches(query)) < files:
+                time.sleep(0.2)
+        finally:
+            query.stop()
+        return _batches(query)
+
+    def _batches(query):
+        done = [p for p in query.recentProgress if p.numInputRows]
+        return [dt.datetime.fromisoformat(p.timestamp.replace("Z", "+00:00")) for p in done]
+
+    # the first batch starts at once, the others with the interval
+    beats = starts({"processingTime": "2 seconds"}, 3)[1:]
+    assert beats
+    assert all(b - a >= dt.timedelta(seconds=1.5) for a, b in zip(beats, beats[1:], strict=False))
+    assert len(starts({"processingTime": "1 minute"}, 2)) == 1
+    at_once = starts(None, 4)
+    assert len(at_once) == 4
+    assert min(b - a for a, b in zip(at_once, at_once[1:], strict=False)) < dt.timedelta(seconds=2)
