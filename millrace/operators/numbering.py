@@ -33,7 +33,7 @@ def numbered(
         raise ValueError("groups need an order, and segments are one")
     if name in rows.columns:
         raise ValueError(f"column exists: {name}")
-    task, place, shift = _free_names(rows.columns, "task", "place", "shift")
+    task, place, shift = free_names(rows.columns, "task", "place", "shift")
     keys = [*by, *order]
     if keys:
         rows = rows.repartitionByRange(*keys).sortWithinPartitions(*keys)
@@ -70,7 +70,7 @@ def in_chunks(
         raise ValueError("a chunk has at least one row")
     if {"chunk", "chunk_row"} & set(rows.columns):
         raise ValueError("columns chunk and chunk_row are there already")
-    (number,) = _free_names(rows.columns, "number")
+    (number,) = free_names(rows.columns, "number")
     found = numbered(rows, number, by, order, segments)
     return found.select(
         *rows.columns,
@@ -90,7 +90,7 @@ def by_whole_chunks(chunked: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     return chunked.repartition(*keys).sortWithinPartitions(*keys, "chunk_row")
 
 
-def _free_names(taken: Sequence[str], *wanted: str) -> list[str]:
+def free_names(taken: Sequence[str], *wanted: str) -> list[str]:
     """Names close to those wanted that no column has."""
     lower = {name.lower() for name in taken}
     found = []
