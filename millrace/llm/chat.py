@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
+from millrace.operators.numbering import in_chunks
+
 _SPANS = ArrayType(StructType([StructField("start", LongType()), StructField("end", LongType())]))
 _RENDERED = StructType([StructField("rendered", StringType()), StructField("mask", _SPANS)])
 
@@ -49,7 +51,7 @@ def perspectives(
     system: Sequence[str] = ("system",),
     turns_per_part: int = 256,
 ) -> DataFrame:
-    """Rows (conv_id, perspective, part, rendered, mask): each dialogue for each participant.
+    """Rows (conv_id, perspective, part, rendered, mask, split): each dialogue for each participant.
 
     The participant is the assistant, all others are users with their names, and ``system``
     speakers keep their role and have no view of their own. ``mask`` has the spans to learn
@@ -57,8 +59,10 @@ def perspectives(
     numbers, those without number first; a tie goes by speaker, then text. A turn repeated as
     a whole is rendered once. A null text is empty; a null speaker is a user named unknown,
     without a view; rows without conversation are left out. Numbers from one multiple
-    of ``turns_per_part`` to the next make a part, so that a conversation of any length is never
-    in one task. A conversation has as many rows as participants times parts.
+    of ``turns_per_part`` to the next make a part, those without number are in part 0. A part of
+    more turns than that, for many have one number or none, comes in splits of so many,
+    counted in order: so a conversation of any length is never in one task. A
+    conversation has as many rows as participants times parts and splits.
     """
     said = (
         turns.select(
@@ -71,9 +75,11 @@ def perspectives(
         .dropDuplicates()
     )
     part = F.floor(F.coalesce("turn", F.lit(0)) / turns_per_part).cast("long")
+    order = ("turn", "speaker", "text")
+    chunks = in_chunks(said.withColumn("part", part), turns_per_part, ("conv_id", "part"), order)
     parts = (
-        said.groupBy("conv_id", part.alias("part"))
-        .agg(F.sort_array(F.collect_list(F.struct("turn", "speaker", "text"))).alias("turns"))
+        chunks.groupBy("conv_id", "part", F.col("chunk").alias("split"))
+        .agg(F.sort_array(F.collect_list(F.struct(*order))).alias("turns"))
     )
     speakers = (
         said.where(F.col("speaker").isNotNull() & ~F.col("speaker").isin(list(system)))
@@ -93,5 +99,5 @@ def perspectives(
     return (
         parts.join(speakers, "conv_id")
         .withColumn("out", rendered("turns", "perspective"))
-        .select("conv_id", "perspective", "part", "out.rendered", "out.mask")
+        .select("conv_id", "perspective", "part", "out.rendered", "out.mask", "split")
     )

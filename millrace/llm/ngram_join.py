@@ -28,6 +28,7 @@ from millrace.llm.components import components
 from millrace.llm.hashing import mix
 from millrace.llm.shared import written
 from millrace.llm.shingles import WordHashes, shingle_sets
+from millrace.operators.numbering import free_names
 
 #: One odd multiplier for each order of the tokens.
 _ORDERS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93)
@@ -178,20 +179,21 @@ def one_of_each(
     """
     found = set_components(docs, id_col, text_col, width, percent)
     first = F.min_by("row_key", F.struct(F.col("id").isNull(), "id", "row_key"))
+    row_key, empty_name, own_name = free_names(docs.columns, "row_key", "empty", "own")
     chosen = (
-        found.where("group IS NOT NULL").groupBy("group").agg(first.alias("_row_key"))
-        .select("_row_key", F.lit(False).alias("_empty"))
+        found.where("group IS NOT NULL").groupBy("group").agg(first.alias(row_key))
+        .select(row_key, F.lit(False).alias(empty_name))
     )
     empty = found.where("group IS NULL").select(
-        F.col("row_key").alias("_row_key"), F.lit(True).alias("_empty")
+        F.col("row_key").alias(row_key), F.lit(True).alias(empty_name)
     )
     key = F.xxhash64(F.col(id_col), F.col(text_col))
-    own = F.when(F.col("_empty"), F.monotonically_increasing_id()).otherwise(F.lit(-1))
+    own = F.when(F.col(empty_name), F.monotonically_increasing_id()).otherwise(F.lit(-1))
     return (
-        docs.withColumn("_row_key", key)
-        .join(chosen.unionByName(empty.distinct()), "_row_key")
-        .withColumn("_own", own)
-        .dropDuplicates(["_row_key", "_own"])
+        docs.withColumn(row_key, key)
+        .join(chosen.unionByName(empty.distinct()), row_key)
+        .withColumn(own_name, own)
+        .dropDuplicates([row_key, own_name])
         .select(*docs.columns)
     )
 

@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from millrace.llm.word_ids import token_ids
+from millrace.operators.numbering import free_names
 
 #: Parts that pieces of one length are dealt to for numbering.
 _PARTS = 256
@@ -176,23 +177,25 @@ def packed(pieces: DataFrame, capacity: int = 4096) -> DataFrame:
     """Adds sequence_id and offset to rows with a ``length`` from 1 to ``capacity``.
 
     The rows are read three times, so they should come from a written table. Repeated rows
-    are places of their own. Sequences are gapless from 0, their ids too.
+    are places of their own. Sequences are gapless from 0, their ids too. Columns named like the
+    added ones are replaced; others keep their names, whatever they are.
     """
     counts = {
         row["length"]: row["count"] for row in pieces.groupBy("length").count().collect()
     }
     places = plan(counts, capacity)
-    names = pieces.columns
-    dealt = pieces.withColumn("_part", F.pmod(F.xxhash64(*names), F.lit(_PARTS)))
-    group = Window.partitionBy("length", "_part")
+    part, number, size, before, place_name = free_names(
+        pieces.columns, "part", "number", "size", "before", "place"
+    )
+    names = [name for name in pieces.columns if name.lower() not in ("sequence_id", "offset")]
+    dealt = pieces.withColumn(part, F.pmod(F.xxhash64(*pieces.columns), F.lit(_PARTS)))
+    group = Window.partitionBy("length", part)
+    so_far = F.sum(size).over(Window.partitionBy("length").orderBy(part))
     sizes = (
-        dealt.groupBy("length", "_part")
-        .agg(F.count("*").alias("_size"))
-        .withColumn(
-            "_before",
-            F.sum("_size").over(Window.partitionBy("length").orderBy("_part")) - F.col("_size"),
-        )
-        .drop("_size")
+        dealt.groupBy("length", part)
+        .agg(F.count("*").alias(size))
+        .withColumn(before, so_far - F.col(size))
+        .drop(size)
     )
     first = (places[:, 0] << 44) | places[:, 1]
 
@@ -208,9 +211,8 @@ def packed(pieces: DataFrame, capacity: int = 4096) -> DataFrame:
             }
         )
 
-    numbered = dealt.withColumn(
-        "_number", F.row_number().over(group.orderBy(*names)).cast("long") - 1
-    ).join(sizes, ["length", "_part"])
+    row = F.row_number().over(group.orderBy(*pieces.columns)).cast("long") - 1
+    numbered = dealt.withColumn(number, row).join(sizes, ["length", part])
     return numbered.withColumn(
-        "_place", place("length", F.col("_number") + F.col("_before"))
-    ).select(*names, "_place.sequence_id", "_place.offset")
+        place_name, place("length", F.col(number) + F.col(before))
+    ).select(*names, f"{place_name}.sequence_id", f"{place_name}.offset")

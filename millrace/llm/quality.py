@@ -17,15 +17,16 @@ from pyspark.sql.types import LongType, StructField, StructType
 
 from millrace.llm.shared import written
 from millrace.llm.words import words
+from millrace.operators.numbering import free_names
 
 #: Counts of a text, all long.
 COUNTS = (
     "n_words",
     "word_chars",
     "n_symbols",
-    "n_lines",
     "n_dup_lines",
     "n_repeat_words",
+    "n_lines",
 )
 _COUNTS_TYPE = StructType([StructField(name, LongType()) for name in COUNTS])
 _SYMBOLS = b"#*$%&|<>"
@@ -69,7 +70,7 @@ def _counts(body: bytes) -> tuple[int, ...]:
             if times[window] > 1:
                 repeated += start + _WINDOW - max(start, reach)
                 reach = start + _WINDOW
-    return n_words, chars, n_symbols, lines, dup, repeated
+    return n_words, chars, n_symbols, dup, repeated, lines
 
 
 @F.pandas_udf(_COUNTS_TYPE)
@@ -168,9 +169,11 @@ def with_verdicts(
     lesser of both points' distances (for ratios too high), and than a least distance. The
     nearer point is used upward because junk in a bad source moves the upper one. A null
     language or source is a group like any other. Groups of fewer than ``least_rows`` texts
-    use the cutoffs of their language, or else those of all texts. Repeated rows count each.
+    use the cutoffs of their language, or else those of all texts. Repeated rows count each,
+    and a long text is counted whole. A column named like the verdict is replaced.
     """
-    lang, source = "_quality_lang", "_quality_source"
+    lang, source = free_names(docs.columns, "quality_lang", "quality_source")
+    kept = [name for name in docs.columns if name.lower() != verdict.lower()]
     keyed = docs.withColumns({lang: F.col(lang_col), source: F.col(source_col)})
     sketch = written(sketches(keyed, counts, (lang, source)), "sketches")
     tables = [
@@ -178,7 +181,9 @@ def with_verdicts(
     ]
     joined, picks = keyed, []
     for level, (limits, by) in enumerate(tables):
-        total, found = f"_quality_total{level}", f"_quality_limits{level}"
+        total, found = free_names(
+            [*joined.columns, f"{lang}{level}", f"{source}{level}"], "quality_total", "quality_limits"
+        )
         named = limits.select(
             *(F.col(name).alias(f"{name}{level}") for name in by),
             F.col("total").alias(total),
@@ -204,5 +209,5 @@ def with_verdicts(
         up = F.greatest(F.least(mid - low, high - mid) * reach, F.lit(least))
         fine &= value.between(mid - down, mid + up)
     return joined.select(
-        *(F.col(name) for name in docs.columns), F.coalesce(fine, F.lit(False)).alias(verdict)
+        *(F.col(f"`{name}`") for name in kept), F.coalesce(fine, F.lit(False)).alias(verdict)
     )

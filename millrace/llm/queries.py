@@ -66,9 +66,10 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = with_verdicts(written(measured, "counts"), "counts", "kept")
     return judged.select(
         "doc_id",
-        *(F.col(f"counts.{name}") for name in COUNTS),
+        *(F.col(f"counts.{name}") for name in COUNTS if name != "n_lines"),
         base_failed(F.col("counts")).alias("base_failed"),
         "kept",
+        "counts.n_lines",
     )
 
 
@@ -152,8 +153,8 @@ WITH texts AS (
 ), based AS (
     SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM counts
 )
-SELECT doc_id, n_words, word_chars, n_symbols, n_lines, n_dup_lines, n_repeat_words, base_failed,
-    NOT base_failed AND coalesce(fine, FALSE) AS kept
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+    NOT base_failed AND coalesce(fine, FALSE) AS kept, n_lines
 FROM based LEFT JOIN judged USING (doc_id)
 """
 
@@ -230,17 +231,21 @@ WITH said AS (
     SELECT DISTINCT conv_id, turn, role, text FROM conversations WHERE conv_id IS NOT NULL
 ), views AS (
     SELECT DISTINCT conv_id, role AS perspective FROM said WHERE role <> 'system'
+), numbered AS (
+    SELECT *, (row_number() OVER (PARTITION BY conv_id, part
+        ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) - 1) // 256 AS split
+    FROM (SELECT *, coalesce(turn, 0) // 256 AS part FROM said)
 ), pieces AS (
-    SELECT conv_id, perspective, coalesce(turn, 0) // 256 AS part, turn, role, text,
+    SELECT conv_id, perspective, part, split, turn, role, text,
         '<|im_start|>' || CASE
             WHEN role = perspective THEN 'assistant'
             WHEN role = 'system' THEN 'system'
             ELSE 'user name=' || role END || chr(10) AS head,
         replace(coalesce(text, ''), '<|', '<\|') || '<|im_end|>' AS body
-    FROM said JOIN views USING (conv_id)
+    FROM numbered JOIN views USING (conv_id)
 ), placed AS (
     SELECT *, coalesce(sum(length(head) + length(body) + 1) OVER (
-        PARTITION BY conv_id, perspective, part ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST
+        PARTITION BY conv_id, perspective, part, split ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST
         ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) + length(head) AS start
     FROM pieces
 )
@@ -248,8 +253,9 @@ SELECT conv_id, perspective, CAST(part AS BIGINT) AS part,
     string_agg(head || body || chr(10), '' ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) AS rendered,
     coalesce(string_agg(
         CAST(start AS BIGINT) || '-' || CAST(start + length(body) AS BIGINT), ','
-        ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) FILTER (WHERE role = perspective), '') AS mask
-FROM placed GROUP BY conv_id, perspective, part
+        ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) FILTER (WHERE role = perspective), '') AS mask,
+    CAST(split AS BIGINT) AS split
+FROM placed GROUP BY conv_id, perspective, part, split
 """
 
 

@@ -16,6 +16,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from millrace.operators.numbering import free_names
+
 #: A prime, so that any step visits all slots; far above the number of shards.
 SLOTS = 65_537
 
@@ -59,23 +61,25 @@ def placed(
     like the added ones are replaced.
     """
     table = lookup_table(shards, slots)
+    slot_name, of_slot, shard_name = free_names(df.columns, "slot", "of_slot", "shard")
     lookup = df.sparkSession.createDataFrame(
         [(slot, shards[shard]) for slot, shard in enumerate(table.tolist())],
-        "_slot int, _shard string",
+        f"`{of_slot}` int, `{shard_name}` string",
     )
     key = F.when(F.col(key_col).isNotNull(), F.xxhash64(F.col(key_col).cast("string"))).otherwise(
         F.xxhash64(*(F.col(name).cast("string") for name in spread_cols))
         if spread_cols
         else F.xxhash64(F.lit(""))
     )
-    kept = [name for name in df.columns if name not in (slot_col, shard_col)]
+    added = (slot_col.lower(), shard_col.lower())
+    kept = [name for name in df.columns if name.lower() not in added]
     return (
-        df.withColumn("_slot", F.pmod(key, F.lit(slots)).cast("int"))
-        .join(F.broadcast(lookup), "_slot")
+        df.withColumn(slot_name, F.pmod(key, F.lit(slots)).cast("int"))
+        .join(F.broadcast(lookup), F.col(slot_name) == F.col(of_slot))
         .select(
             *(F.col(f"`{name}`") for name in kept),
-            F.col("_slot").alias(slot_col),
-            F.col("_shard").alias(shard_col),
+            F.col(slot_name).alias(slot_col),
+            F.col(shard_name).alias(shard_col),
         )
     )
 

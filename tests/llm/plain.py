@@ -33,9 +33,9 @@ def counts(text):
         len(found),
         sum(len(word.decode()) for word in found),
         sum(text.count(symbol) for symbol in "#*$%&|<>"),
-        len(lines),
         len(lines) - len(set(lines)),
         len(repeated),
+        len(lines),
     )
 
 

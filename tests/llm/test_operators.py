@@ -13,6 +13,7 @@ import plain
 import public_tokenizers
 import pytest
 import sentencepiece
+import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from odd import no_docs, odd_docs, odd_rows  # noqa: F401
@@ -205,6 +206,27 @@ def test_perspectives(spark):
     assert perspectives(table.where("false")).count() == 0
 
 
+def test_perspectives_of_many_turns_without_number(spark):
+    """No row holds more turns than a part may have; together they hold all, in order."""
+    turns = [(1, None if n % 4 else 7, "ann" if n % 2 else "bob", f"{n:04}") for n in range(600)]
+    table = spark.createDataFrame(turns, "conv_id long, turn int, role string, text string")
+    found = perspectives(table.repartition(4), turns_per_part=50).collect()
+    assert {(row["perspective"], row["part"], row["split"]) for row in found} == {
+        (who, 0, split) for who in ("ann", "bob") for split in range(12)
+    }
+    views = {}
+    for row in sorted(found, key=lambda row: row["split"]):
+        assert row["rendered"].count("<|im_start|>") == 50
+        views[row["perspective"]] = views.get(row["perspective"], "") + row["rendered"]
+    ordered = sorted(turns, key=lambda t: (t[1] is not None, t[1] or 0, t[2], t[3]))
+    for who, text in views.items():
+        expected = [
+            ("assistant" if speaker == who else f"user name={speaker}") + "\n" + said
+            for _, _, speaker, said in ordered
+        ]
+        assert text == "".join(f"<|im_start|>{turn}<|im_end|>\n" for turn in expected)
+
+
 @pytest.mark.parametrize("name", queries.CHECK_SQL)
 def test_queries_match_sql(spark, name):
     connection = duckdb.connect()
@@ -230,7 +252,7 @@ def test_lookup_table():
     assert moved < 0.1 * 1009
     # by hand: shards take turns
     taken, at = {}, {}
-    import xxhash
+
 
     for name in ("a", "b"):
         at[name] = xxhash.xxh64_intdigest(name, 1) % 11
@@ -248,6 +270,29 @@ def test_lookup_table():
         lookup_table(["a"], 12)
 
 
+def test_rows_lie_in_their_slots(spark):
+    """The query against hashes and turns in plain Python; clashing names come through."""
+    shards = [f"shard-{number:02d}" for number in range(64)]
+    holder, taken = {}, 0
+    at = {name: xxhash.xxh64_intdigest(name, 1) % 65_537 for name in shards}
+    while taken < 65_537:
+        for name in shards:
+            step = xxhash.xxh64_intdigest(name, 2) % 65_536 + 1
+            while at[name] in holder and taken < 65_537:
+                at[name] = (at[name] + step) % 65_537
+            if taken < 65_537:
+                holder[at[name]] = name
+                taken += 1
+    for row in queries.op4_shard_lookup(spark, SF_DIR).collect():
+        key = xxhash.xxh64_intdigest(str(row["doc_id"]).encode(), 42)
+        slot = (key - (1 << 64) if key >> 63 else key) % 65_537
+        assert (row["slot"], row["shard"]) == (slot, holder[slot])
+    df = spark.createDataFrame([(1, "a", 5, "b")], "k long, _slot string, slot int, _Shard string")
+    (row,) = placed(df, "k", shards).collect()
+    assert row.asDict().keys() == {"k", "_slot", "_Shard", "slot", "shard"}
+    assert (row["_slot"], row["_Shard"]) == ("a", "b")
+
+
 def test_placed(odd_docs, no_docs, odd_rows):
     out = placed(odd_docs, "doc_id", ["a", "b", "c"], ("text",)).collect()
     assert len(out) == len(odd_rows)
