@@ -14,15 +14,17 @@ from millrace.llm.packing import packed, tokenized_pieces
 from millrace.llm.quality import text_counts, with_verdicts
 from millrace.llm.secrets import without_secrets
 from millrace.llm.shared import written
+from millrace.operators.numbering import free_names
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the fixed rules and the cutoffs of their language and source."""
-    measured = written(docs.withColumn("_counts", text_counts("text")), "measured")
-    judged = with_verdicts(measured, "_counts", "_kept")
-    return judged.where("_kept").select(*docs.columns)
+    counts, kept = free_names(docs.columns, "counts", "kept")
+    measured = written(docs.withColumn(counts, text_counts("text")), "measured")
+    judged = with_verdicts(measured, counts, kept)
+    return judged.where(F.col(kept)).select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
