@@ -19,8 +19,6 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 
-from millrace.llm.hashing import mix
-
 #: No byte of UTF-8; marks the end of a text. Before a text stand zero bytes.
 END = 0xFF
 _BITS = 8
@@ -46,8 +44,12 @@ def runs(bodies: list[bytes], depth: int) -> tuple[np.ndarray, np.ndarray]:
 
 def counted(codes: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """Distinct codes and the sums of their counts."""
-    code, at = np.unique(np.concatenate(codes), return_inverse=True)
-    return code, np.bincount(at, np.concatenate(counts), len(code)).astype(np.int64)
+    code, count = np.concatenate(codes), np.concatenate(counts)
+    # parts are in order, which a stable sort finds and merges
+    order = np.argsort(code, kind="stable")
+    code, count = code[order], count[order]
+    first = np.flatnonzero(np.diff(code, prepend=-1))
+    return code[first], np.add.reduceat(count, first) if len(first) else count
 
 
 def _log_gamma(value: np.ndarray) -> np.ndarray:
@@ -60,13 +62,26 @@ def _log_gamma(value: np.ndarray) -> np.ndarray:
     return series
 
 
+#: Log gamma of counts plus a half and plus one, for counts up to a few thousand.
+_SMALL = 1 << 12
+_HALVES = _log_gamma(np.arange(_SMALL) + 0.5)
+_WHOLES = _log_gamma(np.arange(_SMALL) + 1.0)
+
+
+def _looked_up_gamma(count: np.ndarray, table: np.ndarray, more: float) -> np.ndarray:
+    found = table[np.minimum(count, _SMALL - 1).astype(np.int64)]
+    large = np.flatnonzero(count >= _SMALL)
+    found[large] = _log_gamma(count[large] + more)
+    return found
+
+
 def _log_kt(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
     """Log of the Krichevsky-Trofimov probability of so many zeros and ones."""
     return (
-        _log_gamma(zeros + 0.5)
-        + _log_gamma(ones + 0.5)
+        _looked_up_gamma(zeros, _HALVES, 0.5)
+        + _looked_up_gamma(ones, _HALVES, 0.5)
         - np.log(np.pi)
-        - _log_gamma(zeros + ones + 1.0)
+        - _looked_up_gamma(zeros + ones, _WHOLES, 1.0)
     )
 
 
@@ -84,11 +99,16 @@ def levels_of(
 def _counts(
     code: np.ndarray, count: np.ndarray, bit: int
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Keys of contexts before a bit, bytes before and bits so far; counts of zeros and ones."""
-    key, at = np.unique(code >> (_BITS - bit), return_inverse=True)
-    is_one = (code >> (_BITS - 1 - bit) & 1).astype(bool)
-    ones = np.bincount(at[is_one], count[is_one], len(key))
-    return key, np.bincount(at, count, len(key)) - ones, ones
+    """Keys of contexts before a bit, bytes before and bits so far; counts of zeros and ones.
+
+    Runs come in order, so that those of one key are neighbours.
+    """
+    key = code >> (_BITS - bit)
+    first = np.flatnonzero(np.diff(key, prepend=-1))
+    if not len(first):
+        return key, np.zeros(0), np.zeros(0)
+    ones = np.add.reduceat(count * (code >> (_BITS - 1 - bit) & 1), first).astype(np.float64)
+    return key[first], np.add.reduceat(count, first) - ones, ones
 
 
 def _weigh(bit: int, levels: list[tuple], first: int) -> tuple[list[np.ndarray], tuple]:
@@ -221,27 +241,48 @@ class _Remembered:
         raise NotImplementedError
 
     def _remember(self, code: np.ndarray, score: np.ndarray) -> None:
-        bits = max(8, int(len(code)).bit_length() + 1)
-        self.shift = np.uint64(64 - bits)
-        self.slots = np.full(1 << bits, -1, np.int64)
-        self.scores = np.zeros(1 << bits, np.float32)
-        at = self._slot(code)
-        self.slots[at] = code
-        filled = self.slots[at] == code
-        self.scores[at[filled]] = score[filled]
-
-    def _slot(self, code: np.ndarray) -> np.ndarray:
-        return (mix(code.astype(np.uint64)) >> self.shift).astype(np.int64)
+        """Two tables of slots with a run and its score side by side; the second for what
+        finds no place in the first."""
+        self.places = []
+        for _ in range(_TABLES):
+            bits = max(8, int(len(code)).bit_length() + 1)
+            slots = np.full((1 << bits, 2), -1, np.int64)
+            shift = np.uint64(64 - bits)
+            at = _slot(code, len(self.places), shift)
+            slots[at, 0] = code
+            filled = slots[at, 0] == code
+            slots[at[filled], 1] = score[filled].astype(np.float64).view(np.int64)
+            # one gather of sixteen bytes finds both
+            self.places.append((slots.reshape(-1).view(np.complex128), shift))
+            code, score = code[~filled], score[~filled]
 
     def log10(self, code: np.ndarray) -> np.ndarray:
         """Log10 probability of the byte that ends each run."""
-        at = self._slot(code)
-        score = self.scores[at].astype(np.float64)
-        other = np.flatnonzero(self.slots[at] != code)
-        if len(other):
-            distinct, back = np.unique(code[other], return_inverse=True)
-            score[other] = self._chances(distinct)[back]
-        return score
+        total = np.empty(len(code))
+        left, wanted = None, code
+        for number, (slots, shift) in enumerate(self.places):
+            found = slots[_slot(wanted, number, shift)].view(np.int64).reshape(-1, 2)
+            score = np.ascontiguousarray(found[:, 1]).view(np.float64)
+            other = np.flatnonzero(found[:, 0] != wanted)
+            if left is None:
+                total = score
+            else:
+                total[left] = score
+            left = other if left is None else left[other]
+            wanted = wanted[other]
+        if len(wanted):
+            distinct, back = np.unique(wanted, return_inverse=True)
+            total[left] = self._chances(distinct)[back]
+        return total
+
+
+#: Tables in which a run may have its place; an odd multiplier for each.
+_TABLES = 2
+_SPREAD = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
+
+
+def _slot(code: np.ndarray, table: int, shift: np.uint64) -> np.ndarray:
+    return (code.astype(np.uint64) * _SPREAD[table] >> shift).astype(np.int64)
 
 
 class RunScores(_Remembered):
