@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from millrace.workspace import path_exists, staged
+from millrace.workspace import path_exists, scratch, staged
 
 # what Spark's scan of whole files has, ahead of the partition columns
 _FILE_COLUMNS = (
@@ -92,9 +92,10 @@ def append_new_partitions(df: DataFrame, path: str, by: list[str]) -> None:
 
     The rows are evaluated once, into a folder of their own, whatever the check finds.
     """
-    df = staged(df, "append")
-    clashes = conflicting_partitions(df, path, by).limit(5).collect()
-    if clashes:
-        shown = ", ".join(str(row.asDict()) for row in clashes)
-        raise PartitionConflict(f"partitions already have data, among them: {shown}")
-    write_partitioned(df, path, by, mode="append")
+    with scratch(df.sparkSession):
+        df = staged(df, "append")
+        clashes = conflicting_partitions(df, path, by).limit(5).collect()
+        if clashes:
+            shown = ", ".join(str(row.asDict()) for row in clashes)
+            raise PartitionConflict(f"partitions already have data, among them: {shown}")
+        write_partitioned(df, path, by, mode="append")

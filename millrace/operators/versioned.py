@@ -44,7 +44,7 @@ from pyspark.sql.types import (
 
 from millrace.functions.scalar import is_true
 from millrace.operators.file_stats import STATS, describe_files
-from millrace.workspace import path_exists, staged
+from millrace.workspace import path_exists, scratch, staged
 
 _DONE = "_SUCCESS"  # what a finished Spark write leaves in its folder
 _COMMIT = "mr_commit"
@@ -526,7 +526,11 @@ class VersionedTable:
         keys = [_field(schema, key).name for key in keys]
         if not keys:
             raise ValueError("a merge needs keys")
-        latest = staged(_latest(changes, schema, keys, last_by, deletes), "changes")
+        with scratch(self.spark):
+            self._merge(staged(_latest(changes, schema, keys, last_by, deletes), "changes"), keys)
+
+    def _merge(self, latest: DataFrame, keys: Sequence[str]) -> None:
+        names = self._schema().names
 
         def same_keys(row: Callable[[str], Column]) -> Column:
             pairs = [row(key).eqNullSafe(latest["row"].getField(key)) for key in keys]
@@ -537,7 +541,7 @@ class VersionedTable:
             commit, lambda rows: rows.join(latest, same_keys(lambda k: rows[_tick(k)]), "left_semi")
         )
         old = self._read_touched(commit, touched)
-        old = old.select(F.struct(*map(_quoted, schema.names)).alias("old"))
+        old = old.select(F.struct(*map(_quoted, names)).alias("old"))
         both = old.join(latest, same_keys(lambda k: old["old"].getField(k)), "full")
         left = both.where(~F.coalesce("gone", F.lit(False)))
         rows = left.select(F.coalesce("row", "old").alias("row")).select("row.*")

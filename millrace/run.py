@@ -32,7 +32,7 @@ from millrace.sources.topic import (  # noqa: E402
 from millrace.streaming import sinks  # noqa: E402
 from millrace.streaming.progress import RowCountLogger  # noqa: E402
 from millrace.streaming.rolling import topic_to_rolled_json_files  # noqa: E402
-from millrace.workspace import path_from_env  # noqa: E402
+from millrace.workspace import path_from_env, scratch  # noqa: E402
 
 logger = logging.getLogger("millrace")
 
@@ -195,6 +195,7 @@ if __name__ == "__main__":
     options = parse()
     session = SparkSession.builder.appName("millrace").getOrCreate()
     try:
-        run(session, options)
+        with scratch(session):
+            run(session, options)
     finally:
         session.stop()

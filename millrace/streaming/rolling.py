@@ -10,7 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from millrace.operators.numbering import by_whole_chunks, in_chunks
 from millrace.streaming.sinks import QUERY_ID, Trigger, json_lines, start
-from millrace.workspace import path_exists, remove_path, staged
+from millrace.workspace import path_exists, remove_path, scratch, staged
 
 _PLACE = ("topic", "partition")
 _ROWS = "topic string, partition int, offset bigint, value string, since timestamp"
@@ -43,14 +43,15 @@ def topic_to_rolled_json_files(
         query_id = session.sparkContext.getLocalProperty(QUERY_ID)
         kept = f"{rest}/stream={query_id}"
         waiting = f"{kept}/batch={number - 1}"
-        rows = batch.select("topic", "partition", "offset", "value", "since")
-        if path_exists(session, waiting):
-            rows = rows.unionByName(session.read.schema(_ROWS).parquet(waiting))
-        chunks = staged(in_chunks(rows, records_per_file, _PLACE, ("offset",)), "rolling")
-        ready = _ready(chunks, records_per_file, max_wait)
-        _write(ready.where("ready"), f"{path}/stream={query_id}/batch={number}", records_per_file)
-        left = ready.where("NOT ready").select("topic", "partition", "offset", "value", "since")
-        left.write.mode("overwrite").parquet(f"{kept}/batch={number}")
+        with scratch(session):
+            rows = batch.select("topic", "partition", "offset", "value", "since")
+            if path_exists(session, waiting):
+                rows = rows.unionByName(session.read.schema(_ROWS).parquet(waiting))
+            chunks = staged(in_chunks(rows, records_per_file, _PLACE, ("offset",)), "rolling")
+            ready = _ready(chunks, records_per_file, max_wait)
+            _write(ready.where("ready"), f"{path}/stream={query_id}/batch={number}", records_per_file)
+            left = ready.where("NOT ready").select("topic", "partition", "offset", "value", "since")
+            left.write.mode("overwrite").parquet(f"{kept}/batch={number}")
         # the batch before this one can run again no more, so what it read is not needed
         remove_path(session, f"{kept}/batch={number - 2}")
 
@@ -89,6 +90,7 @@ def close_rolled_files(
     waiting = spark.read.schema(f"{_ROWS}, stream string, batch bigint").parquet(rest)
     for row in waiting.groupBy("stream").agg(F.max("batch").alias("batch")).collect():
         rows = spark.read.schema(_ROWS).parquet(f"{rest}/stream={row['stream']}/batch={row['batch']}")
-        chunks = in_chunks(rows, records_per_file, _PLACE, ("offset",))
-        _write(chunks, f"{path}/stream={row['stream']}/closed={row['batch']}", records_per_file)
+        with scratch(spark):
+            chunks = in_chunks(rows, records_per_file, _PLACE, ("offset",))
+            _write(chunks, f"{path}/stream={row['stream']}/closed={row['batch']}", records_per_file)
         remove_path(spark, f"{rest}/stream={row['stream']}")

@@ -16,7 +16,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from millrace.operators.numbering import in_chunks
 from millrace.operators.versioned import VersionedTable
-from millrace.workspace import fresh_dir, remove_path
+from millrace.workspace import fresh_dir, scratch
 
 Trigger = dict[str, str | bool]
 # what Spark calls the id of the running query among the properties of its jobs
@@ -173,15 +173,16 @@ def topic_to_table(
         if max_messages is None:
             table.append(rows, batch=(query_id, number))
             return
-        parts = in_chunks(given.select(*_PLACE, data), max_messages, order=_PLACE)
-        target = fresh_dir(session, "batch-parts")
-        parts.select("data", "chunk").write.partitionBy("chunk").parquet(target)
-        last = parts.agg(F.max("chunk")).first()[0]
-        for part in range(0 if last is None else last + 1):
-            found = session.read.schema(parts.select("data").schema).parquet(f"{target}/chunk={part}")
-            found = found.select("data.data.*", *(f"data._{n}" for n in _PLACE if once))
-            table.append(found, batch=(query_id, number, part))
-        remove_path(session, target)
+        with scratch(session):
+            parts = in_chunks(given.select(*_PLACE, data), max_messages, order=_PLACE)
+            target = fresh_dir(session, "batch-parts")
+            parts.select("data", "chunk").write.partitionBy("chunk").parquet(target)
+            last = parts.agg(F.max("chunk")).first()[0]
+            schema = parts.select("data").schema
+            for part in range(0 if last is None else last + 1):
+                found = session.read.schema(schema).parquet(f"{target}/chunk={part}")
+                found = found.select("data.data.*", *(f"data._{n}" for n in _PLACE if once))
+                table.append(found, batch=(query_id, number, part))
 
     return start(messages.writeStream.foreachBatch(append), checkpoint, trigger)
 

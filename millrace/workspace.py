@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import os
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -23,9 +26,32 @@ def shared_root(spark: SparkSession) -> str:
     raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
 
 
+_scopes = threading.local()
+
+
 def fresh_dir(spark: SparkSession, label: str) -> str:
     """A path below the shared root that nothing has written to yet."""
-    return f"{shared_root(spark)}/millrace/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_root(spark)}/millrace/{label}-{uuid.uuid4().hex}"
+    for made in getattr(_scopes, "open", ()):
+        made.append(path)
+    return path
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Deletes all folders that ``fresh_dir`` names inside, of this thread, at the end.
+
+    What is to last must have been written elsewhere, or read, by then. After a failure the
+    folders go as well.
+    """
+    made: list[str] = []
+    _scopes.open = [*getattr(_scopes, "open", ()), made]
+    try:
+        yield
+    finally:
+        _scopes.open = [other for other in _scopes.open if other is not made]
+        for path in made:
+            remove_path(spark, path)
 
 
 def staged(df: DataFrame, label: str) -> DataFrame:
