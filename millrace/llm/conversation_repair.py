@@ -76,6 +76,8 @@ def with_faults(rows: DataFrame) -> DataFrame:
         .where("rows > 1")
         .select(*(F.col(name).alias(f"of_{name}") for name in ("id", "key", "key2", "first")))
     )
+    # written, so that its size tells Spark whether it can be sent to all tasks
+    several = written(several, "several")
     same = (
         F.col("id").eqNullSafe(F.col("of_id"))
         & (F.col("key") == F.col("of_key"))
@@ -296,8 +298,9 @@ def _solved(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 pa.array(costs, pa.int64()),
                 pa.array(audits, pa.string()),
                 pa.array(repaired, pa.list_(turn)),
+                batch["entry"].is_null(),
             ],
-            names=[*kept, "cost", "audit", "repaired"],
+            names=[*kept, "cost", "audit", "repaired", "alone"],
         )
 
 
@@ -306,9 +309,10 @@ def repaired_parts(
 ) -> DataFrame:
     """Conversations of ``with_faults``, repaired, in parts in the order of ``part``.
 
-    Rows (id, part, blank, duplicate, truncated, illegal, first, last, cost, audit, repaired):
-    counts of the part's faults, each row's first one, and of neighbours of an illegal order;
-    initials of its first and last role; cost and initials of its edits; the turns it has then.
+    Rows (id, part, blank, duplicate, truncated, illegal, first, last, cost, audit, repaired,
+    alone): counts of the part's faults, each row's first one, and of neighbours of an illegal
+    order; initials of its first and last role; cost and initials of its edits; the turns it has
+    then; whether it is all of its conversation.
     ``illegal`` leaves out the step from one part to the next. Turns without a number come
     first; of equal numbers the order is that of role and text. A conversation without an id
     is one like others.
@@ -334,7 +338,7 @@ def repaired_parts(
     return parts.join(written(entries, "entries"), "part", "left").mapInArrow(
         _solved,
         f"id {id_type}, part bigint, {counts}, first string, last string, cost bigint, "
-        "audit string, repaired array<struct<role:string,text:string>>",
+        "audit string, repaired array<struct<role:string,text:string>>, alone boolean",
     )
 
 
@@ -343,10 +347,12 @@ def conversation_reports(parts: DataFrame) -> DataFrame:
 
     (id, blank, duplicate, truncated, illegal, cost, audit, repaired_sha256); the hash is of
     ``role:text`` of the repaired turns, joined by line feeds. A conversation's parts stream
-    through one task, which keeps counts, a hash and initials, since a hash has one order.
+    through one task, which keeps counts, a hash and initials, since a hash has one order; of
+    a conversation in one part only the hash is sent.
     """
     id_type = parts.schema["id"].dataType.simpleString()
     line = F.transform("repaired", lambda t: F.concat(t["role"], F.lit(":"), t["text"]))
+    body = F.when(F.size("repaired") > 0, F.array_join(line, "\n"))
     streamed = (
         parts.select(
             "id",
@@ -356,7 +362,8 @@ def conversation_reports(parts: DataFrame) -> DataFrame:
             "last",
             "cost",
             "audit",
-            F.when(F.size("repaired") > 0, F.array_join(line, "\n")).alias("body"),
+            F.when(~F.col("alone"), body).alias("body"),
+            F.when(F.col("alone"), F.sha2(F.coalesce(body, F.lit("")), 256)).alias("digest"),
         )
         .repartition("id")
         .sortWithinPartitions("id", "part")
@@ -375,7 +382,8 @@ def conversation_reports(parts: DataFrame) -> DataFrame:
                     state = {}
                 if not state:
                     numbers = dict.fromkeys((*_COUNTS, "cost"), 0)
-                    state = {"id": row["id"], "audit": [], "hash": None, "last": None, **numbers}
+                    empty = {"audit": [], "hash": None, "digest": None, "last": None}
+                    state = {"id": row["id"], **empty, **numbers}
                 _add_part(state, row)
             yield pa.RecordBatch.from_pylist(done, schema)
         if state:
@@ -394,6 +402,7 @@ def _add_part(state: dict, row: dict) -> None:
         state["illegal"] += state["last"] + row["first"] not in _LEGAL
     state["last"] = row["last"]
     state["audit"].append(row["audit"])
+    state["digest"] = row["digest"]
     if row["body"] is not None:
         if state["hash"] is None:
             state["hash"] = hashlib.sha256()
@@ -403,9 +412,10 @@ def _add_part(state: dict, row: dict) -> None:
 
 
 def _closed(state: dict) -> dict:
-    digest = state.pop("hash") or hashlib.sha256()
+    streamed, digest = state.pop("hash") or hashlib.sha256(), state.pop("digest")
     del state["last"]
-    return {**state, "audit": "".join(state["audit"]), "repaired_sha256": digest.hexdigest()}
+    found = digest or streamed.hexdigest()
+    return {**state, "audit": "".join(state["audit"]), "repaired_sha256": found}
 
 
 def _report_schema(id_type: pa.DataType) -> pa.Schema:
