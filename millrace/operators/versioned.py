@@ -8,7 +8,10 @@ Spark SQL. A table is a folder of three parts, each written with ``df.write``:
 ``log/version=<n>/``       one row per commit, DDL statement or rollback
 ``log_upto/version=<n>/``  all log rows so far, every fiftieth version
 
-A commit takes effect when its one log row is there, marked as complete; whatever a
+Commits made together (``append_parts``) have data folders ``<id>-<part>`` of their own, but share
+one list of files and one log folder, so log folders are counted apart from versions.
+
+A commit takes effect when its log row is there, marked as complete; whatever a
 failed job left behind is never read. Log rows and file lists describe files, not data,
 and are the only thing the driver sees. One writer at a time: a writer that finds its
 version taken fails, but two at the same moment are not told apart.
@@ -44,7 +47,7 @@ from pyspark.sql.types import (
 
 from millrace.functions.scalar import is_true
 from millrace.operators.file_stats import STATS, describe_files
-from millrace.workspace import path_exists, scratch, staged
+from millrace.workspace import path_exists, path_matches, scratch, staged
 
 _DONE = "_SUCCESS"  # what a finished Spark write leaves in its folder
 _COMMIT = "mr_commit"
@@ -89,9 +92,10 @@ class VersionedTable:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
-        last = self._last_version()
+        last = self._last_logged()
         if last < 0:
             raise ValueError(f"no table: {root}")
+        self._logged = last
         rows = spark.read.schema(_LOG).parquet(*self._log_paths(last)).collect()
         self._log: list[Row] = sorted(rows, key=lambda row: row.version)
 
@@ -128,6 +132,7 @@ class VersionedTable:
         table = previous or object.__new__(cls)
         if previous is None:
             table.spark, table.root, table._log = spark, root.rstrip("/"), []
+            table._logged = -1
         wanted = source if isinstance(source, StructType) else source.schema
         schema = _with_physical_names(wanted, table._all_fields())
         spec = [_field(schema, name).metadata["physical"] for name in partition_by]
@@ -178,11 +183,11 @@ class VersionedTable:
         summaries = (row.summary or {} for row in self._log)
         return {summary["stream"] for summary in summaries if "stream" in summary}
 
-    def _is_logged(self, version: int) -> bool:
-        return path_exists(self.spark, f"{self.root}/log/version={version}/{_DONE}")
+    def _is_logged(self, number: int) -> bool:
+        return path_exists(self.spark, f"{self.root}/log/version={number}/{_DONE}")
 
-    def _last_version(self) -> int:
-        """The newest version, found in few looks whatever their number: there are no gaps."""
+    def _last_logged(self) -> int:
+        """The newest log folder, found in few looks whatever their number: there are no gaps."""
         if not self._is_logged(0):
             return -1
         known, missing = 0, 1
@@ -300,9 +305,21 @@ class VersionedTable:
         return [row for row in self._log if row.operation is not None or row.event == "rollback"]
 
     def _entries(self, commits: list[str]) -> DataFrame:
+        """What commits did to files. Of a list that several made together, their parts of it."""
         base = f"{self.root}/files"
-        paths = [f"{base}/{_COMMIT}={commit}" for commit in commits]
-        return self.spark.read.schema(_FILES).option("basePath", base).parquet(*paths)
+        parts: dict[str, list[int]] = {}
+        for commit in commits:
+            made, _, part = commit.partition("-")
+            parts.setdefault(made, []).extend([int(part)] if part else [])
+        paths = [f"{base}/{_COMMIT}={made}" for made in parts]
+        entries = self.spark.read.schema(_FILES).option("basePath", base).parquet(*paths)
+        part = F.substring_index("data_commit", "-", -1).cast("long")
+        for made, numbers in parts.items():
+            if numbers:
+                wanted = reduce(Column.__or__, (part.between(*run) for run in _runs(numbers)))
+                shared = F.col(_COMMIT) == made
+                entries = entries.where(~shared | (F.col("status") == "carried") | wanted)
+        return entries
 
     def _live_entries(self, lineage: list[Row]) -> DataFrame:
         listed = [row for row in lineage if _has_entries(row)]
@@ -439,29 +456,99 @@ class VersionedTable:
     # ------------------------------------------------------------ rows
 
     def append(
-        self, rows: DataFrame, batch: tuple[str, int] | tuple[str, int, int] | None = None
+        self,
+        rows: DataFrame,
+        batch: tuple[str, int] | tuple[str, int, int] | tuple[str, int, str] | None = None,
     ) -> bool:
         """Add rows with the table's columns, as one snapshot.
 
         ``batch`` names a stream, its micro-batch and, if that comes in several, the part of
         it. One that is in the table already is not added again, and the answer is False.
+        For several parts at once it names a further column of ``rows``, which tells each row's
+        part: see ``append_parts``.
         """
         summary = {}
+        if batch is not None and isinstance(batch[-1], str):
+            return self.append_parts(rows, batch[-1], batch[:2])
         if batch is not None:
             stream, *number = batch
             number = (*number, 0)[:2]
-            done = [
-                (int(row.summary["stream-batch"]), int(row.summary.get("stream-part", 0)))
-                for row in self._log
-                if row.summary and row.summary.get("stream") == stream
-            ]
-            if done and max(done) >= number:
+            done = self._done_of(stream)
+            if done is not None and done >= number:
                 return False
-            names = ("stream-batch", "stream-part")
-            summary = {"stream": stream, **dict(zip(names, map(str, number), strict=True))}
+            summary = _stream_summary(stream, *number)
         self._write_snapshot("append", rows, summary=summary)
         return True
 
+    def append_parts(self, rows: DataFrame, part: str, batch: tuple[str, int]) -> bool:
+        """Add a batch's rows as one snapshot for each value of ``part``, in that order.
+
+        ``part`` numbers the parts from 0; the other columns are the table's. All parts are written
+        by one job and take effect at once, so that time goes with the rows, not with the
+        number of parts. Parts that are in the table already are not added again, and the
+        answer is False if that leaves none.
+        """
+        stream, number = batch
+        done = self._done_of(stream)
+        if done is not None and done[0] >= number:
+            if done[0] > number:
+                return False
+            rows = rows.where(F.col(part) > done[1])
+        schema, spec = self._schema(), list(self._log[-1].partition_by)
+        made = _new_commit()
+        self._write_data(rows, schema, spec, made, part)
+        stored = StructType([f for f in _physical(schema) if f.name not in spec])
+        counts = {}
+        root = f"{self.root}/data/{_COMMIT}={made}-*"
+        if path_matches(self.spark, root):
+            new = self._describe(root, stored, F.regexp_extract("uri", f"/{_COMMIT}=([^/]+)/", 1))
+            new.write.parquet(self._entry_dir(made))
+            sizes = self._all_entries(made).groupBy("data_commit").agg(
+                F.count("*").alias("files"), F.sum("record_count").alias("records")
+            )
+            counts = {int(row.data_commit.partition("-")[2]): row for row in sizes.collect()}
+        if not counts:
+            return False
+        parent = self._snapshot(self.current_snapshot_id)
+        carries = self._should_carry(parent)
+        if carries:
+            self._carry_live_files(made, parent)
+        files, records = _count(parent, "total-data-files"), _count(parent, "total-records")
+        extends = files > 0
+        entries, parent_id = [], self.current_snapshot_id
+        for at, size in sorted(counts.items()):
+            files, records = files + size.files, records + size.records
+            summary = {
+                **_stream_summary(stream, number, at),
+                **_totals(size.files, size.records, 0, 0, files, records),
+            }
+            entries.append(
+                self._log_row(
+                    "append",
+                    after=entries[-1] if entries else None,
+                    schema=schema,
+                    spec=spec,
+                    operation="append",
+                    parent_id=parent_id,
+                    commit=f"{made}-{at}",
+                    extends_parent=extends and not carries,
+                    has_carried=carries,
+                    summary=summary,
+                )
+            )
+            parent_id, extends, carries = entries[-1]["snapshot_id"], True, False
+        self._write_log(entries)
+        return True
+
+    def _done_of(self, stream: str) -> tuple[int, int] | None:
+        """The last micro-batch of a stream, and part of it, that the table has."""
+        done = [
+            (int(row.summary["stream-batch"]), int(row.summary.get("stream-part", 0)))
+            for row in self._log
+            if row.summary and row.summary.get("stream") == stream
+        ]
+        return max(done, default=None)
+
     def update(
         self, assignments: dict[str, Column | str], where: Column | str | None = None
     ) -> None:
@@ -606,18 +693,9 @@ class VersionedTable:
         if rows is not None:
             self._write_data(rows, schema, spec, commit)
             root = f"{self.root}/data/{_COMMIT}={commit}"
-            physical = [StructField(f.metadata["physical"], f.dataType) for f in schema.fields]
-            stored = StructType([f for f in physical if f.name not in spec])
-            new = describe_files(self.spark, root, stored).where("record_count > 0")
-            new = new.withColumns(
-                {
-                    "status": F.lit("added"),
-                    "data_commit": F.lit(commit),
-                    "hits": F.lit(None).cast("long"),
-                }
-            )
+            stored = StructType([f for f in _physical(schema) if f.name not in spec])
             counts = Observation()
-            new = new.select(*_ENTRY).observe(
+            new = self._describe(root, stored, F.lit(commit)).observe(
                 counts, F.count("*").alias("files"), F.sum("record_count").alias("records")
             )
             new.write.mode("append").parquet(self._entry_dir(commit))
@@ -635,7 +713,7 @@ class VersionedTable:
         else:  # named by what it did to files, as table formats do
             operation = "delete" if removed_files and not added_files else "overwrite"
         keeps_files = parent is not None and removed_files < old_files
-        carries = keeps_files and len(self._lineage(parent.snapshot_id)) >= _COMMITS_PER_LISTING
+        carries = keeps_files and self._should_carry(parent)
         if carries:
             self._carry_live_files(commit, parent)
         self._append_log(
@@ -649,21 +727,50 @@ class VersionedTable:
             has_carried=carries,
             summary={
                 **(summary or {}),
-                "added-data-files": str(added_files),
-                "added-records": str(added_records),
-                "deleted-data-files": str(removed_files),
-                "deleted-records": str(removed_records),
-                "total-data-files": str(old_files - removed_files + added_files),
-                "total-records": str(old_records - removed_records + added_records),
+                **_totals(
+                    added_files,
+                    added_records,
+                    removed_files,
+                    removed_records,
+                    old_files - removed_files + added_files,
+                    old_records - removed_records + added_records,
+                ),
             },
         )
 
+    def _describe(self, root: str, stored: StructType, commit: Column) -> DataFrame:
+        """List entries of the files below a commit's folder, or those of several."""
+        new = describe_files(self.spark, root, stored).where("record_count > 0")
+        new = new.withColumns(
+            {
+                "status": F.lit("added"),
+                "data_commit": commit,
+                "hits": F.lit(None).cast("long"),
+            }
+        )
+        return new.select(*_ENTRY)
+
+    def _all_entries(self, made: str) -> DataFrame:
+        return self.spark.read.schema(_FILES).parquet(self._entry_dir(made))
+
+    def _should_carry(self, parent: Row | None) -> bool:
+        """Whether a reader of the next snapshot would put together too many lists of files."""
+        if parent is None:
+            return False
+        lists = {row.commit_dir.partition("-")[0] for row in self._lineage(parent.snapshot_id)}
+        return len(lists) >= _COMMITS_PER_LISTING
+
     def _write_data(
-        self, rows: DataFrame, schema: StructType, spec: list[str], commit: str
+        self,
+        rows: DataFrame,
+        schema: StructType,
+        spec: list[str],
+        commit: str,
+        part: str | None = None,
     ) -> None:
-        given = {name.lower(): name for name in rows.columns}
+        given = {name.lower(): name for name in rows.columns if name != part}
         names = {f.name.lower() for f in schema.fields}
-        if given.keys() != names or len(rows.columns) != len(names):
+        if given.keys() != names or len(rows.columns) != len(names) + (part is not None):
             raise ValueError(f"columns {rows.columns} do not match {schema.names}")
         out = []
         for field in schema.fields:
@@ -674,6 +781,11 @@ class VersionedTable:
                 refused = F.raise_error(F.lit(f"empty string in partition column {field.name}"))
                 value = F.when(value == "", refused).otherwise(value)
             out.append(value.alias(physical))
+        if part is not None:
+            folder = F.concat(F.lit(f"{commit}-"), _quoted(part).cast("string")).alias(_COMMIT)
+            df = rows.select(*out, folder).hint("rebalance", _COMMIT, *spec)
+            df.write.mode("append").partitionBy(_COMMIT, *spec).parquet(f"{self.root}/data")
+            return
         df = rows.select(*out)
         target = f"{self.root}/data/{_COMMIT}={commit}"
         if spec:  # few full files per partition, a hot partition still split over tasks
@@ -707,14 +819,47 @@ class VersionedTable:
         has_carried: bool | None = None,
         summary: dict[str, str] | None = None,
     ) -> None:
-        last = self._log[-1] if self._log else None
-        version = self.version + 1
+        self._write_log(
+            [
+                self._log_row(
+                    event,
+                    schema=schema,
+                    spec=spec,
+                    operation=operation,
+                    parent_id=parent_id,
+                    snapshot_id=snapshot_id,
+                    commit=commit,
+                    extends_parent=extends_parent,
+                    has_carried=has_carried,
+                    summary=summary,
+                )
+            ]
+        )
+
+    def _log_row(
+        self,
+        event: str,
+        *,
+        after: dict[str, Any] | None = None,
+        schema: StructType | None,
+        spec: list[str] | None,
+        operation: str | None,
+        parent_id: int | None,
+        snapshot_id: int | None = None,
+        commit: str | None,
+        extends_parent: bool | None,
+        has_carried: bool | None,
+        summary: dict[str, str] | None,
+    ) -> dict[str, Any]:
+        """The log row that follows the last one, or one that is still to be written."""
+        last = Row(**after) if after else self._log[-1] if self._log else None
+        version = 0 if last is None else last.version + 1
         if operation is not None:
             snapshot_id = version + 1
         elif snapshot_id is None:
             snapshot_id = self.current_snapshot_id
         now = time.time_ns() // 1000
-        row = {
+        return {
             "event": event,
             "committed_at_us": now if last is None else max(now, last.committed_at_us + 1),
             "snapshot_id": snapshot_id,
@@ -728,23 +873,29 @@ class VersionedTable:
             "partition_by": list(last.partition_by) if spec is None else spec,
             "version": version,
         }
-        entry = F.from_json(F.lit(json.dumps(row)), _LOG)
-        if self._is_logged(version):
-            raise CommitConflict(f"version {version} of {self.root} was written by another writer")
+
+    def _write_log(self, entries: list[dict[str, Any]]) -> None:
+        """Write the rows of what is committed at once, as one log folder."""
+        number = self._logged + 1
+        if self._is_logged(number):
+            raise CommitConflict(f"version {number} of {self.root} was written by another writer")
+        # one text for all, so that a plan has one literal whatever the number of rows
+        entry = F.explode(F.from_json(F.lit(json.dumps(entries)), ArrayType(_LOG)))
         df = self.spark.range(1, numPartitions=1).select(entry.alias("entry")).select("entry.*")
         # overwrites no more than what a writer that failed half way may have left
-        df.write.mode("overwrite").parquet(f"{self.root}/log/version={version}")
-        self._log.append(Row(**row))
-        if version and version % _COMMITS_PER_LISTING == 0:
+        df.write.mode("overwrite").parquet(f"{self.root}/log/version={number}")
+        self._logged = number
+        self._log.extend(Row(**entry) for entry in entries)
+        if number and number % _COMMITS_PER_LISTING == 0:
             # readers do without this list if the writer fails here
             self._log_frame().write.mode("overwrite").parquet(
-                f"{self.root}/log_upto/version={version}"
+                f"{self.root}/log_upto/version={number}"
             )
 
     # ------------------------------------------------------------ metadata
 
     def _log_frame(self) -> DataFrame:
-        return self.spark.read.schema(_LOG).parquet(*self._log_paths(self.version))
+        return self.spark.read.schema(_LOG).parquet(*self._log_paths(self._logged))
 
     def snapshots(self) -> DataFrame:
         """One row per commit: when, id, parent, operation and summary."""
@@ -862,6 +1013,43 @@ def _observed(counts: Observation, *names: str) -> dict[str, int]:
     return {name: int(found.get(name) or 0) for name in names}
 
 
+def _physical(schema: StructType) -> list[StructField]:
+    return [StructField(f.metadata["physical"], f.dataType) for f in schema.fields]
+
+
+def _runs(numbers: list[int]) -> list[tuple[int, int]]:
+    """First and last of each stretch of consecutive numbers."""
+    runs: list[tuple[int, int]] = []
+    for number in sorted(numbers):
+        if runs and number == runs[-1][1] + 1:
+            runs[-1] = (runs[-1][0], number)
+        else:
+            runs.append((number, number))
+    return runs
+
+
+def _stream_summary(stream: str, batch: int, part: int) -> dict[str, str]:
+    return {"stream": stream, "stream-batch": str(batch), "stream-part": str(part)}
+
+
+def _totals(
+    added_files: int,
+    added_records: int,
+    deleted_files: int,
+    deleted_records: int,
+    total_files: int,
+    total_records: int,
+) -> dict[str, str]:
+    return {
+        "added-data-files": str(added_files),
+        "added-records": str(added_records),
+        "deleted-data-files": str(deleted_files),
+        "deleted-records": str(deleted_records),
+        "total-data-files": str(total_files),
+        "total-records": str(total_records),
+    }
+
+
 def _new_commit() -> str:
     return uuid.uuid4().hex
 

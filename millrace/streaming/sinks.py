@@ -14,9 +14,9 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
-from millrace.operators.numbering import in_chunks
+from millrace.operators.numbering import free_names, in_chunks
 from millrace.operators.versioned import VersionedTable
-from millrace.workspace import fresh_dir, scratch
+from millrace.workspace import scratch, staged
 
 Trigger = dict[str, str | bool]
 # what Spark calls the id of the running query among the properties of its jobs
@@ -143,8 +143,10 @@ def topic_to_table(
     numbers its batches anew and adds all that they hold.
 
     With ``max_messages`` no snapshot has more: a larger batch is split by the order of topic,
-    partition and offset, which is the same whenever it is run, into parts that are
-    committed one by one and known by their number. How much a batch takes in is up to
+    partition and offset, which is the same whenever it is run, into parts that are snapshots
+    of their own and known by their number. The first two are committed alone, then as many at
+    once as there are already: few jobs whatever the number of parts, and a batch that fails
+    has at least half of what it had written, or all but one part, in the table. How much a batch takes in is up to
     the source, ``bytes_per_batch`` of ``stream_topic`` for one.
 
     With ``once`` the table also has each message's ``_topic``, ``_partition`` and ``_offset``, and a
@@ -175,14 +177,16 @@ def topic_to_table(
             return
         with scratch(session):
             parts = in_chunks(given.select(*_PLACE, data), max_messages, order=_PLACE)
-            target = fresh_dir(session, "batch-parts")
-            parts.select("data", "chunk").write.partitionBy("chunk").parquet(target)
+            parts = staged(parts.select("data", "chunk"), "batch-parts")
             last = parts.agg(F.max("chunk")).first()[0]
-            schema = parts.select("data").schema
-            for part in range(0 if last is None else last + 1):
-                found = session.read.schema(schema).parquet(f"{target}/chunk={part}")
-                found = found.select("data.data.*", *(f"data._{n}" for n in _PLACE if once))
-                table.append(found, batch=(query_id, number, part))
+            (name,) = free_names(rows.columns, "part")
+            first, end = 0, 1
+            while last is not None and first <= last:
+                found = parts.where(F.col("chunk").between(first, end - 1)).select(
+                    "data.data.*", *(f"data._{n}" for n in _PLACE if once), F.col("chunk").alias(name)
+                )
+                table.append(found, batch=(query_id, number, name))
+                first, end = end, 2 * end
 
     return start(messages.writeStream.foreachBatch(append), checkpoint, trigger)
 

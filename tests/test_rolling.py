@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from millrace.functions.messages import json_payload
+from millrace.operators import versioned
 from millrace.operators.versioned import VersionedTable
 from millrace.sources.topic import stream_topic, write_topic
 from millrace.streaming.rolling import close_rolled_files, topic_to_rolled_json_files
@@ -114,6 +115,47 @@ def test_snapshots_of_bounded_size(spark, tmp_path):
     assert sorted(row["a"] for row in table.read().collect()) == list(range(95))
 
 
+def test_many_snapshots_by_few_jobs(spark, tmp_path, monkeypatch):
+    """A hundred parts are eight commits, and each is a snapshot to read and go back to."""
+    monkeypatch.setattr(versioned, "_COMMITS_PER_LISTING", 4)
+    folder = str(tmp_path)
+    send(spark, f"{folder}/topic", 0, 300)
+    schema = spark.range(0).select(F.col("id").alias("part")).schema
+    messages = stream_topic(spark, f"{folder}/topic")
+    decode = F.struct(F.get_json_object(F.col("value").cast("string"), "$.a").cast("long").alias("part"))
+    append, calls = VersionedTable.append, []
+
+    def counted(self, rows, batch=None):
+        calls.append(batch)
+        return append(self, rows, batch)
+
+    table = VersionedTable.create(spark, f"{folder}/table", schema)
+    for n in range(3):  # so that the batch finds a list of files that is due
+        table.append(spark.sql(f"SELECT {-1 - n}L AS part"))
+    monkeypatch.setattr(VersionedTable, "append", counted)
+    topic_to_table(
+        messages, decode, f"{folder}/table", f"{folder}/checkpoint", AVAILABLE_NOW, max_messages=3
+    ).awaitTermination()
+    assert len(calls) == 8
+    table = VersionedTable(spark, f"{folder}/table")
+    snapshots = table.snapshots().orderBy("committed_at").collect()
+    assert [int(row.summary["added-records"]) for row in snapshots] == [1] * 3 + [3] * 100
+    assert [int(row.summary["total-records"]) for row in snapshots[3:]] == list(range(6, 304, 3))
+    assert any(row.has_carried for row in table._log)
+    for at in (2, 3, 10, 60, 102):
+        seen = table.read(snapshot_id=snapshots[at].snapshot_id)
+        assert seen.count() == int(snapshots[at].summary["total-records"])
+    table.rollback(snapshots[60].snapshot_id)
+    left = {row.part for row in table.read().collect()}
+    table.delete("part % 2 = 0")
+    assert {row.part for row in table.read().collect()} == {n for n in left if n % 2}
+    assert {row.part for row in VersionedTable(spark, table.root).read().collect()} == {
+        n for n in left if n % 2
+    }
+    (query_id,) = table.streams()
+    assert not table.append(spark.sql("SELECT 5L AS part, 99L AS p"), batch=(query_id, 0, "p"))
+
+
 def test_bounds_of_a_source(spark, tmp_path):
     with pytest.raises(ValueError, match="not both"):
         stream_topic(spark, str(tmp_path), files_per_batch=1, bytes_per_batch=1)
