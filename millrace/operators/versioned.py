@@ -926,20 +926,39 @@ class VersionedTable:
         )
 
     def files(self, snapshot_id: int | None = None) -> DataFrame:
-        """One row per live data file; map keys are the current column names."""
+        """One row per live data file; map keys are the current column names.
+
+        ``partition`` has the values, as text, of the columns its folder is named by. A
+        partition may have any number of files.
+        """
         wanted = self.current_snapshot_id if snapshot_id is None else snapshot_id
         if wanted is not None:
             self._snapshot(wanted)
         names = {f.metadata["physical"]: f.name for f in self._all_fields()}
         pairs = [F.lit(text) for pair in names.items() for text in pair]
 
+        def current_name(physical: Column) -> Column:
+            return F.create_map(*pairs)[physical]
+
         def renamed(stats: str) -> Column:
             current = F.create_map(*pairs)
             return F.transform_keys(stats, lambda key, _: current[key]).alias(stats)
 
+        folders = F.regexp_extract("path", f"/{_COMMIT}=[^/]+/(.*?)[^/]*$", 1)
+        pairs_of = F.transform(
+            F.filter(F.split(folders, "/"), lambda folder: folder != ""),
+            lambda folder: F.struct(
+                current_name(_unescaped(F.substring_index(folder, "=", 1))).alias("key"),
+                F.nullif(
+                    _unescaped(F.regexp_replace(folder, "^[^=]*=", "")),
+                    F.lit("__HIVE_DEFAULT_PARTITION__"),
+                ).alias("value"),
+            ),
+        )
         return self._live_entries(self._lineage(wanted)).select(
             F.col("path").alias("file_path"),
             F.lit("PARQUET").alias("file_format"),
+            F.map_from_entries(pairs_of).alias("partition"),
             "record_count",
             F.col("file_size").alias("file_size_in_bytes"),
             renamed("null_value_counts"),
@@ -1094,6 +1113,11 @@ def _latest(
     return latest.select("change.row", "change.gone")
 
 
+def _unescaped(folder: Column) -> Column:
+    """A name or value as it was before it was made part of a folder's name."""
+    return F.url_decode(F.replace(folder, F.lit("+"), F.lit("%2B")))
+
+
 def _tick(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 

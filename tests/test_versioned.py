@@ -42,6 +42,19 @@ def _by_part(spark, path, parts=4, rows_each=5):
     return made
 
 
+def test_partitions_in_the_file_list(spark, tmp_path):
+    """Values come back as they were, under the column's present name, NULL aside."""
+    df = spark.sql("SELECT * FROM VALUES ('a b', 1, 0), ('x/y=+z%', 2, 0), (NULL, 3, 0) v(kind, n, v)")
+    table = VersionedTable.create(spark, str(tmp_path / "t"), df, partition_by=["kind"])
+    table.rename_column("kind", "sort")
+    table.add_partition_field("n")
+    table.append(spark.sql("SELECT 'q' AS sort, 7 AS n, 0 AS v"))
+    found = [row.partition for row in table.files().collect()]
+    key = lambda each: repr(sorted(each.items()))
+    wanted = [{"sort": "a b"}, {"sort": "x/y=+z%"}, {"sort": None}, {"sort": "q", "n": "7"}]
+    assert sorted(found, key=key) == sorted(wanted, key=key)
+
+
 def _data_files(table):
     return {row.file_path for row in table.files().select("file_path").collect()}
 
