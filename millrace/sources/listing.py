@@ -23,6 +23,17 @@ def list_objects(spark: SparkSession, path: str, pattern: str = "*") -> DataFram
     )
 
 
+def folder_summary(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
+    """Object count and total bytes of each folder below ``path`` that has objects itself.
+
+    Folders are named by their path, without the slash at the end.
+    """
+    folder = F.regexp_replace("path", "/[^/]*$", "").alias("folder")
+    return list_objects(spark, path, pattern).groupBy(folder).agg(
+        F.count("*").alias("objects"), F.sum("length").alias("total_bytes")
+    )
+
+
 def listing_summary(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
     """Object count and total bytes below ``path``."""
     return list_objects(spark, path, pattern).agg(

@@ -5,6 +5,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructType
 
+import __spark_entry__ as entry
 from conftest import rows
 from millrace import workspace
 from millrace.sources.csv_files import (
@@ -14,7 +15,7 @@ from millrace.sources.csv_files import (
     stream_csv,
     write_csv,
 )
-from millrace.sources.listing import list_objects, listing_summary
+from millrace.sources.listing import folder_summary, list_objects, listing_summary
 from millrace.sources.topic import kafka_batch, kafka_stream, write_kafka
 from millrace.streaming.sinks import AVAILABLE_NOW, stream_to_parquet
 
@@ -84,6 +85,28 @@ def test_listing(spark, tmp_path):
     assert "content" not in plan.split("ReadSchema")[1]
 
 
+def test_listing_by_folder(spark, tmp_path):
+    """A folder with several files is one row; files on top are in a folder too."""
+    path = str(tmp_path / "out")
+    numbers = spark.range(0, 20, 1, 4).withColumn("part", F.col("id") % 2)
+    numbers.write.partitionBy("part").parquet(path)
+    found = {row.folder.split("/")[-1]: row for row in folder_summary(spark, path, "*.parquet").collect()}
+    assert {name: row.objects for name, row in found.items()} == {"part=0": 4, "part=1": 4}
+    for name, row in found.items():
+        assert row.total_bytes == sum(f.stat().st_size for f in (tmp_path / "out" / name).glob("*.parquet"))
+
+
+@pytest.mark.parametrize(("name", "column"), [("listing", "l_linenumber"), ("files_count", "l_returnflag")])
+def test_counts_by_partition_whatever_the_number_of_files(spark, name, column):
+    folder = "/root/testdata/sf0.001"
+    wanted = spark.read.parquet(f"{folder}/lineitem.parquet").select(column).distinct().count()
+    spark.conf.set("spark.sql.files.maxRecordsPerFile", 300)
+    try:
+        assert entry.queries()[name](spark, folder).first()[0] == wanted
+    finally:
+        spark.conf.unset("spark.sql.files.maxRecordsPerFile")
+
+
 def test_env_path(monkeypatch):
     assert workspace.path_from_env("NO_SUCH_PATH", "/a") == "/a"
     monkeypatch.setenv("INPUT_PATH", "/b")
