@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from millrace.operators.numbering import by_whole_chunks, in_chunks
-from millrace.workspace import fresh_dir
+from millrace.operators.numbering import by_whole_chunks, free_names, in_chunks, row_in_task
+from millrace.workspace import fresh_dir, path_exists
 
 # The writer's default keeps milliseconds only; both sides name the full pattern.
 _TIME_FORMAT = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
@@ -88,7 +88,43 @@ def stream_csv_chunks(
     return spark.readStream.option("maxFilesPerTrigger", 1).schema(schema).parquet(target)
 
 
+def stream_csv_chunk_lanes(
+    spark: SparkSession, path: str, schema: StructType, rows_per_batch: int, lanes: int, **options: str
+) -> list[DataFrame]:
+    """``stream_csv_chunks`` as several streams to run side by side, chunks dealt to them in turn.
+
+    A micro-batch of a bounded size is one task and some planning, so one stream after
+    another would leave most of a cluster idle.
+    """
+    chunked = read_csv_chunks(spark, path, schema, rows_per_batch, **options)
+    (lane,) = free_names(chunked.columns, "lane")
+    target = fresh_dir(spark, "csv-chunks")
+    dealt = chunked.withColumn(lane, F.col("chunk") % lanes)
+    whole = by_whole_chunks(dealt, [lane]).drop("chunk", "chunk_row")
+    whole.write.partitionBy(lane).option("maxRecordsPerFile", rows_per_batch).parquet(target)
+    reader = spark.readStream.option("maxFilesPerTrigger", 1).schema(schema)
+    folders = (f"{target}/{lane}={number}" for number in range(lanes))
+    return [reader.parquet(folder) for folder in folders if path_exists(spark, folder)]
+
+
 def write_csv(df: DataFrame, path: str, mode: str = "errorifexists", **options: str) -> None:
     """Write CSV with a header line; by default an existing path is an error."""
     df.write.mode(mode).options(header="true", **_TIME_FORMAT, **options).csv(path)
 
+
+def write_csv_lanes(
+    df: DataFrame, path: str, rows_per_file: int, lanes: int, **options: str
+) -> list[str]:
+    """Write CSV files of at most so many rows, dealt in turn to folders; those that got any.
+
+    Rows stay in their tasks, and each task deals its own files.
+    """
+    (lane,) = free_names(df.columns, "lane")
+    dealt = df.withColumn(
+        lane, F.floor(row_in_task() / rows_per_file + F.spark_partition_id()) % lanes
+    )
+    writer = dealt.write.partitionBy(lane).option("maxRecordsPerFile", rows_per_file)
+    writer.options(header="true", **_TIME_FORMAT, **options).csv(path)
+    folders = (f"{path}/{lane}={number}" for number in range(lanes))
+    return [folder for folder in folders if path_exists(df.sparkSession, folder)]
+

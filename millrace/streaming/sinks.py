@@ -9,10 +9,12 @@ restart on the same checkpoint goes on where the last run stopped.
 from __future__ import annotations
 
 import re
+from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
+from pyspark.sql.types import StructType
 
 from millrace.operators.numbering import free_names, in_chunks
 from millrace.operators.versioned import VersionedTable
@@ -39,6 +41,34 @@ def stream_to_parquet(
     return start(writer, checkpoint, trigger)
 
 
+def lanes_to_parquet(
+    lanes: Sequence[DataFrame], path: str, checkpoint: str, trigger: Trigger
+) -> None:
+    """Append streams to a folder each below ``path``, side by side, until all have ended.
+
+    If one fails the others are stopped. ``read_lanes`` reads what they have written.
+    """
+    running: list[StreamingQuery] = []
+    try:
+        for number, rows in enumerate(lanes):
+            place = f"lane={number}"
+            running.append(stream_to_parquet(rows, f"{path}/{place}", f"{checkpoint}/{place}", trigger))
+        for query in running:
+            query.awaitTermination()
+    finally:
+        for query in running:
+            query.stop()
+
+
+def read_lanes(spark: SparkSession, path: str, schema: StructType, lanes: int) -> DataFrame:
+    """What so many streams of ``lanes_to_parquet`` wrote, of finished batches only."""
+    found = spark.range(0).select(*(F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields))
+    for number in range(lanes):
+        # a folder by itself is read by the list of files that its stream keeps
+        found = found.union(spark.read.schema(schema).parquet(f"{path}/lane={number}"))
+    return found
+
+
 def json_lines(messages: DataFrame, *others: str) -> DataFrame:
     """Rows (topic, partition, others, value): one line of JSON for each message that is some.
 

@@ -4,14 +4,27 @@ from __future__ import annotations
 
 import random
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 from millrace.operators.numbering import by_whole_chunks, in_chunks, numbered
-from millrace.sources.csv_files import read_csv_chunks, stream_csv_chunks, write_csv
+from millrace.sources.csv_files import (
+    read_csv_chunks,
+    stream_csv,
+    stream_csv_chunk_lanes,
+    stream_csv_chunks,
+    write_csv,
+    write_csv_lanes,
+)
 from millrace.streaming.progress import running_totals
-from millrace.streaming.sinks import AVAILABLE_NOW, stream_with_counts
+from millrace.streaming.sinks import (
+    AVAILABLE_NOW,
+    lanes_to_parquet,
+    read_lanes,
+    stream_with_counts,
+)
 
 SCHEMA = "kind string, at long, task int, place string"
 
@@ -106,3 +119,36 @@ def test_csv_batches(spark, tmp_path):
     batches = running_totals(spark, f"{tmp_path}/counts").collect()
     assert sorted(row["rows"] for row in batches) == [150, 300, 300, 300]
     assert sorted(row["id"] for row in spark.read.parquet(f"{tmp_path}/rows").collect()) == list(range(1050))
+
+
+def _file_sizes(spark, path, lanes, schema):
+    """Rows of each file that each stream wrote."""
+    rows = read_lanes(spark, path, schema, lanes)
+    counts = rows.groupBy(F.input_file_name().alias("file")).count().collect()
+    return sorted(row["count"] for row in counts)
+
+
+@pytest.mark.parametrize("count", [0, 100, 1050])
+def test_csv_batches_side_by_side(spark, tmp_path, count):
+    """Chunks are whole in every lane, and all rows are there; few rows make few lanes."""
+    rows = spark.range(0, count, 1, 4).select("id", F.lit("x").alias("lane"))
+    write_csv(rows, f"{tmp_path}/csv")
+    lanes = stream_csv_chunk_lanes(spark, f"{tmp_path}/csv", rows.schema, 300, lanes=3)
+    lanes_to_parquet(lanes, f"{tmp_path}/rows", f"{tmp_path}/check", AVAILABLE_NOW)
+    assert len(lanes) == min(3, -(-count // 300))
+    wanted = [300] * (count // 300) + [count % 300] * bool(count % 300)
+    assert _file_sizes(spark, f"{tmp_path}/rows", len(lanes), rows.schema) == sorted(wanted)
+    found = read_lanes(spark, f"{tmp_path}/rows", rows.schema, len(lanes)).collect()
+    assert sorted(map(tuple, found)) == [(n, "x") for n in range(count)]
+
+
+def test_csv_files_dealt_to_lanes(spark, tmp_path):
+    rows = spark.range(0, 1000, 1, 4).select("id", F.lit("x").alias("text"))
+    folders = write_csv_lanes(rows, f"{tmp_path}/csv", 30, 3)
+    files = [list(Path(folder).glob("*.csv")) for folder in folders]
+    assert [len(found) for found in files] == [12, 12, 12]
+    assert max(len(file.read_text().splitlines()) - 1 for found in files for file in found) == 30
+    lanes = [stream_csv(spark, folder, rows.schema, files_per_batch=10) for folder in folders]
+    lanes_to_parquet(lanes, f"{tmp_path}/rows", f"{tmp_path}/check", AVAILABLE_NOW)
+    found = read_lanes(spark, f"{tmp_path}/rows", rows.schema, 3).collect()
+    assert sorted(row["id"] for row in found) == list(range(1000))
