@@ -176,7 +176,7 @@ def topic_to_table(
     partition and offset, which is the same whenever it is run, into parts that are snapshots
     of their own and known by their number. The first two are committed alone, then as many at
     once as there are already: few jobs whatever the number of parts, and a batch that fails
-    has at least half of what it had written, or all but one part, in the table. How much a batch takes in is up to
+    writes at most as many parts again as it had committed, or the first one. How much a batch takes in is up to
     the source, ``bytes_per_batch`` of ``stream_topic`` for one.
 
     With ``once`` the table also has each message's ``_topic``, ``_partition`` and ``_offset``, and a
