@@ -144,3 +144,25 @@ def test_sql_tables(spark, tmp_path):
     assert rows(spark.table("calls")) == [("Aurora", "KIEL"), ("Borealis", "KIEL")]
     spark.sql("DROP TABLE calls")
     spark.sql("DROP TABLE ports")
+
+
+def test_many_partitions_cost_little(spark, tmp_path):
+    """No checksum file beside each file, and not a task to list each directory."""
+    path = str(tmp_path / "t")
+    df = spark.range(0, 1200, 1, 4).select("id", (F.col("id") % 400).alias("k"))
+    write_partitioned(df, path, ["k"])
+    assert len(list(tmp_path.glob("t/k=*/*.parquet"))) == 400
+    assert not list(tmp_path.glob("t/k=*/.*.crc"))
+    name = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    usual, context = spark.conf.get(name), spark.sparkContext
+    context.setJobGroup("listing of many", "")
+    try:
+        stored = read_partitioned(spark, path)
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+    status = context.statusTracker()
+    jobs = [status.getJobInfo(n) for n in status.getJobIdsForGroup("listing of many")]
+    tasks = [status.getStageInfo(n).numTasks for job in jobs for n in job.stageIds]
+    assert tasks and max(tasks) <= 64
+    assert spark.conf.get(name) == usual
+    assert rows(stored) == rows(df.withColumn("k", F.col("k").cast("int")))
