@@ -18,7 +18,7 @@ from pyspark.sql.types import StructType
 
 from millrace.operators.numbering import free_names, in_chunks
 from millrace.operators.versioned import VersionedTable
-from millrace.workspace import scratch, staged
+from millrace.workspace import BARE_FILES, scratch, staged
 
 Trigger = dict[str, str | bool]
 # what Spark calls the id of the running query among the properties of its jobs
@@ -26,6 +26,8 @@ QUERY_ID = "sql.streaming.queryId"
 # where a message stands
 _PLACE = ("topic", "partition", "offset")
 AVAILABLE_NOW: Trigger = {"availableNow": True}
+# files that a run of offsets of one topic partition fills, where offsets have no gaps
+_FILES_PER_STRETCH = 200
 
 
 def drop_tombstones(messages: DataFrame) -> DataFrame:
@@ -92,15 +94,21 @@ def topic_to_json_files(
 ) -> StreamingQuery:
     """Write JSON messages as lines, in folders by topic and topic partition.
 
-    The last file of a batch may have fewer records; ``rolling`` has a sink that keeps them for
-    the next one. Messages are chosen and routed by ``json_lines``.
+    Files may have fewer records; ``rolling`` has a sink that keeps them for the next batch.
+    Stretches of offsets, each of many files, are dealt over the tasks: a batch is written by
+    all of them however few files it is read from and however hot a topic partition, and a
+    stretch leaves one short file per topic partition at most. Messages are chosen and routed by
+    ``json_lines``.
     """
+    stretch = F.expr(f"offset div {records_per_file * _FILES_PER_STRETCH}")
+    spread = json_lines(messages, "offset").repartition("topic", "partition", stretch)
     writer = (
-        json_lines(messages)
+        spread.select("topic", "partition", "value")
         .writeStream.format("text")
         .outputMode("append")
         .partitionBy("topic", "partition")
         .option("maxRecordsPerFile", records_per_file)
+        .options(**BARE_FILES)
         .option("path", path)
     )
     return start(writer, checkpoint, trigger)
