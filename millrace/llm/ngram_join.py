@@ -28,6 +28,7 @@ from millrace.llm.components import components
 from millrace.llm.hashing import mix
 from millrace.llm.shared import written
 from millrace.llm.shingles import WordHashes, shingle_sets
+from millrace.llm.word_ids import forget_words
 from millrace.operators.numbering import free_names
 
 #: One odd multiplier for each order of the tokens.
@@ -41,6 +42,8 @@ _PAIR = np.dtype(
 _HELD = np.dtype([("token", "u4"), ("cls", "u8"), ("size", "u4")])
 _MOST_OFTEN = 0xFFFF
 _RARE, _OFTEN = 0, 1
+#: Pairs that are held before they are added up; sorting them takes four times their size.
+_PAIRS_AT_ONCE = 1_000_000
 
 
 class Likeness:
@@ -203,6 +206,7 @@ def _measured(keyed: DataFrame, width: int) -> DataFrame:
     id_type = keyed.schema["id"].dataType.simpleString()
 
     def measure(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget_words()
         known = WordHashes()
         counts = np.zeros(1 << _SKETCH_BITS, np.int64)
         schema = None
@@ -313,6 +317,7 @@ def _shared_tokens(
     ranks = keyed.sparkSession.sparkContext.broadcast(rank)
 
     def post(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget_words()
         known, seen = WordHashes(), set()
         for batch in batches:
             made, keys = [], []
@@ -430,7 +435,7 @@ def _pairs(
             pairs["n"] = 1
             held.append(pairs)
             count += len(pairs)
-            if count >= 4_000_000:
+            if count >= _PAIRS_AT_ONCE:
                 yield _summed(np.concatenate(held))
                 held, count = [], 0
     if held:
