@@ -18,7 +18,7 @@ from pyspark.sql.types import StructType
 
 from millrace.operators.numbering import free_names, in_chunks
 from millrace.operators.versioned import VersionedTable
-from millrace.workspace import BARE_FILES, scratch, staged
+from millrace.workspace import bare_files, scratch, staged
 
 Trigger = dict[str, str | bool]
 # what Spark calls the id of the running query among the properties of its jobs
@@ -108,10 +108,10 @@ def topic_to_json_files(
         .outputMode("append")
         .partitionBy("topic", "partition")
         .option("maxRecordsPerFile", records_per_file)
-        .options(**BARE_FILES)
         .option("path", path)
     )
-    return start(writer, checkpoint, trigger)
+    with bare_files(messages.sparkSession):
+        return start(writer, checkpoint, trigger)
 
 
 def topic_to_parquet_files(

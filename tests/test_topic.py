@@ -309,3 +309,16 @@ def test_triggers_differ(spark, tmp_path):
     at_once = starts(None, 4)
     assert len(at_once) == 4
     assert min(b - a for a, b in zip(at_once, at_once[1:], strict=False)) < dt.timedelta(seconds=2)
+
+
+def test_json_files_have_no_checksum_files_beside_them(spark, tmp_path):
+    """The writer's options do not reach a stream's files; the session keeps its settings."""
+    topic, target = str(tmp_path / "topic"), str(tmp_path / "files")
+    write_topic(spark.range(40).select(F.to_json(F.struct("id")).alias("value")), topic, "t", partitions=2)
+    topic_to_json_files(
+        stream_topic(spark, topic), target, str(tmp_path / "checkpoint"), 5, AVAILABLE_NOW
+    ).awaitTermination()
+    assert spark.read.text(target).count() == 40
+    assert list(tmp_path.glob("files/*/*/part-*"))
+    assert not list(tmp_path.glob("files/*/*/.*.crc"))
+    assert spark.conf.get("fs.file.impl", None) is None
