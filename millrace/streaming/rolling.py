@@ -10,7 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from millrace.operators.numbering import by_whole_chunks, in_chunks
 from millrace.streaming.sinks import QUERY_ID, Trigger, json_lines, start
-from millrace.workspace import path_exists, remove_path, scratch, staged
+from millrace.workspace import BARE_FILES, path_exists, remove_path, scratch, staged
 
 _PLACE = ("topic", "partition")
 _ROWS = "topic string, partition int, offset bigint, value string, since timestamp"
@@ -73,7 +73,7 @@ def _ready(chunks: DataFrame, records_per_file: int, max_wait: timedelta | None)
 
 def _write(chunks: DataFrame, path: str, records_per_file: int) -> None:
     whole = by_whole_chunks(chunks, _PLACE).select(*_PLACE, "value")
-    writer = whole.write.mode("overwrite").partitionBy(*_PLACE)
+    writer = whole.write.mode("overwrite").partitionBy(*_PLACE).options(**BARE_FILES)
     writer.option("maxRecordsPerFile", records_per_file).text(path)
 
 

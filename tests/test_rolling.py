@@ -159,3 +159,13 @@ def test_many_snapshots_by_few_jobs(spark, tmp_path, monkeypatch):
 def test_bounds_of_a_source(spark, tmp_path):
     with pytest.raises(ValueError, match="not both"):
         stream_topic(spark, str(tmp_path), files_per_batch=1, bytes_per_batch=1)
+
+
+def test_rolled_files_have_no_checksum_files_beside_them(spark, tmp_path):
+    folder = str(tmp_path)
+    send(spark, f"{folder}/topic", 0, 45)
+    roll(spark, folder)
+    close_rolled_files(spark, f"{folder}/files", f"{folder}/rest", 10)
+    assert sum(map(len, files(spark, folder).values())) == 45
+    assert list(tmp_path.glob("files/*/*/topic=*/*/part-*"))
+    assert not list(tmp_path.glob("files/*/*/topic=*/*/.*.crc"))
