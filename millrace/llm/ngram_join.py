@@ -42,7 +42,7 @@ _PAIR = np.dtype(
 _HELD = np.dtype([("token", "u4"), ("cls", "u8"), ("size", "u4")])
 _MOST_OFTEN = 0xFFFF
 _RARE, _OFTEN = 0, 1
-#: Pairs that are held before they are added up; sorting them takes four times their size.
+#: Pairs that are held before they are added up, which takes several copies of them.
 _PAIRS_AT_ONCE = 1_000_000
 
 
