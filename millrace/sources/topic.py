@@ -24,6 +24,10 @@ ENVELOPE = (
     .add("timestampType", "integer")
 )
 
+# A task reads whole row groups. Of Parquet's usual size, 128 MB, a file is one or two, so that a batch
+# of a few files is read and parsed by a few tasks, however many cores there are.
+_ROW_GROUP_BYTES = 8 << 20
+
 
 def _message(df: DataFrame) -> tuple[Column, Column]:
     key = F.col("key").cast("binary") if "key" in df.columns else F.lit(None).cast("binary")
@@ -47,6 +51,8 @@ def write_topic(
 
     ``start_offset`` must exceed every offset present; a producer that knows its
     position passes it, else the largest offset is looked up (a one-column scan).
+
+    Files have many small row groups, so that all tasks share in reading a few files.
     """
     spark = df.sparkSession
     if start_offset is None:
@@ -65,7 +71,7 @@ def write_topic(
         (F.col("n") + F.lit(start_offset)).alias("offset"),
         F.current_timestamp().alias("timestamp"),
         F.lit(0).alias("timestampType"),
-    ).write.mode("append").parquet(path)
+    ).write.mode("append").option("parquet.block.size", _ROW_GROUP_BYTES).parquet(path)
 
 
 def next_offset(spark: SparkSession, path: str) -> int:

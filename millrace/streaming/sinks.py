@@ -18,7 +18,7 @@ from pyspark.sql.types import StructType
 
 from millrace.operators.numbering import free_names, in_chunks
 from millrace.operators.versioned import VersionedTable
-from millrace.workspace import bare_files, scratch, staged
+from millrace.workspace import bare_files, large_state, scratch, staged
 
 Trigger = dict[str, str | bool]
 # what Spark calls the id of the running query among the properties of its jobs
@@ -38,9 +38,10 @@ def drop_tombstones(messages: DataFrame) -> DataFrame:
 def stream_to_parquet(
     rows: DataFrame, path: str, checkpoint: str, trigger: Trigger | None = None
 ) -> StreamingQuery:
-    """Append a stream of rows to a Parquet folder."""
+    """Append a stream of rows to a Parquet folder; what it holds as state may be large."""
     writer = rows.writeStream.format("parquet").outputMode("append").option("path", path)
-    return start(writer, checkpoint, trigger)
+    with large_state(rows.sparkSession):
+        return start(writer, checkpoint, trigger)
 
 
 def lanes_to_parquet(

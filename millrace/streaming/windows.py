@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from millrace.streaming.sinks import QUERY_ID, Trigger, start
+from millrace.workspace import large_state
 
 
 def stream_window_totals(
@@ -47,7 +48,9 @@ def stream_window_totals(
         place = f"{path}/stream={query_id}/batch={number}"
         batch.write.mode("overwrite").parquet(place)
 
-    return start(result.writeStream.outputMode("update").foreachBatch(keep), checkpoint, trigger)
+    writer = result.writeStream.outputMode("update").foreachBatch(keep)
+    with large_state(rows.sparkSession):
+        return start(writer, checkpoint, trigger)
 
 
 def window_totals(spark: SparkSession, path: str, by: Sequence[str]) -> DataFrame:

@@ -133,3 +133,41 @@ def test_first_of_each_limits_ahead_of_the_shuffle(spark):
     assert tied.count() == 5
     with pytest.raises(ValueError, match="rank"):
         first_of_each(best, ["hot"], ["id"], 1)
+
+
+def test_state_is_on_disk_and_lasts_over_restarts(spark, tmp_path):
+    source, target, check = (f"{tmp_path}/{name}" for name in ("in", "out", "check"))
+    store = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(store)
+
+    def run():
+        found = sessions(follow(spark, source), "at", "10 minutes", ["who"], {"n": F.count("*")}, "30 minutes")
+        query = stream_to_parquet(found, target, check, AVAILABLE_NOW)
+        query.awaitTermination()
+        assert spark.conf.get(store) == before
+        stores = [state for progress in query.recentProgress for state in progress.stateOperators]
+        assert stores
+        assert all(any(name.startswith("rocksdb") for name in state.customMetrics) for state in stores)
+        return rows(spark.read.schema(found.schema).parquet(target).where("who IS DISTINCT FROM 'beat'"))
+
+    add(spark, source, (at(0), "a"), (at(3), "b"), (at(20), None))
+    assert run() == []
+    add(spark, source, (at(9), "a"), (at(13), "b"), (at(25), "b"))
+    assert run() == []
+    add(spark, source, (at(90), "beat"))
+    expected = [(at(0), at(19), "a", 2), (at(3), at(23), "b", 2), (at(20), at(30), None, 1), (at(25), at(35), "b", 1)]
+    assert run() == sorted(expected, key=repr)
+    assert not list(tmp_path.glob("check/state/*/[0-9]*/.*.crc"))
+
+
+def test_streams_go_on_with_the_store_they_began_with(spark, tmp_path):
+    source, target, check = (f"{tmp_path}/{name}" for name in ("in", "out", "check"))
+    add(spark, source, (at(0), "a"), (at(20), "b"))
+    found = sessions(follow(spark, source), "at", "10 minutes", ["who"], {"n": F.count("*")}, "30 minutes")
+    writer = found.writeStream.format("parquet").option("path", target).option("checkpointLocation", check)
+    writer.trigger(availableNow=True).start().awaitTermination()
+    add(spark, source, (at(9), "a"))
+    add(spark, source, (at(90), "beat"))
+    stream_to_parquet(found, target, check, AVAILABLE_NOW).awaitTermination()
+    expected = [(at(0), at(19), "a", 2), (at(20), at(30), "b", 1)]
+    assert rows(spark.read.parquet(target)) == sorted(expected, key=repr)

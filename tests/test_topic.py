@@ -322,3 +322,13 @@ def test_json_files_have_no_checksum_files_beside_them(spark, tmp_path):
     assert list(tmp_path.glob("files/*/*/part-*"))
     assert not list(tmp_path.glob("files/*/*/.*.crc"))
     assert spark.conf.get("fs.file.impl", None) is None
+
+
+def test_one_file_of_a_topic_is_read_by_several_tasks(spark, tmp_path):
+    topic = str(tmp_path / "t")
+    value = F.randstr(F.lit(1000), F.lit(1)).cast("binary").alias("value")
+    write_topic(spark.range(0, 40000, 1, 1).select(value), topic, "t")
+    messages = read_topic(spark, topic)
+    assert len(messages.inputFiles()) == 1
+    assert messages.select(F.spark_partition_id()).distinct().count() >= 4
+    assert messages.select("offset").distinct().count() == 40000
